@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count we are willing to ship to every executor. Sides above it
+# go through a shuffle join (with AQE skew splitting) instead.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The check is a ``limit(max_rows + 1).count()``: it stops reading once the
+    bound is passed, so it never scans a big side in full.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
