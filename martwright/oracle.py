@@ -191,24 +191,236 @@ o_mart_city_revenue AS (
   GROUP BY g.geolocation_city, g.geolocation_state)"""
 
 
-def with_ctes(body: str) -> str:
-    return f"WITH {SOURCE_CTES},{WAREHOUSE_CTES}\n{body}"
+def with_ctes(body: str, extra: str | None = None) -> str:
+    more = f",\n{extra}" if extra else ""
+    return f"WITH {SOURCE_CTES},{WAREHOUSE_CTES}{EXTRA_CTES}{more}\n{body}"
 
 
 FACT_COLS = ("order_id, customer_key, product_key, seller_key, geolocation_key, payment_key, order_date_key, "
              "order_status, price, freight_value, total_amount, payment_value, delivery_time, estimated_delivery_time")
 
 
+SOURCE_CTE = {
+    "product_category_name_translation": "s_translation", "geolocation": "s_geolocation", "sellers": "s_sellers",
+    "customers": "s_customers", "products": "s_products", "orders": "s_orders", "order_items": "s_order_items",
+    "payments": "s_payments", "order_reviews": "s_order_reviews",
+}
+STAGING_ORDER = list(SOURCE_CTE)
+FOREIGN_KEYS = [
+    ("products", "product_category_name", "product_category_name_translation", "product_category_name"),
+    ("orders", "customer_id", "customers", "customer_id"),
+    ("order_items", "product_id", "products", "product_id"),
+    ("order_items", "order_id", "orders", "order_id"),
+    ("order_items", "seller_id", "sellers", "seller_id"),
+    ("payments", "order_id", "orders", "order_id"),
+    ("order_reviews", "order_id", "orders", "order_id"),
+]
+PRIMARY_KEYS = [
+    ("product_category_name_translation", "s_translation", ["product_category_name"]),
+    ("sellers", "s_sellers", ["seller_id"]),
+    ("customers", "s_customers", ["customer_id"]),
+    ("products", "s_products", ["product_id"]),
+    ("orders", "s_orders", ["order_id"]),
+    ("mart_sales_daily", "o_mart_sales_daily", ["order_date"]),
+    ("mart_product_performance", "o_mart_product_performance", ["product_id"]),
+    ("mart_city_revenue", "o_mart_city_revenue", ["geolocation_city", "geolocation_state"]),
+]
+# Declared varchar(n) limits, per table (source DDL and mart DDL).
+LENGTH_LIMITS = [
+    ("product_category_name_translation", "s_translation",
+     [("product_category_name", 64), ("product_category_name_english", 64)]),
+    ("geolocation", "s_geolocation", [("geolocation_city", 64), ("geolocation_state", 64)]),
+    ("sellers", "s_sellers", [("seller_id", 64), ("seller_city", 64), ("seller_state", 64)]),
+    ("customers", "s_customers",
+     [("customer_id", 64), ("customer_unique_id", 32), ("customer_city", 64), ("customer_state", 64)]),
+    ("products", "s_products", [("product_id", 64), ("product_category_name", 64)]),
+    ("orders", "s_orders", [("order_id", 64), ("customer_id", 64), ("order_status", 32)]),
+    ("order_items", "s_order_items", [("order_id", 64), ("product_id", 64), ("seller_id", 64)]),
+    ("payments", "s_payments", [("order_id", 64), ("payment_type", 32)]),
+    ("order_reviews", "s_order_reviews", [("review_id", 64), ("order_id", 64)]),
+    ("mart_product_performance", "o_mart_product_performance",
+     [("product_id", 64), ("product_category_name", 64), ("product_category_name_english", 64)]),
+    ("mart_city_revenue", "o_mart_city_revenue", [("geolocation_city", 64), ("geolocation_state", 64)]),
+]
+MANIFEST = (
+    [("staging", f"stg_{t}", SOURCE_CTE[t]) for t in STAGING_ORDER]
+    + [("warehouse", t, f"o_{t}") for t in ["dim_customers", "dim_products", "dim_sellers", "dim_geolocation"]]
+    + [("warehouse", "dim_dates", "o_default_calendar"), ("warehouse", "dim_payments", "o_dim_payments"),
+       ("warehouse", "fact_orders", "o_fact_orders")]
+    + [("mart", m, f"o_{m}") for m in ["mart_sales_daily", "mart_product_performance", "mart_city_revenue"]]
+)
+EXTRA_CTES = """,
+o_default_calendar AS (SELECT * FROM generate_series(DATE '2016-01-01', DATE '2025-12-31', INTERVAL 1 DAY))"""
+
+
+def _sales_daily(fact: str) -> str:
+    total = f"SUM({money('total_amount')})"
+    return (f"SELECT CAST(order_date_key AS DATE) AS order_date, COUNT(DISTINCT order_id) AS order_count, "
+            f"CAST({total} AS DECIMAL(18,2)) AS total_revenue, "
+            f"{avg_cents(total, 'COUNT(DISTINCT order_id)')} AS average_order_value "
+            f"FROM {fact} GROUP BY order_date_key")
+
+
+def _city(join_on: str) -> str:
+    return (f"SELECT g.geolocation_city, g.geolocation_state, COUNT(DISTINCT f.order_id) AS order_count, "
+            f"CAST(SUM({money('f.total_amount')}) AS DECIMAL(18,2)) AS total_revenue "
+            f"FROM o_fact_orders f JOIN o_dim_geolocation g ON {join_on} "
+            f"GROUP BY g.geolocation_city, g.geolocation_state")
+
+
+def _revenue_by_city(join_on: str) -> str:
+    return (f"SELECT g.geolocation_city, CAST(SUM({money('f.total_amount')}) AS DECIMAL(38,2)) AS total_revenue "
+            f"FROM o_fact_orders f JOIN o_dim_geolocation g ON {join_on} GROUP BY g.geolocation_city")
+
+
+def _counts(present: bool) -> str:
+    parts = []
+    for layer, name, cte in MANIFEST:
+        tail = "true AS present, COUNT(*) AS row_count" if present else "COUNT(*) AS row_count, COUNT(*) > 0 AS non_empty"
+        parts.append(f"SELECT '{layer}' AS layer, '{name}' AS table_name, {tail} FROM {cte}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _foreign_keys() -> str:
+    parts = []
+    for ct, cc, pt, pc in FOREIGN_KEYS:
+        parts.append(
+            f"SELECT '{ct}' AS child_table, '{cc}' AS child_column, '{pt}' AS parent_table, '{pc}' AS parent_column, "
+            f"COUNT(c.{cc}) AS child_rows, COUNT(c.{cc}) FILTER (WHERE p.k IS NULL) AS dangling_rows, "
+            f"COUNT(c.{cc}) FILTER (WHERE p.k IS NULL) = 0 AS ok "
+            f"FROM {SOURCE_CTE[ct]} c LEFT JOIN (SELECT DISTINCT {pc} AS k FROM {SOURCE_CTE[pt]}) p ON c.{cc} = p.k")
+    return "\nUNION ALL ".join(parts)
+
+
+def _primary_keys() -> str:
+    parts = []
+    for name, cte, keys in PRIMARY_KEYS:
+        null = " OR ".join(f"{k} IS NULL" for k in keys)
+        inner = f"SELECT ({null}) AS k_null, COUNT(*) AS n FROM {cte} GROUP BY {', '.join(keys)}"
+        parts.append(
+            f"SELECT '{name}' AS table_name, '{','.join(keys)}' AS key_columns, "
+            f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_rows, "
+            f"CAST(COALESCE(SUM(n) FILTER (WHERE k_null), 0) AS BIGINT) AS n_null_keys, "
+            f"COUNT(*) FILTER (WHERE NOT k_null AND n > 1) AS n_duplicate_keys, "
+            f"COALESCE(SUM(n) FILTER (WHERE k_null), 0) = 0 AND COUNT(*) FILTER (WHERE NOT k_null AND n > 1) = 0 AS ok "
+            f"FROM ({inner})")
+    return "\nUNION ALL ".join(parts)
+
+
+def _lengths() -> str:
+    parts = []
+    for name, cte, cols in LENGTH_LIMITS:
+        for c, n in cols:
+            parts.append(
+                f"SELECT '{name}' AS table_name, '{c}' AS column_name, CAST(max(length({c})) AS INTEGER) AS max_length, "
+                f"{n} AS length_limit, COALESCE(max(length({c})) <= {n}, true) AS within_limit FROM {cte}")
+    return "\nUNION ALL ".join(parts)
+
+
 def _queries() -> dict[str, str]:
     q: dict[str, str] = {}
+    for t in STAGING_ORDER:
+        q[f"stg_{t}"] = f"SELECT * FROM {SOURCE_CTE[t]}"
+    for d in ["dim_customers", "dim_products", "dim_sellers", "dim_geolocation", "dim_payments", "dim_dates"]:
+        q[d] = f"SELECT * FROM o_{d}"
     q["fact_orders"] = f"SELECT {FACT_COLS} FROM o_fact_orders"
     q["mart_sales_daily"] = "SELECT * FROM o_mart_sales_daily"
     q["mart_product_performance"] = "SELECT * FROM o_mart_product_performance"
     q["mart_city_revenue"] = "SELECT * FROM o_mart_city_revenue"
-    for d in ["dim_customers", "dim_products", "dim_sellers", "dim_geolocation", "dim_payments", "dim_dates"]:
-        q[d] = f"SELECT * FROM o_{d}"
+    q["report_revenue_by_month"] = (
+        f"SELECT d.month, CAST(SUM({money('f.total_amount')}) AS DECIMAL(38,2)) AS total_revenue "
+        f"FROM o_fact_orders f JOIN o_dim_dates d ON f.order_date_key = d.date_key GROUP BY d.month")
+    q["report_orders_by_status"] = (
+        "SELECT order_status, COUNT(order_id) AS order_count FROM o_fact_orders GROUP BY order_status")
+    q["report_units_by_category"] = (
+        "SELECT p.product_category_name, COUNT(f.order_id) AS total_sold "
+        "FROM o_fact_orders f JOIN o_dim_products p ON f.product_key = p.product_id GROUP BY p.product_category_name")
+    q["report_revenue_by_city"] = _revenue_by_city("f.geolocation_key = g.geolocation_key")
+    q["report_sales_daily"] = "SELECT order_date, order_count, total_revenue, average_order_value FROM o_mart_sales_daily"
+    q["report_top20_products"] = (
+        "SELECT product_id, product_category_name_english, total_quantity, total_revenue "
+        "FROM o_mart_product_performance ORDER BY total_revenue DESC NULLS FIRST, product_id LIMIT 20")
+    q["report_top20_cities"] = (
+        "SELECT geolocation_city, geolocation_state, order_count, total_revenue FROM o_mart_city_revenue "
+        "ORDER BY total_revenue DESC NULLS FIRST, geolocation_city, geolocation_state LIMIT 20")
+    q["report_total_revenue_all_days"] = (
+        "SELECT CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue_all_days FROM o_mart_sales_daily")
+    q["report_total_orders_all_days"] = (
+        "SELECT CAST(SUM(order_count) AS BIGINT) AS total_orders_all_days FROM o_mart_sales_daily")
+    moved = ("FROM customer JOIN place ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'")
+    q["upsert_by_key"] = (
+        "SELECT * FROM s_customers c WHERE NOT EXISTS (SELECT 1 FROM o_latest l WHERE l.customer_id = c.customer_id) "
+        "UNION ALL SELECT * FROM o_latest", f"""o_batch AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id, zip AS customer_zip_code_prefix,
+         city || '-1' AS customer_city, state AS customer_state, 1 AS seq {moved}
+  UNION ALL
+  SELECT CAST(c_custkey AS VARCHAR), c_name, zip + 1, city || '-2', state, 2 {moved}
+  UNION ALL
+  SELECT 's' || CAST(s_suppkey AS VARCHAR), s_name, zip, city, state, 1
+  FROM supplier JOIN place ON s_nationkey = n_nationkey),
+o_latest AS (
+  SELECT customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
+  FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY seq DESC) AS rn FROM o_batch) WHERE rn = 1)""")
+    q["delete_by_keys"] = (
+        "SELECT * FROM s_orders o WHERE NOT EXISTS (SELECT 1 FROM orders d "
+        "WHERE d.o_orderpriority = '5-LOW' AND CAST(d.o_orderkey AS VARCHAR) = o.order_id)")
+    q["append_rows"] = (
+        "SELECT * FROM s_sellers UNION ALL SELECT 'c' || customer_id AS seller_id, "
+        "customer_zip_code_prefix AS seller_zip_code_prefix, customer_city AS seller_city, "
+        "customer_state AS seller_state FROM s_customers")
+    q["truncate_table"] = "SELECT * FROM s_orders LIMIT 0"
+    q["dump_table"] = ("SELECT 'staging.stg_order_reviews' AS table_name, 'staging__stg_order_reviews.txt' AS file_name, "
+                       "COUNT(*) AS rows_written FROM s_order_reviews")
+    q["reload_dump"] = "SELECT * FROM s_order_reviews"
+    q["load_csv"] = "SELECT * FROM s_order_reviews"
+    q["get_records"] = "SELECT order_status, COUNT(*) AS order_count FROM s_orders GROUP BY order_status"
+    q["dq_row_counts"] = _counts(present=False)
+    q["dq_tables"] = _counts(present=True)
+    q["dq_foreign_keys"] = _foreign_keys()
+    q["dq_primary_keys"] = _primary_keys()
+    q["dq_lengths"] = _lengths()
+    q["category_code"] = (
+        "SELECT order_id, payment_sequential, payment_type, CAST(CASE WHEN payment_type IS NULL THEN 0 "
+        "ELSE dense_rank() OVER (ORDER BY payment_type NULLS LAST) END AS INTEGER) AS payment_code FROM s_payments")
+    q["dense_key"] = (
+        f"SELECT *, row_number() OVER (ORDER BY {numeric_order('order_id')}, order_item_id NULLS LAST, "
+        f"{numeric_order('product_id')}, {numeric_order('seller_id')}, shipping_limit_date NULLS LAST, "
+        f"price NULLS LAST, freight_value NULLS LAST) AS item_key FROM s_order_items")
+    q["keep_first"] = (
+        "SELECT order_id, payment_sequential, payment_type, payment_installments, payment_value FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY payment_sequential) AS rn FROM s_payments) "
+        "WHERE rn = 1")
+    q["title_case_city"] = (
+        f"SELECT city, {title('city')} AS city_title FROM (SELECT geolocation_city AS city FROM s_geolocation "
+        f"UNION SELECT customer_city FROM s_customers UNION SELECT seller_city FROM s_sellers)")
+    q["mart_city_revenue_padded"] = _city(f"{zfill('f.geolocation_key')} = g.geolocation_zip_code_prefix")
+    q["report_revenue_by_city_zip"] = _revenue_by_city(f"{zfill('f.geolocation_key')} = g.geolocation_zip_code_prefix")
+    q["fact_order_items"] = "SELECT * FROM o_fact_order_items"
+    q["mart_sales_daily_item_grain"] = _sales_daily("o_fact_order_items")
+    q["incremental_sales_daily"] = "SELECT * FROM o_mart_sales_daily"
+    q["fact_orders_surrogate_keys"] = f"""SELECT o.order_id, dc.customer_key, dp.product_key, ds.seller_key,
+       dg.geolocation_key, dy.payment_key, CAST(o.order_purchase_timestamp AS DATE) AS order_date_key,
+       lower(o.order_status) AS order_status, i.price, i.freight_value, i.price + i.freight_value AS total_amount,
+       p.payment_value,
+       {day_diff('o.order_purchase_timestamp', 'o.order_delivered_customer_date')} AS delivery_time,
+       {day_diff('o.order_purchase_timestamp', 'o.order_estimated_delivery_date')} AS estimated_delivery_time
+FROM s_orders o
+LEFT JOIN s_customers c ON o.customer_id = c.customer_id
+LEFT JOIN o_dim_customers dc ON o.customer_id = dc.customer_id
+LEFT JOIN o_dim_geolocation dg ON {zfill('c.customer_zip_code_prefix')} = dg.geolocation_zip_code_prefix
+LEFT JOIN s_order_items i ON o.order_id = i.order_id
+LEFT JOIN o_dim_products dp ON i.product_id = dp.product_id
+LEFT JOIN o_dim_sellers ds ON i.seller_id = ds.seller_id
+LEFT JOIN s_payments p ON o.order_id = p.order_id
+LEFT JOIN o_dim_payments dy ON lower(p.payment_type) = dy.payment_type
+  AND CAST(trunc(coalesce(CASE WHEN isnan(p.payment_installments) THEN NULL ELSE p.payment_installments END, 1))
+           AS INTEGER) = dy.payment_installments"""
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: with_ctes(v) for k, v in _queries().items()}
+    out = {}
+    for k, v in _queries().items():
+        body, extra = (v if isinstance(v, tuple) else (v, None))
+        out[k] = with_ctes(body, extra)
+    return out

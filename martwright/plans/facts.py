@@ -21,7 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import day_diff, money
+from ..functions.cleaning import day_diff, fill_int, money, zfill
 from ..operators.joins import broadcast_if_small
 from ..operators.keys import dense_key
 from ..sources.schemas import FACT_COLUMNS
@@ -130,3 +130,36 @@ def order_rollup(src: Src, with_fanout: bool = True) -> DataFrame:
     return df.select(cols["order_id"].alias("order_id"), cols["order_date_key"].alias("order_date_key"),
                      cols["order_status"].alias("order_status"), cols["geolocation_key"].alias("geolocation_key"),
                      (F.col("amount") * fan).alias("revenue"), rows.alias("fact_rows"))
+
+
+def fact_orders_surrogate_keys(src: Src, dim_customers: DataFrame, dim_products: DataFrame,
+                               dim_sellers: DataFrame, dim_geolocation: DataFrame,
+                               dim_payments: DataFrame) -> DataFrame:
+    """The fact with dimension surrogate keys instead of natural ids.
+
+    Each key is attached at its own source's grain before the fan-out join:
+    customer and geolocation keys on orders, product and seller keys on items,
+    the payment key on payments (matched on lower-cased type and whole
+    installments, the dimension's natural key).
+    """
+    cust = dim_customers.select("customer_id", F.col("customer_key").alias("_ck"))
+    geo = broadcast_if_small(dim_geolocation.select(F.col("geolocation_zip_code_prefix").alias("_zip"),
+                                                    F.col("geolocation_key").alias("_gk")))
+    o = (src["orders"].join(src["customers"].select("customer_id", "customer_zip_code_prefix"), "customer_id", "left")
+         .join(cust, "customer_id", "left"))
+    o = o.join(geo, zfill(o["customer_zip_code_prefix"]) == geo["_zip"], "left")
+    prod = broadcast_if_small(dim_products.select("product_id", F.col("product_key").alias("_pk")))
+    sell = broadcast_if_small(dim_sellers.select("seller_id", F.col("seller_key").alias("_sk")))
+    items = src["order_items"].join(prod, "product_id", "left").join(sell, "seller_id", "left")
+    pdim = broadcast_if_small(dim_payments.select(F.col("payment_type").alias("_pt"),
+                                                  F.col("payment_installments").alias("_pi"),
+                                                  F.col("payment_key").alias("_yk")))
+    pays = src["payments"]
+    pays = pays.join(pdim, (F.lower(pays["payment_type"]) == pdim["_pt"])
+                     & (fill_int(pays["payment_installments"], 1) == pdim["_pi"]), "left")
+    df = o.join(items, "order_id", "left").join(pays, "order_id", "left")
+    cols = _common_columns(df)
+    cols.update({"customer_key": F.col("_ck"), "product_key": F.col("_pk"), "seller_key": F.col("_sk"),
+                 "geolocation_key": F.col("_gk"), "payment_key": F.col("_yk"),
+                 "payment_value": F.col("payment_value")})
+    return df.select(*[cols[c].alias(c) for c in FACT_COLUMNS])
