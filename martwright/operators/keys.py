@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_width
+from .joins import broadcast_if_small
 
 _ROW_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
 
@@ -32,15 +34,25 @@ def numeric_id_order(col: str) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_by: Sequence[Column], key_col: str,
-              num_partitions: int | None = None) -> DataFrame:
-    """Append ``key_col`` (bigint) = 1-based position of the row in ``order_by``."""
+              num_partitions: int | None = None, persist_input: bool = False) -> DataFrame:
+    """Append ``key_col`` (bigint) = 1-based position of the row in ``order_by``.
+
+    ``persist_input``: the range shuffle evaluates its input twice (bounds
+    sampling, then the map stage); persist an expensive input (joins,
+    aggregates) for that span instead of recomputing it.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_width(spark)
     cols = df.columns
-    ordered = (df.repartitionByRange(n, *order_by)
-               .sortWithinPartitions(*order_by)
-               .checkpoint(eager=True))
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
+    try:
+        ordered = (source.repartitionByRange(n, *order_by)
+                   .sortWithinPartitions(*order_by)
+                   .checkpoint(eager=True))
+    finally:
+        if persist_input:
+            source.unpersist()
     tagged = ordered.withColumn("_mw_id", F.monotonically_increasing_id())
     tagged = tagged.select(*cols,
                            F.shiftright("_mw_id", _ROW_BITS).alias("_mw_part"),
@@ -69,9 +81,10 @@ def category_code(df: DataFrame, col: str, code_col: str, universe: DataFrame |
     distinct values define the categories (default: ``df``)."""
     values = (universe if universe is not None else df).select(F.col(col).alias("_mw_v"))
     values = values.where(F.col("_mw_v").isNotNull()).distinct()
-    coded = dense_key(values, [F.col("_mw_v").asc()], "_mw_code")
-    # distinct value set: small in practice but unbounded in principle, so the
-    # join strategy is left to AQE's measured-size broadcast conversion.
+    coded = dense_key(values, [F.col("_mw_v").asc()], "_mw_code", persist_input=True)
+    # the distinct set is small in practice but unbounded in principle:
+    # broadcast only after measuring it, else a shuffle join
+    coded = broadcast_if_small(coded)
     joined = df.join(coded, df[col] == coded["_mw_v"], "left")
     return joined.select(*[F.col(c) for c in df.columns if c != code_col],
                          F.coalesce(F.col("_mw_code"), F.lit(0)).cast("int").alias(code_col))

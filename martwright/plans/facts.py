@@ -52,7 +52,7 @@ def payment_type_codes(src: Src) -> DataFrame:
     pays = src["payments"].select("order_id", "payment_type")
     reaching = pays.join(src["orders"].select("order_id"), "order_id", "left_semi")
     values = reaching.select("payment_type").where(F.col("payment_type").isNotNull()).distinct()
-    return dense_key(values, [F.col("payment_type").asc()], "code")
+    return dense_key(values, [F.col("payment_type").asc()], "code", persist_input=True)
 
 
 def _common_columns(df: DataFrame) -> dict[str, F.Column]:
