@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir, shuffle_width
 from .joins import broadcast_if_small
@@ -88,3 +89,58 @@ def category_code(df: DataFrame, col: str, code_col: str, universe: DataFrame |
     joined = df.join(coded, df[col] == coded["_mw_v"], "left")
     return joined.select(*[F.col(c) for c in df.columns if c != code_col],
                          F.coalesce(F.col("_mw_code"), F.lit(0)).cast("int").alias(code_col))
+
+
+# Largest number of kept groups for which positions are found by counting
+# (each row is compared with every kept row's order value).
+POSITION_MAX_GROUPS = 256
+
+
+def _order_struct(order: Sequence[Column]) -> Column:
+    """Ascending, NULLs-last order as one comparable struct."""
+    fields = []
+    for i, e in enumerate(order):
+        fields += [e.isNull().alias(f"n{i}"), e.alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def _literal(value, dtype) -> Column:
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+    return F.lit(value).cast(dtype)
+
+
+def keep_first_with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], key_col: str,
+                             max_groups: int = POSITION_MAX_GROUPS) -> DataFrame:
+    """``keep_first`` plus ``key_col`` = 1-based position of the kept row in
+    ``order`` among *all* rows of ``df`` (the gapped key of a positional
+    index assigned before de-duplication).
+
+    With few groups no sort is needed: the kept rows come from a map-side
+    aggregate, their order values are the bucket bounds, one more aggregate
+    counts the rows per bucket, and a running sum over the (at most
+    ``max_groups`` + 1) buckets gives each kept row's position. Above the
+    bound it falls back to ``dense_key`` over all rows, then ``keep_first``.
+    """
+    tagged = df.withColumn("_mw_o", _order_struct(order))
+    kept = keep_first(tagged, keys, ["_mw_o"]).persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.limit(max_groups + 1).count() > max_groups:
+        kept.unpersist()
+        keyed = dense_key(df, [e.asc_nulls_last() for e in order], key_col)
+        return keep_first(keyed, keys, [key_col])
+    otype = tagged.schema["_mw_o"].dataType
+    bounds = [r[0] for r in kept.select("_mw_o").orderBy("_mw_o").collect()]  # <= max_groups rows
+    bound_array = F.array(*[_literal(b, otype) for b in bounds])
+
+    def bucket(c: Column) -> Column:  # number of kept order values <= c
+        return F.size(F.filter(bound_array, lambda b: b <= c))
+
+    counts = tagged.groupBy(bucket(F.col("_mw_o")).alias("_mw_b")).agg(F.count(F.lit(1)).alias("_mw_n"))
+    before = Window.orderBy("_mw_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_mw_b", F.coalesce(F.sum("_mw_n").over(before), F.lit(0)).alias("_mw_before"))
+    out = (kept.withColumn("_mw_b", bucket(F.col("_mw_o")))
+           .join(F.broadcast(offsets), "_mw_b")  # at most max_groups + 1 rows
+           .select(*df.columns, (F.col("_mw_before") + 1).cast("long").alias(key_col)))
+    result = out.checkpoint(eager=True)  # tiny; frees the cached kept rows
+    kept.unpersist()
+    return result

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_int, is_weekend, run_date_lit, title_case, zfill
-from ..operators.keys import dense_key, keep_first, numeric_id_order
+from ..operators.keys import dense_key, keep_first_with_position, numeric_id_order
 from ..sources.schemas import SRC_POS
 
 Src = Mapping[str, DataFrame]
@@ -74,8 +74,7 @@ def dim_geolocation(src: Src) -> DataFrame:
     position of the kept row in the whole source (so it has gaps)."""
     g = src["geolocation"]
     g = g.select(*_place_columns(g, "geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"))
-    keyed = dense_key(g, [F.col(SRC_POS).asc_nulls_last()], "geolocation_key")
-    kept = keep_first(keyed, ["geolocation_zip_code_prefix"], ["geolocation_key"])
+    kept = keep_first_with_position(g, ["geolocation_zip_code_prefix"], [F.col(SRC_POS)], "geolocation_key")
     return kept.drop(SRC_POS)
 
 
@@ -85,9 +84,8 @@ def dim_payments(src: Src) -> DataFrame:
     p = src["payments"]
     p = p.select("order_id", "payment_sequential", F.lower("payment_type").alias("payment_type"),
                  fill_int("payment_installments", 1).alias("payment_installments"), "payment_value")
-    order = [*numeric_id_order("order_id"), F.col("payment_sequential").asc_nulls_last()]
-    keyed = dense_key(p, order, "payment_key")
-    return keep_first(keyed, ["payment_type", "payment_installments"], ["payment_key"])
+    order = [F.expr("try_cast(order_id AS BIGINT)"), F.col("order_id"), F.col("payment_sequential")]
+    return keep_first_with_position(p, ["payment_type", "payment_installments"], order, "payment_key")
 
 
 def calendar(days: DataFrame) -> DataFrame:

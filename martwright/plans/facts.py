@@ -6,7 +6,7 @@ out over items). Every mart and report measure that does not read a payment
 column sees each item row ``fanout = max(1, p)`` times. Instead of
 materialising the fan-out, the marts read
 
-* ``item_grain``  : one row per item (or per item-less order) + ``fanout``;
+* ``item_grain``  : one row per fact item (item-less orders excluded) + ``fanout``;
 * ``order_rollup``: one row per order, items and payments pre-aggregated per
   ``order_id`` before the join shuffle, measures already multiplied.
 
@@ -103,9 +103,14 @@ def fact_order_items(src: Src) -> DataFrame:
 
 
 def item_grain(src: Src, with_fanout: bool = True) -> DataFrame:
-    """Item-grain fact rows with ``fanout`` = number of fact rows each stands
-    for (1 everywhere when ``with_fanout`` is False)."""
-    df = _orders_with_zip(src).join(src["order_items"], "order_id", "left")
+    """Fact rows that carry an item, one per item, with ``fanout`` = number
+    of fact rows each stands for (1 everywhere when ``with_fanout`` is False).
+
+    Items drive the joins (many-to-one onto orders and payment counts, both
+    unique per order), so a hot order's items sit on the splittable side of
+    every join and AQE can spread them over several tasks.
+    """
+    df = src["order_items"].join(_orders_with_zip(src), "order_id", "inner")
     if with_fanout:
         df = df.join(_payment_counts(src), "order_id", "left")
     cols = _common_columns(df)

@@ -121,3 +121,23 @@ def test_to_varchar_truncates(spark):
 def test_nan_to_null(spark):
     rows = _col(spark, [float("nan"), 1.5], "double").select(C.nan_to_null("x").alias("y")).collect()
     assert rows[0].y is None and math.isclose(rows[1].y, 1.5)
+
+
+def test_keep_first_with_position_counting_and_fallback_agree(spark):
+    from martwright.operators.keys import keep_first_with_position
+    df = spark.createDataFrame([(p, z) for p, z in enumerate([5, 5, 7, 9, 7, None, 5])], "src_pos int, zip int")
+    fast = keep_first_with_position(df, ["zip"], [F.col("src_pos")], "k")
+    slow = keep_first_with_position(df, ["zip"], [F.col("src_pos")], "k", max_groups=1)
+    want = [(None, 6), (5, 1), (7, 3), (9, 4)]
+    for got in (fast, slow):
+        assert sorted(((r.zip, r.k) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_keep_first_with_position_composite_order_nulls_last(spark):
+    from martwright.operators.keys import keep_first_with_position
+    rows = [("10", 2, "a"), ("9", 1, "b"), (None, 1, "a"), ("10", 1, "c"), ("x", 1, "b")]
+    df = spark.createDataFrame(rows, "oid string, seq int, t string")
+    order = [F.expr("try_cast(oid AS BIGINT)"), F.col("oid"), F.col("seq")]
+    got = {r.t: r.k for r in keep_first_with_position(df, ["t"], order, "k").collect()}
+    # row order: 9/1, 10/1, 10/2, x/1, NULL/1
+    assert got == {"b": 1, "c": 2, "a": 3}
