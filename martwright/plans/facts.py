@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,12 @@ Src = Mapping[str, DataFrame]
 
 ORDER_DATE_SOURCE = "order_purchase_timestamp"
 
+# An order whose items x payments exceed this many fact rows is "hot": its
+# pairs are spread over several tasks by salting (see ``fan_out``).
+PAIR_LIMIT = 4_000_000
+# Most hot orders handled by salting; the set is broadcast, so it is bounded.
+HOT_ORDERS_MAX = 100_000
+
 
 def _orders_with_zip(src: Src) -> DataFrame:
     """Orders with the customer's zip. Joined at order grain, before the
@@ -75,11 +82,55 @@ def _common_columns(df: DataFrame) -> dict[str, F.Column]:
     }
 
 
-def fact_orders(src: Src) -> DataFrame:
+def hot_orders(items: DataFrame, payments: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
+    """(order_id, _mw_salts) for orders producing more than ``pair_limit``
+    item x payment rows; ``_mw_salts`` = number of tasks to spread them over."""
+    i_n = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_mw_i"))
+    p_n = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("_mw_p"))
+    pairs = F.col("_mw_i") * F.col("_mw_p")
+    return (i_n.join(p_n, "order_id").where(pairs > pair_limit)
+            .select("order_id", F.least(F.col("_mw_i"), F.ceil(pairs / F.lit(pair_limit))).cast("int")
+                    .alias("_mw_salts")))
+
+
+def fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame, pair_limit: int = PAIR_LIMIT,
+            hot_max: int = HOT_ORDERS_MAX) -> DataFrame:
+    """``orders LEFT JOIN items LEFT JOIN payments`` on ``order_id``.
+
+    The item x payment pairs of one order are produced by one task in a plain
+    join, and AQE cannot split a many-to-many key. Orders above
+    ``pair_limit`` pairs are therefore taken out and joined salted: each item
+    gets a bucket (hash of the row mod the order's salt count), each payment
+    is repeated once per bucket, and the join on (order, bucket) spreads the
+    order's pairs over that many tasks. Every pair still appears exactly once.
+    """
+    plain = orders.join(items, "order_id", "left").join(payments, "order_id", "left")
+    hot = hot_orders(items, payments, pair_limit).persist(StorageLevel.MEMORY_AND_DISK)
+    n_hot = hot.limit(hot_max + 1).count()
+    if n_hot == 0 or n_hot > hot_max:
+        hot.unpersist()
+        return plain  # beyond the bound: shuffle joins with AQE skew splitting
+    h = F.broadcast(hot)  # at most hot_max rows (checked above)
+    cold = (orders.join(h, "order_id", "left_anti")
+            .join(items.join(h, "order_id", "left_anti"), "order_id", "left")
+            .join(payments.join(h, "order_id", "left_anti"), "order_id", "left"))
+    item_cols = [c for c in items.columns if c != "order_id"]
+    salted_items = (items.join(h, "order_id")
+                    .withColumn("_mw_salt", F.pmod(F.xxhash64(*item_cols), F.col("_mw_salts").cast("long")))
+                    .drop("_mw_salts"))
+    repeated_payments = (payments.join(h, "order_id")
+                         .withColumn("_mw_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                      (F.col("_mw_salts") - 1).cast("long"))))
+                         .drop("_mw_salts"))
+    pairs = salted_items.join(repeated_payments, ["order_id", "_mw_salt"]).drop("_mw_salt")
+    hot_order_rows = orders.join(h, "order_id", "left_semi")
+    warm = pairs.join(F.broadcast(hot_order_rows), "order_id")
+    return cold.select(*plain.columns).unionByName(warm.select(*plain.columns))
+
+
+def fact_orders(src: Src, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """The fact as declared: 14 columns at item x payment grain."""
-    df = (_orders_with_zip(src)
-          .join(src["order_items"], "order_id", "left")
-          .join(src["payments"], "order_id", "left"))
+    df = fan_out(_orders_with_zip(src), src["order_items"], src["payments"], pair_limit)
     codes = broadcast_if_small(payment_type_codes(src))
     df = df.join(codes, "payment_type", "left")
     cols = _common_columns(df)
@@ -162,7 +213,7 @@ def fact_orders_surrogate_keys(src: Src, dim_customers: DataFrame, dim_products:
     pays = src["payments"]
     pays = pays.join(pdim, (F.lower(pays["payment_type"]) == pdim["_pt"])
                      & (fill_int(pays["payment_installments"], 1) == pdim["_pi"]), "left")
-    df = o.join(items, "order_id", "left").join(pays, "order_id", "left")
+    df = fan_out(o, items, pays)
     cols = _common_columns(df)
     cols.update({"customer_key": F.col("_ck"), "product_key": F.col("_pk"), "seller_key": F.col("_sk"),
                  "geolocation_key": F.col("_gk"), "payment_key": F.col("_yk"),

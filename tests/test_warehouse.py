@@ -103,3 +103,11 @@ def test_pipeline_refresh_is_idempotent(spark, src_small):
     again = {t: sorted(map(tuple, pipeline.read_table(spark, root, t).collect()), key=repr) for t in first}
     assert again == first
     assert pipeline.read_table(spark, root, "dim_dates").count() == 3653
+
+
+def test_fact_salted_hot_orders_give_same_rows(src_small):
+    plain = facts.fact_orders(src_small, pair_limit=10 ** 12)
+    salted = facts.fact_orders(src_small, pair_limit=3)  # most multi-item orders become hot
+    assert facts.hot_orders(src_small["order_items"], src_small["payments"], 3).count() > 100
+    key = lambda r: repr(tuple(r))
+    assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
