@@ -129,11 +129,17 @@ def keep_first_with_position(df: DataFrame, keys: Sequence[str], order: Sequence
         keyed = dense_key(df, [e.asc_nulls_last() for e in order], key_col)
         return keep_first(keyed, keys, [key_col])
     otype = tagged.schema["_mw_o"].dataType
-    bounds = [r[0] for r in kept.select("_mw_o").orderBy("_mw_o").collect()]  # <= max_groups rows
-    bound_array = F.array(*[_literal(b, otype) for b in bounds])
-
-    def bucket(c: Column) -> Column:  # number of kept order values <= c
-        return F.size(F.filter(bound_array, lambda b: b <= c))
+    bounds = [_literal(r[0], otype) for r in kept.select("_mw_o").orderBy("_mw_o").collect()]  # <= max_groups
+
+    def bucket(c: Column) -> Column:
+        """Number of kept order values <= c: a balanced tree of comparisons,
+        log2(bounds) per row, compiled with the stage."""
+        def count_in(lo: int, hi: int) -> Column:  # the answer lies in [lo, hi]
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi + 1) // 2
+            return F.when(c >= bounds[mid - 1], count_in(mid, hi)).otherwise(count_in(lo, mid - 1))
+        return count_in(0, len(bounds))
 
     counts = tagged.groupBy(bucket(F.col("_mw_o")).alias("_mw_b")).agg(F.count(F.lit(1)).alias("_mw_n"))
     before = Window.orderBy("_mw_b").rowsBetween(Window.unboundedPreceding, -1)
