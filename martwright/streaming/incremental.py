@@ -6,9 +6,10 @@ up and ``foreachBatch`` does, per micro-batch:
 1. upsert the batch into the staged orders table by ``order_id`` (anti-join +
    union, folder swap) — replaying an epoch after a failure is a no-op;
 2. find the order days the batch touches;
-3. recompute the mart rows of exactly those days from the staged tables and
-   overwrite only those ``order_date`` partitions (dynamic partition
-   overwrite).
+3. recompute the mart rows of the months those days fall in from the staged
+   tables and overwrite only those ``order_month`` partitions (dynamic
+   partition overwrite; a month is the partition so a small mart does not
+   become thousands of one-day files).
 
 Exact ``COUNT(DISTINCT order_id)`` is not available in a streaming
 aggregation, so days are recomputed in batch form inside ``foreachBatch``;
@@ -37,21 +38,25 @@ def _mart_path(root: str) -> str:
     return table_path(root, MART)
 
 
-def write_days(mart_rows: DataFrame, root: str) -> None:
-    """Overwrite the ``order_date`` partitions present in ``mart_rows``."""
-    (mart_rows.repartition("order_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("order_date").parquet(_mart_path(root)))
+def _month(c) -> F.Column:
+    return F.trunc(c, "month")
+
 
+def write_months(mart_rows: DataFrame, root: str) -> None:
+    """Overwrite the ``order_month`` partitions present in ``mart_rows``."""
+    (mart_rows.withColumn("order_month", _month(F.col("order_date")))
+     .repartition("order_month").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("order_month").parquet(_mart_path(root)))
 
-def refresh_days(spark: SparkSession, root: str, days: DataFrame) -> None:
-    """Recompute the mart for the days in ``days`` (one ``order_date`` column).
 
-    Only the touched orders and their items, payments and customers are read
-    into the recomputation (semi-joins on the touched keys)."""
+def refresh_months(spark: SparkSession, root: str, months: DataFrame) -> None:
+    """Recompute the mart for the months in ``months`` (one ``order_month``
+    column). Only the orders of those months and their items, payments and
+    customers are read into the recomputation (semi-joins on touched keys)."""
     st = StagedSources(spark, root)
     o = st["orders"]
-    touched = o.join(days, F.to_date(o["order_purchase_timestamp"]) == days["order_date"], "left_semi")
+    touched = o.join(months, _month(o["order_purchase_timestamp"]) == months["order_month"], "left_semi")
     ids = touched.select("order_id")
     view = {
         "orders": touched,
@@ -59,7 +64,7 @@ def refresh_days(spark: SparkSession, root: str, days: DataFrame) -> None:
         "payments": st["payments"].join(ids, "order_id", "left_semi"),
         "customers": st["customers"].join(touched.select("customer_id"), "customer_id", "left_semi"),
     }
-    write_days(marts.mart_sales_daily(view), root)
+    write_months(marts.mart_sales_daily(view), root)
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -72,8 +77,8 @@ def process_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
     orders_path = table_path(root, "stg_orders")
     merged = upsert(spark.read.parquet(orders_path), batch, ["order_id"])
     replace_table(merged, orders_path)
-    days = batch.select(F.to_date("order_purchase_timestamp").alias("order_date")).distinct()
-    refresh_days(spark, root, days)
+    months = batch.select(_month(F.col("order_purchase_timestamp")).alias("order_month")).distinct()
+    refresh_months(spark, root, months)
 
 
 def start_stream(spark: SparkSession, root: str, inbox: str, checkpoint: str):
@@ -97,7 +102,7 @@ def incremental_sales_daily(spark: SparkSession, src) -> DataFrame:
 
     for name, df in {"orders": early, **{n: src[n] for n in MART_INPUTS}}.items():
         replace_table(df, table_path(root, f"stg_{name}"))
-    write_days(marts.mart_sales_daily(StagedSources(spark, root)), root)
+    write_months(marts.mart_sales_daily(StagedSources(spark, root)), root)
 
     inbox = f"{root}/inbox/orders"
     late.write.parquet(inbox)
