@@ -13,11 +13,12 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.dml import replace_table, table_exists
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
-from . import dims, facts, marts
+from . import dims, facts, marts, reports
 
 LAYER_OF = {t: layer for layer, ts in MANIFEST.items() for t in ts}
 
@@ -89,15 +90,64 @@ def publish_marts(spark: SparkSession, root: str, parallelism: int = 3) -> None:
             f.result()
 
 
+class DataQualityError(RuntimeError):
+    """A gate between layers found duplicate or NULL keys."""
+
+
+def _gate(checked: DataFrame, layer: str) -> None:
+    bad = checked.where(~F.col("ok")).collect()  # at most one row per checked table
+    if bad:
+        raise DataQualityError(f"{layer}: key check failed for " + ", ".join(
+            f"{r.table_name}({r.key_columns}): {r.n_null_keys} NULL, {r.n_duplicate_keys} duplicated" for r in bad))
+
+
+def gate_sources(spark: SparkSession, root: str) -> None:
+    st = StagedSources(spark, root)
+    specs = {t: spec.primary_key for t, spec in SOURCES.items() if spec.primary_key}
+    _gate(quality.primary_keys({t: st[t] for t in specs}, specs), "staging")
+
+
+def gate_marts(spark: SparkSession, root: str) -> None:
+    _gate(quality.primary_keys({m: read_table(spark, root, m) for m in MART_KEYS}, MART_KEYS), "mart")
+
+
 def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date: _dt.date | str | None = None,
-        calendar: tuple[str, str] = dims.DEFAULT_CALENDAR, fact_partition_by: Sequence[str] = ()) -> str:
-    """Whole refresh in dependency order; returns ``root``."""
+        calendar: tuple[str, str] = dims.DEFAULT_CALENDAR, fact_partition_by: Sequence[str] = (),
+        gates: bool = False) -> str:
+    """Whole refresh in dependency order; returns ``root``.
+
+    ``gates``: stop before building on staged sources whose primary keys are
+    NULL or duplicated, and fail after publishing marts whose keys are (foreign
+    keys are reported by ``checks``, not gated: dangling references are data,
+    e.g. an untranslated category).
+    """
     stage(src, root)
+    if gates:
+        gate_sources(spark, root)
     build_warehouse(spark, root, run_date, calendar, fact_partition_by)
     publish_marts(spark, root)
+    if gates:
+        gate_marts(spark, root)
     return root
 
 
+def reports_from_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The BI reports over a built warehouse (mart reports read the marts)."""
+    st = StagedSources(spark, root)
+    sales = read_table(spark, root, "mart_sales_daily")
+    return {
+        "report_revenue_by_month": reports.report_revenue_by_month(st, read_table(spark, root, "dim_dates")),
+        "report_orders_by_status": reports.report_orders_by_status(st),
+        "report_units_by_category": reports.report_units_by_category(st, read_table(spark, root, "dim_products")),
+        "report_revenue_by_city": reports.report_revenue_by_city(st, read_table(spark, root, "dim_geolocation")),
+        "report_sales_daily": reports.report_sales_daily(sales),
+        "report_top20_products": reports.report_top20_products(read_table(spark, root, "mart_product_performance")),
+        "report_top20_cities": reports.report_top20_cities(read_table(spark, root, "mart_city_revenue")),
+        "report_total_revenue_all_days": reports.report_total_revenue_all_days(sales),
+        "report_total_orders_all_days": reports.report_total_orders_all_days(sales),
+    }
+
+
 def present_tables(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFrame]:
     """{(layer, table): frame} for every manifest table found under ``root``."""
     out = {}
@@ -115,12 +165,14 @@ def checks(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     src = {n: st[n] for n in STAGING_ORDER}
     fks = [(t, c, pt, pc) for t, spec in SOURCES.items() for c, pt, pc in spec.foreign_keys]
     pks = {t: spec.primary_key for t, spec in SOURCES.items() if spec.primary_key}
-    mart_tables = {m: read_table(spark, root, m) for m in MART_KEYS}
+    mart_tables = {m: read_table(spark, root, m) for m in MART_KEYS if table_exists(spark, table_path(root, m))}
     limits = {t: spec.lengths for t, spec in SOURCES.items()}
     return {
         "row_counts": quality.row_counts(present_tables(spark, root)),
         "tables": quality.expected_tables(spark, MANIFEST, present_tables(spark, root)),
         "foreign_keys": quality.foreign_keys(src, fks),
-        "primary_keys": quality.primary_keys({**src, **mart_tables}, {**pks, **MART_KEYS}),
-        "lengths": quality.lengths({**src, **mart_tables}, {**limits, **MART_LENGTHS}),
+        "primary_keys": quality.primary_keys({**src, **mart_tables},
+                                             {**pks, **{m: k for m, k in MART_KEYS.items() if m in mart_tables}}),
+        "lengths": quality.lengths({**src, **mart_tables},
+                                   {**limits, **{m: n for m, n in MART_LENGTHS.items() if m in mart_tables}}),
     }

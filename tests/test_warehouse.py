@@ -111,3 +111,30 @@ def test_fact_salted_hot_orders_give_same_rows(src_small):
     assert facts.hot_orders(src_small["order_items"], src_small["payments"], 3).count() > 100
     key = lambda r: repr(tuple(r))
     assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
+
+
+def test_sql_layers_gates_and_reports(spark, src_small):
+    from martwright.plans import catalog
+    root = scratch_path(spark, "t-catalog")
+    pipeline.run(spark, src_small, root, run_date="2024-10-26", gates=True)
+    names = catalog.register_layers(spark, root)
+    assert "mart.mart_sales_daily" in names and len(names) == sum(len(v) for v in MANIFEST.values())
+    types = dict((f.name, f.dataType.simpleString()) for f in spark.table("mart.mart_sales_daily").schema.fields)
+    assert types["total_revenue"] == "decimal(18,2)"
+    total = catalog.execute_sql(spark, "SELECT SUM(order_count) AS n FROM mart.mart_sales_daily").first().n
+    assert total == src_small["orders"].count()
+    rep = pipeline.reports_from_warehouse(spark, root)
+    assert rep["report_total_orders_all_days"].first()[0] == total
+    assert rep["report_revenue_by_month"].count() == 0  # default calendar 2016-2025 misses 1995-2001 orders
+    catalog.drop_table(spark, "mart", "mart_city_revenue", root)
+    assert not spark.catalog.tableExists("mart.mart_city_revenue")
+    missing = {r.table_name: r.present for r in pipeline.checks(spark, root)["tables"].collect()}
+    assert missing["mart_city_revenue"] is False
+
+
+def test_gate_rejects_duplicate_source_keys(spark, src_small):
+    import pytest
+    dup = dict(src_small.as_dict())
+    dup["customers"] = src_small["customers"].unionByName(src_small["customers"].limit(1))
+    with pytest.raises(pipeline.DataQualityError):
+        pipeline.run(spark, dup, scratch_path(spark, "t-gate"), run_date="2024-10-26", gates=True)
