@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_int, is_weekend, run_date_lit, title_case, zfill
-from ..operators.keys import dense_key, keep_first_with_position, numeric_id_order
+from ..operators.keys import dense_key, keep_first, keep_first_with_position, numeric_id_order
 from ..sources.schemas import SRC_POS
 
 Src = Mapping[str, DataFrame]
@@ -50,7 +50,9 @@ def dim_customers(src: Src, run_date: _dt.date | str | None = None) -> DataFrame
     })
 
 
-def dim_products(src: Src, run_date: _dt.date | str | None = None) -> DataFrame:
+def product_attributes(src: Src) -> DataFrame:
+    """Products with the English category name and filled measurements (the
+    dimension without its positional key)."""
     p = src["products"]
     tr = src["product_category_name_translation"]
     joined = p.join(tr, p["product_category_name"] == tr["product_category_name"], "left")
@@ -58,7 +60,11 @@ def dim_products(src: Src, run_date: _dt.date | str | None = None) -> DataFrame:
     cols = [F.coalesce(p[c], F.lit(fills[c])).alias(c) if c in fills else p[c] for c in p.columns]
     cols.append(F.coalesce(tr["product_category_name_english"], F.lit("Unknown"))
                 .alias("product_category_name_english"))
-    out = dense_key(joined.select(*cols), numeric_id_order("product_id"), "product_key")
+    return joined.select(*cols)
+
+
+def dim_products(src: Src, run_date: _dt.date | str | None = None) -> DataFrame:
+    out = dense_key(product_attributes(src), numeric_id_order("product_id"), "product_key")
     return out.withColumn("last_updated", run_date_lit(run_date))
 
 
@@ -69,12 +75,22 @@ def dim_sellers(src: Src, run_date: _dt.date | str | None = None) -> DataFrame:
     return out.withColumn("last_updated", run_date_lit(run_date))
 
 
+def _clean_geolocation(src: Src) -> DataFrame:
+    g = src["geolocation"]
+    return g.select(*_place_columns(g, "geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"))
+
+
+def geolocation_first_rows(src: Src) -> DataFrame:
+    """One row per padded zip, the first in ingest order (the dimension
+    without its key): a single map-side aggregate."""
+    return keep_first(_clean_geolocation(src), ["geolocation_zip_code_prefix"], [SRC_POS]).drop(SRC_POS)
+
+
 def dim_geolocation(src: Src) -> DataFrame:
     """One row per padded zip: the first in ingest order. The key is the
     position of the kept row in the whole source (so it has gaps)."""
-    g = src["geolocation"]
-    g = g.select(*_place_columns(g, "geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"))
-    kept = keep_first_with_position(g, ["geolocation_zip_code_prefix"], [F.col(SRC_POS)], "geolocation_key")
+    kept = keep_first_with_position(_clean_geolocation(src), ["geolocation_zip_code_prefix"], [F.col(SRC_POS)],
+                                    "geolocation_key")
     return kept.drop(SRC_POS)
 
 

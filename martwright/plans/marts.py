@@ -62,7 +62,7 @@ def _product_totals(items: DataFrame) -> DataFrame:
 
 
 def mart_product_performance(src: Src, dim_products: DataFrame | None = None) -> DataFrame:
-    p = dim_products if dim_products is not None else dims.dim_products(src)
+    p = dim_products if dim_products is not None else dims.product_attributes(src)
     p = p.select("product_id", "product_category_name", "product_category_name_english")
     totals = _product_totals(facts.item_grain(src))
     j = totals.join(p, totals["product_key"] == p["product_id"])
@@ -86,13 +86,13 @@ def _city_revenue(rollup: DataFrame, geo: DataFrame, zip_text: F.Column) -> Data
 def mart_city_revenue(src: Src, dim_geolocation: DataFrame | None = None) -> DataFrame:
     """As written: the fact's raw zip (text) against the padded dim zip, so
     zips below 10000 find no city."""
-    geo = dim_geolocation if dim_geolocation is not None else dims.dim_geolocation(src)
+    geo = dim_geolocation if dim_geolocation is not None else dims.geolocation_first_rows(src)
     return _city_revenue(facts.order_rollup(src), geo, F.col("geolocation_key").cast("string"))
 
 
 def mart_city_revenue_padded(src: Src, dim_geolocation: DataFrame | None = None) -> DataFrame:
     """Corrected: both sides zero-padded to five characters."""
-    geo = dim_geolocation if dim_geolocation is not None else dims.dim_geolocation(src)
+    geo = dim_geolocation if dim_geolocation is not None else dims.geolocation_first_rows(src)
     return _city_revenue(facts.order_rollup(src), geo, zfill(F.col("geolocation_key")))
 
 

@@ -36,7 +36,7 @@ def report_orders_by_status(src: Src) -> DataFrame:
 
 
 def report_units_by_category(src: Src, dim_products: DataFrame | None = None) -> DataFrame:
-    p = dim_products if dim_products is not None else dims.dim_products(src)
+    p = dim_products if dim_products is not None else dims.product_attributes(src)
     per_product = (facts.item_grain(src).where(F.col("product_key").isNotNull())
                    .groupBy("product_key").agg(F.sum("fanout").alias("units")))
     j = per_product.join(p.select("product_id", "product_category_name"),
@@ -47,10 +47,12 @@ def report_units_by_category(src: Src, dim_products: DataFrame | None = None) ->
 
 def _revenue_by_city(src: Src, geo: DataFrame, on_zip: bool) -> DataFrame:
     per_zip = facts.order_rollup(src).groupBy("geolocation_key").agg(F.sum("revenue").alias("revenue"))
-    g = geo.select("geolocation_zip_code_prefix", "geolocation_city",
-                   F.col("geolocation_key").alias("g_key"))
-    cond = (zfill(per_zip["geolocation_key"]) == g["geolocation_zip_code_prefix"] if on_zip
-            else per_zip["geolocation_key"] == g["g_key"])
+    if on_zip:
+        g = geo.select("geolocation_zip_code_prefix", "geolocation_city")
+        cond = zfill(per_zip["geolocation_key"]) == g["geolocation_zip_code_prefix"]
+    else:
+        g = geo.select("geolocation_city", F.col("geolocation_key").alias("g_key"))
+        cond = per_zip["geolocation_key"] == g["g_key"]
     return (per_zip.join(g, cond).groupBy("geolocation_city")
             .agg(F.sum("revenue").cast(TOTAL).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc_nulls_first(), "geolocation_city"))
@@ -64,7 +66,7 @@ def report_revenue_by_city(src: Src, dim_geolocation: DataFrame | None = None) -
 
 def report_revenue_by_city_zip(src: Src, dim_geolocation: DataFrame | None = None) -> DataFrame:
     """Corrected: joined on the zero-padded zip."""
-    geo = dim_geolocation if dim_geolocation is not None else dims.dim_geolocation(src)
+    geo = dim_geolocation if dim_geolocation is not None else dims.geolocation_first_rows(src)
     return _revenue_by_city(src, geo, on_zip=True)
 
 
