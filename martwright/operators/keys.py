@@ -76,13 +76,32 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     return out.select(*[F.col(c) if c in keys else F.col(f"_mw_first.`{c}`").alias(c) for c in df.columns])
 
 
+# Largest distinct-value set ranked by one task; bigger sets use dense_key.
+LOCAL_RANK_MAX = 100_000
+
+
+def rank_values(values: DataFrame, col: str, rank_col: str, max_local: int = LOCAL_RANK_MAX) -> DataFrame:
+    """(value, rank) for a frame of distinct non-NULL values: 1-based rank in
+    ascending order. A set of at most ``max_local`` values (measured) is
+    ranked by a single-task window; a larger one by ``dense_key``."""
+    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # both branches materialise eagerly, so the cache can go afterwards
+        if values.limit(max_local + 1).count() <= max_local:
+            ranked = values.select(col, F.row_number().over(Window.orderBy(F.col(col).asc())).cast("long")
+                                   .alias(rank_col))
+            return ranked.checkpoint(eager=True)
+        return dense_key(values, [F.col(col).asc()], rank_col)
+    finally:
+        values.unpersist()
+
+
 def category_code(df: DataFrame, col: str, code_col: str, universe: DataFrame | None = None) -> DataFrame:
     """``astype('category').cat.codes + 1``: dense code of the value in sorted
     order of the distinct values, NULL -> 0. ``universe`` is the frame whose
     distinct values define the categories (default: ``df``)."""
     values = (universe if universe is not None else df).select(F.col(col).alias("_mw_v"))
     values = values.where(F.col("_mw_v").isNotNull()).distinct()
-    coded = dense_key(values, [F.col("_mw_v").asc()], "_mw_code", persist_input=True)
+    coded = rank_values(values, "_mw_v", "_mw_code")
     # the distinct set is small in practice but unbounded in principle:
     # broadcast only after measuring it, else a shuffle join
     coded = broadcast_if_small(coded)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import day_diff, fill_int, money, zfill
 from ..operators.joins import broadcast_if_small
-from ..operators.keys import dense_key
+from ..operators.keys import rank_values
 from ..sources.schemas import FACT_COLUMNS
 
 Src = Mapping[str, DataFrame]
@@ -59,7 +59,7 @@ def payment_type_codes(src: Src) -> DataFrame:
     pays = src["payments"].select("order_id", "payment_type")
     reaching = pays.join(src["orders"].select("order_id"), "order_id", "left_semi")
     values = reaching.select("payment_type").where(F.col("payment_type").isNotNull()).distinct()
-    return dense_key(values, [F.col("payment_type").asc()], "code", persist_input=True)
+    return rank_values(values, "payment_type", "code")
 
 
 def _common_columns(df: DataFrame) -> dict[str, F.Column]:

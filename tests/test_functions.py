@@ -141,3 +141,12 @@ def test_keep_first_with_position_composite_order_nulls_last(spark):
     got = {r.t: r.k for r in keep_first_with_position(df, ["t"], order, "k").collect()}
     # row order: 9/1, 10/1, 10/2, x/1, NULL/1
     assert got == {"b": 1, "c": 2, "a": 3}
+
+
+def test_rank_values_local_and_distributed_agree(spark):
+    from martwright.operators.keys import rank_values
+    vals = spark.range(300).select((F.col("id") * 37 % 300).cast("string").alias("v"))
+    small = {r.v: r.k for r in rank_values(vals, "v", "k").collect()}
+    big = {r.v: r.k for r in rank_values(vals, "v", "k", max_local=10).collect()}
+    assert small == big and sorted(small.values()) == list(range(1, 301))
+    assert small["0"] == 1 and small["99"] == 300  # string order
