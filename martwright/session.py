@@ -72,7 +72,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - absent key
             configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="martwright-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(checkpoints and scratch tables must survive the loss of a machine)")
+        configured = tempfile.mkdtemp(prefix="martwright-ckpt-")  # local mode only (tests)
     spark.sparkContext.setCheckpointDir(configured)
     return jsc.getCheckpointDir().get()
 
