@@ -38,9 +38,16 @@ PAIR_LIMIT = 4_000_000
 HOT_ORDERS_MAX = 100_000
 
 
-def _orders_with_zip(src: Src) -> DataFrame:
+def _orders_with_zip(src: Src, with_zip: bool = True) -> DataFrame:
     """Orders with the customer's zip. Joined at order grain, before the
-    fan-out, so only orders (not fact rows) are shuffled by customer."""
+    fan-out, so only orders (not fact rows) are shuffled by customer.
+
+    ``with_zip=False`` skips the join for jobs that read no customer column:
+    with ``customer_id`` the customers' declared key (checked by
+    ``dq_primary_keys`` and the pipeline gates) the left join neither adds
+    nor removes order rows, so it would only cost a shuffle of all orders."""
+    if not with_zip:
+        return src["orders"]
     c = src["customers"].select("customer_id", "customer_zip_code_prefix")
     return src["orders"].join(c, "customer_id", "left")
 
@@ -161,23 +168,24 @@ def item_grain(src: Src, with_fanout: bool = True) -> DataFrame:
     unique per order), so a hot order's items sit on the splittable side of
     every join and AQE can spread them over several tasks.
     """
-    df = src["order_items"].join(_orders_with_zip(src), "order_id", "inner")
+    df = src["order_items"].join(_orders_with_zip(src, with_zip=False), "order_id", "inner")
     if with_fanout:
         df = df.join(_payment_counts(src), "order_id", "left")
     cols = _common_columns(df)
     return df.select(*[cols[c].alias(c) for c in ["order_id", "product_key", "order_date_key", "order_status",
-                                                    "geolocation_key", "price", "total_amount"]],
+                                                    "price", "total_amount"]],
                      (_fanout() if with_fanout else F.lit(1).cast("long")).alias("fanout"))
 
 
-def order_rollup(src: Src, with_fanout: bool = True) -> DataFrame:
+def order_rollup(src: Src, with_fanout: bool = True, with_zip: bool = True) -> DataFrame:
     """One row per order: revenue (decimal, fan-out applied) and the number of
     fact rows the order produces. Items and payments are aggregated per
-    order before joining, so a hot order shuffles one row, not its items."""
+    order before joining, so a hot order shuffles one row, not its items.
+    ``with_zip=False``: no ``geolocation_key`` (and no customers join)."""
     items = src["order_items"].groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sum(money(F.col("price") + F.col("freight_value"))).alias("amount"))
-    df = _orders_with_zip(src).join(items, "order_id", "left")
+    df = _orders_with_zip(src, with_zip).join(items, "order_id", "left")
     if with_fanout:
         df = df.join(_payment_counts(src), "order_id", "left")
     fan = _fanout() if with_fanout else F.lit(1).cast("long")

@@ -37,12 +37,12 @@ def _sales_daily(rollup: DataFrame) -> DataFrame:
 
 
 def mart_sales_daily(src: Src) -> DataFrame:
-    return conform(_sales_daily(facts.order_rollup(src)), "mart_sales_daily")
+    return conform(_sales_daily(facts.order_rollup(src, with_zip=False)), "mart_sales_daily")
 
 
 def mart_sales_daily_item_grain(src: Src) -> DataFrame:
     """Corrected: revenue at item grain (no payment fan-out)."""
-    return conform(_sales_daily(facts.order_rollup(src, with_fanout=False)), "mart_sales_daily")
+    return conform(_sales_daily(facts.order_rollup(src, with_fanout=False, with_zip=False)), "mart_sales_daily")
 
 
 def _product_totals(items: DataFrame) -> DataFrame:

@@ -23,14 +23,14 @@ TOP_K = 20
 
 def report_revenue_by_month(src: Src, dim_dates: DataFrame | None = None) -> DataFrame:
     cal = dim_dates if dim_dates is not None else dims.dim_dates_covering(src["orders"], "order_purchase_timestamp")
-    per_day = facts.order_rollup(src).groupBy("order_date_key").agg(F.sum("revenue").alias("revenue"))
+    per_day = facts.order_rollup(src, with_zip=False).groupBy("order_date_key").agg(F.sum("revenue").alias("revenue"))
     j = per_day.join(cal.select("date_key", "month"), per_day["order_date_key"] == cal["date_key"])
     return (j.groupBy("month").agg(F.sum("revenue").cast(TOTAL).alias("total_revenue"))
             .orderBy(F.col("month").asc_nulls_last()))
 
 
 def report_orders_by_status(src: Src) -> DataFrame:
-    return (facts.order_rollup(src).groupBy("order_status")
+    return (facts.order_rollup(src, with_zip=False).groupBy("order_status")
             .agg(F.sum("fact_rows").cast("long").alias("order_count"))
             .orderBy(F.col("order_count").desc_nulls_first(), "order_status"))
 

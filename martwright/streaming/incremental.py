@@ -31,7 +31,7 @@ from ..sources.schemas import SOURCES
 
 MART = "mart_sales_daily"
 LOOKBACK_DAYS = 365  # orders after (last order day - LOOKBACK_DAYS) arrive late
-MART_INPUTS = ("customers", "order_items", "payments")
+MART_INPUTS = ("order_items", "payments")
 
 
 def _mart_path(root: str) -> str:
@@ -52,8 +52,8 @@ def write_months(mart_rows: DataFrame, root: str) -> None:
 
 def refresh_months(spark: SparkSession, root: str, months: DataFrame) -> None:
     """Recompute the mart for the months in ``months`` (one ``order_month``
-    column). Only the orders of those months and their items, payments and
-    customers are read into the recomputation (semi-joins on touched keys)."""
+    column). Only the orders of those months and their items and payments are
+    read into the recomputation (semi-joins on the touched order ids)."""
     st = StagedSources(spark, root)
     o = st["orders"]
     touched = o.join(months, _month(o["order_purchase_timestamp"]) == months["order_month"], "left_semi")
@@ -62,7 +62,6 @@ def refresh_months(spark: SparkSession, root: str, months: DataFrame) -> None:
         "orders": touched,
         "order_items": st["order_items"].join(ids, "order_id", "left_semi"),
         "payments": st["payments"].join(ids, "order_id", "left_semi"),
-        "customers": st["customers"].join(touched.select("customer_id"), "customer_id", "left_semi"),
     }
     write_months(marts.mart_sales_daily(view), root)
 
