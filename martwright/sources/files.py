@@ -63,3 +63,25 @@ def read_table(spark: SparkSession, location: str, fmt: str = "parquet", **jdbc)
 def get_records(df: DataFrame):
     """Rows of a (query) frame to the driver one partition at a time."""
     return df.toLocalIterator()
+
+
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                             sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Bulk load that keeps going past bad rows: (typed good rows, quarantine).
+
+    A row whose fields do not parse as the declared types (or has the wrong
+    number of fields) goes to the quarantine frame with its raw text, instead
+    of failing the load or being silently coerced.
+    """
+    parsed = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+              .option("header", header).option("sep", sep)
+              .option("quote", '"').option("escape", '"')
+              .option("multiLine", True)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .csv(path))
+    good = parsed.where(F.col(CORRUPT).isNull()).select(*[f.name for f in schema.fields])
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(*[f.name for f in schema.fields], CORRUPT)
+    return good, bad

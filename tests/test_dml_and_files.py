@@ -85,3 +85,34 @@ def test_dump_round_trip_keeps_tabs_quotes_newlines_empty_and_null(spark):
     assert path.endswith("staging__t.txt")
     back = files.reload_dump(spark, path, df.schema)
     assert _rows(back, "k", "v") == _rows(df, "k", "v")
+
+
+def test_csv_quarantine_keeps_bad_rows_apart(spark):
+    schema = SOURCES["order_items"].schema
+    folder = _local(scratch_path(spark, "t-quarantine"))
+    os.makedirs(folder)
+    rows = ["order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value",
+            "o1,1,p1,s1,2017-01-02,10.5,1.25",
+            "o2,two,p2,s2,2017-01-03,3.0,0.5",
+            "o3,1,p3,s3,not-a-date,3.0,0.5",
+            'o4,2,"p,4",s4,2017-01-04,,0.5']
+    with open(os.path.join(folder, "items.csv"), "w") as f:
+        f.write("\n".join(rows) + "\n")
+    good, bad = files.read_csv_with_quarantine(spark, os.path.join(folder, "items.csv"), schema)
+    assert sorted(r.order_id for r in good.collect()) == ["o1", "o4"]
+    assert [r.price for r in good.where("order_id = 'o4'").collect()] == [None]
+    assert sorted(r["_corrupt_record"].split(",")[0] for r in bad.collect()) == ["o2", "o3"]
+
+
+def test_write_table_modes(spark):
+    import pytest
+    path = scratch_path(spark, "t-modes") + "/t"
+    dml.write_table(spark.range(3), path, "fail")
+    with pytest.raises(Exception):
+        dml.write_table(spark.range(3), path, "fail")
+    dml.write_table(spark.range(2), path, "append")
+    assert spark.read.parquet(path).count() == 5
+    dml.write_table(spark.range(1), path, "replace")
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError):
+        dml.write_table(spark.range(1), path, "upsert")
