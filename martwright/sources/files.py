@@ -7,11 +7,13 @@ accepted; quoted fields may hold the separator, doubled quotes and line breaks
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import SRC_POS
+from .schemas import SOURCES, SRC_POS
 
 DUMP_NULL = "\\N"
 
@@ -85,3 +87,28 @@ def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructTyp
     good = parsed.where(F.col(CORRUPT).isNull()).select(*[f.name for f in schema.fields])
     bad = parsed.where(F.col(CORRUPT).isNotNull()).select(*[f.name for f in schema.fields], CORRUPT)
     return good, bad
+
+
+class CsvSources(Mapping):
+    """The nine source tables bulk-loaded from delimited files in a folder.
+
+    ``file_names`` maps a source name to its file (or folder of part files);
+    the default is ``<source>.csv``. Geolocation gets its ingest position
+    (``src_pos``), which its keep-first de-duplication orders by.
+    """
+
+    POSITIONED = ("geolocation",)
+
+    def __init__(self, spark: SparkSession, folder: str, file_names: Mapping[str, str] | None = None):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.file_names = {n: f"{n}.csv" for n in SOURCES} | dict(file_names or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        path = f"{self.folder}/{self.file_names[name]}"
+        return read_csv(self.spark, path, SOURCES[name].schema, with_position=name in self.POSITIONED)
+
+    def __iter__(self):
+        return iter(SOURCES)
+
+    def __len__(self) -> int:
+        return len(SOURCES)
