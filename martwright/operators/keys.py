@@ -110,9 +110,12 @@ def category_code(df: DataFrame, col: str, code_col: str, universe: DataFrame |
                          F.coalesce(F.col("_mw_code"), F.lit(0)).cast("int").alias(code_col))
 
 
-# Largest number of kept groups for which positions are found by counting
-# (each row is compared with every kept row's order value).
-POSITION_MAX_GROUPS = 256
+# Largest number of kept groups for which positions are found by counting.
+# Each row goes through a comparison tree over the kept order values; the
+# tree is compiled into the stage, and trees much bigger than this (in groups
+# times order columns) exceed what whole-stage codegen splits cleanly.
+POSITION_MAX_GROUPS = 128
+POSITION_MAX_WEIGHT = 384  # groups x order columns
 
 
 def _order_struct(order: Sequence[Column]) -> Column:
@@ -141,6 +144,7 @@ def keep_first_with_position(df: DataFrame, keys: Sequence[str], order: Sequence
     ``max_groups`` + 1) buckets gives each kept row's position. Above the
     bound it falls back to ``dense_key`` over all rows, then ``keep_first``.
     """
+    max_groups = min(max_groups, POSITION_MAX_WEIGHT // max(1, len(order)))
     tagged = df.withColumn("_mw_o", _order_struct(order))
     kept = keep_first(tagged, keys, ["_mw_o"]).persist(StorageLevel.MEMORY_AND_DISK)
     if kept.limit(max_groups + 1).count() > max_groups:

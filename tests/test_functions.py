@@ -150,3 +150,17 @@ def test_rank_values_local_and_distributed_agree(spark):
     big = {r.v: r.k for r in rank_values(vals, "v", "k", max_local=10).collect()}
     assert small == big and sorted(small.values()) == list(range(1, 301))
     assert small["0"] == 1 and small["99"] == 300  # string order
+
+
+def test_keep_first_with_position_near_group_bound(spark):
+    from martwright.operators.keys import keep_first_with_position
+    n = 5000
+    df = spark.range(n).select((F.col("id") * 7 % 120).alias("g"), F.col("id").cast("string").alias("oid"),
+                               (F.col("id") % 3).cast("int").alias("seq"))
+    order = [F.expr("try_cast(oid AS BIGINT)"), F.col("oid"), F.col("seq")]
+    fast = {r.g: r.k for r in keep_first_with_position(df, ["g"], order, "k").collect()}
+    slow = {r.g: r.k for r in keep_first_with_position(df, ["g"], order, "k", max_groups=10).collect()}
+    assert len(fast) == 120 and fast == slow
+    many = df.withColumn("g", F.col("oid").cast("long") % 400)  # 400 groups: above the bound, sorts
+    got = {r.g: r.k for r in keep_first_with_position(many, ["g"], order, "k").collect()}
+    assert got == {g: g + 1 for g in range(400)}  # ids 0..399 come first in order
