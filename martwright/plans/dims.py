@@ -19,8 +19,14 @@ from ..sources.schemas import SRC_POS
 
 Src = Mapping[str, DataFrame]
 
+# Fixed values (must equal the original pipeline's): default calendar range,
+# validity horizon of a dimension row in days, label for an untranslated
+# category, measurement columns filled with zero, day/month name patterns.
 DEFAULT_CALENDAR = ("2016-01-01", "2025-12-31")
 SCD_HORIZON_DAYS = 3650
+UNKNOWN_CATEGORY = "Unknown"
+ZERO_FILLED = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
+DAY_NAME, MONTH_NAME = "EEEE", "MMMM"
 
 
 def _place_columns(df: DataFrame, zip_col: str, city_col: str, state_col: str) -> list:
@@ -56,9 +62,9 @@ def product_attributes(src: Src) -> DataFrame:
     p = src["products"]
     tr = src["product_category_name_translation"]
     joined = p.join(tr, p["product_category_name"] == tr["product_category_name"], "left")
-    fills = {"product_weight_g": 0, "product_length_cm": 0.0, "product_height_cm": 0.0, "product_width_cm": 0.0}
-    cols = [F.coalesce(p[c], F.lit(fills[c])).alias(c) if c in fills else p[c] for c in p.columns]
-    cols.append(F.coalesce(tr["product_category_name_english"], F.lit("Unknown"))
+    cols = [F.coalesce(p[c], F.lit(0).cast(p.schema[c].dataType)).alias(c) if c in ZERO_FILLED else p[c]
+            for c in p.columns]
+    cols.append(F.coalesce(tr["product_category_name_english"], F.lit(UNKNOWN_CATEGORY))
                 .alias("product_category_name_english"))
     return joined.select(*cols)
 
@@ -114,8 +120,8 @@ def calendar(days: DataFrame) -> DataFrame:
         F.year(d).alias("year"),
         F.quarter(d).alias("quarter"),
         F.weekday(d).alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        F.date_format(d, "MMMM").alias("month_name"),
+        F.date_format(d, DAY_NAME).alias("day_name"),
+        F.date_format(d, MONTH_NAME).alias("month_name"),
         is_weekend(d).alias("is_weekend"))
 
 
