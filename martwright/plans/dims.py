@@ -140,3 +140,32 @@ def dim_dates_covering(dates: DataFrame, col: str) -> DataFrame:
         F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
         F.make_date(F.year("hi"), F.lit(12), F.lit(31)))).alias("date_key"))
     return calendar(span)
+
+
+# --- surrogate-key maps: (natural key, surrogate key) only -----------------
+# The positional keys depend on the order columns alone, so the maps are the
+# dimensions' keys without carrying (and checkpointing) every other column.
+
+def customer_keys(src: Src) -> DataFrame:
+    return dense_key(src["customers"].select("customer_id"), numeric_id_order("customer_id"), "customer_key")
+
+
+def product_keys(src: Src) -> DataFrame:
+    return dense_key(src["products"].select("product_id"), numeric_id_order("product_id"), "product_key")
+
+
+def seller_keys(src: Src) -> DataFrame:
+    return dense_key(src["sellers"].select("seller_id"), numeric_id_order("seller_id"), "seller_key")
+
+
+def geolocation_keys(src: Src) -> DataFrame:
+    g = src["geolocation"].select(zfill("geolocation_zip_code_prefix").alias("geolocation_zip_code_prefix"), SRC_POS)
+    return keep_first_with_position(g, ["geolocation_zip_code_prefix"], [F.col(SRC_POS)],
+                                    "geolocation_key").drop(SRC_POS)
+
+
+def payment_keys(src: Src) -> DataFrame:
+    p = src["payments"].select("order_id", "payment_sequential", F.lower("payment_type").alias("payment_type"),
+                               fill_int("payment_installments", 1).alias("payment_installments"))
+    order = [F.expr("try_cast(order_id AS BIGINT)"), F.col("order_id"), F.col("payment_sequential")]
+    return keep_first_with_position(p, ["payment_type", "payment_installments"], order, "payment_key")

@@ -201,6 +201,9 @@ def fact_orders_surrogate_keys(src: Src, dim_customers: DataFrame, dim_products:
                                dim_payments: DataFrame) -> DataFrame:
     """The fact with dimension surrogate keys instead of natural ids.
 
+    The ``dim_*`` arguments need only their natural and surrogate key columns
+    (the written dimensions, or the key maps of ``dims``).
+
     Each key is attached at its own source's grain before the fan-out join:
     customer and geolocation keys on orders, product and seller keys on items,
     the payment key on payments (matched on lower-cased type and whole

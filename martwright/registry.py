@@ -84,9 +84,8 @@ def _lengths(s: Sources) -> DataFrame:
 
 
 def _surrogate(s: Sources) -> DataFrame:
-    return facts.fact_orders_surrogate_keys(
-        s, dims.dim_customers(s, RUN_DATE), dims.dim_products(s, RUN_DATE), dims.dim_sellers(s, RUN_DATE),
-        dims.dim_geolocation(s), dims.dim_payments(s))
+    return facts.fact_orders_surrogate_keys(s, dims.customer_keys(s), dims.product_keys(s), dims.seller_keys(s),
+                                            dims.geolocation_keys(s), dims.payment_keys(s))
 
 
 def _order_calendar(s: Sources) -> DataFrame:
