@@ -33,13 +33,40 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     """Replace-write (``if_exists='replace'``) with an atomic-looking swap."""
-    spark = df.sparkSession
-    tag = uuid.uuid4().hex
-    staging = f"{path.rstrip('/')}.__new__{tag}"
+    staging = f"{path.rstrip('/')}.__new__{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(staging)
+    return _swap_in(df.sparkSession, staging, path)
+
+
+def replace_bucketed_table(df: DataFrame, path: str, table: str, key: str, buckets: int) -> str:
+    """Replace-write as a table bucketed and sorted by ``key`` into
+    ``buckets`` files, registered as ``table`` over ``path``.
+
+    Joins and groupings on ``key`` between tables bucketed the same way read
+    co-partitioned files instead of shuffling them. The data is written to a
+    sibling folder and swapped in like ``replace_table``; the catalog entry
+    (which carries the bucket spec) is then re-pointed at the folder.
+    """
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex
+    staging, staging_table = f"{path.rstrip('/')}.__new__{tag}", f"{table}__new_{tag}"
+    (df.repartition(buckets, key).write.format("parquet")
+     .bucketBy(buckets, key).sortBy(key).option("path", staging).saveAsTable(staging_table))
+    spark.sql(f"DROP TABLE IF EXISTS {staging_table}")  # external table: the files stay
+    _swap_in(spark, staging, path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+              f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return path
+
+
+def _swap_in(spark: SparkSession, staging: str, path: str) -> str:
+    """Publish folder ``staging`` as ``path`` (two renames, old one removed)."""
+    tag = uuid.uuid4().hex
     fs, target = _fs(spark, path)
     _, new = _fs(spark, staging)
     if fs.exists(target):

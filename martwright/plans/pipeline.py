@@ -9,6 +9,7 @@ they are submitted concurrently as separate Spark jobs.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
-from ..operators.dml import replace_table, table_exists
+from ..operators.dml import replace_bucketed_table, replace_table, table_exists
+from ..session import shuffle_width
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
 from . import dims, facts, marts, reports
 
@@ -31,13 +33,31 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, table))
 
 
+# Staged tables joined and grouped on the order id: bucketed and sorted by it
+# with one bucket count, so the fact and the order-level marts read them
+# co-partitioned instead of shuffling items and payments again per job.
+ORDER_KEYED = ("orders", "order_items", "payments")
+BUCKET_KEY = "order_id"
+
+
+def bucketed_table_name(root: str, name: str) -> str:
+    """Session catalog name of a bucketed staging table (private per root, so
+    two warehouses in one session never alias each other)."""
+    return f"default.mw_{hashlib.sha1(root.encode()).hexdigest()[:12]}_stg_{name}"
+
+
 class StagedSources(Mapping):
-    """Source name -> staged parquet table (``stg_<name>``)."""
+    """Source name -> staged table (``stg_<name>``): the bucketed catalog table
+    when it is registered in this session, else the parquet folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name in ORDER_KEYED:
+            ident = bucketed_table_name(self.root, name)
+            if self.spark.catalog.tableExists(ident):
+                return self.spark.table(ident)
         return read_table(self.spark, self.root, f"stg_{name}")
 
     def __iter__(self):
@@ -47,12 +67,23 @@ class StagedSources(Mapping):
         return len(STAGING_ORDER)
 
 
-def stage(src: Mapping[str, DataFrame], root: str, parallelism: int = 4) -> None:
+def stage(src: Mapping[str, DataFrame], root: str, buckets: int | None = None, parallelism: int = 4) -> None:
     """Raw-to-staging copy of the nine source tables (``stg_`` prefix), as
-    concurrent jobs (the copies are independent)."""
+    concurrent jobs (the copies are independent). Orders, items and payments
+    are bucketed by order id into ``buckets`` files (default: the session's
+    shuffle width; 0 disables)."""
+    spark = src[STAGING_ORDER[0]].sparkSession
+    n = shuffle_width(spark) if buckets is None else buckets
+
+    def copy(name: str) -> None:
+        path = table_path(root, f"stg_{name}")
+        if n and name in ORDER_KEYED:
+            replace_bucketed_table(src[name], path, bucketed_table_name(root, name), BUCKET_KEY, n)
+        else:
+            replace_table(src[name], path)
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [pool.submit(replace_table, src[name], table_path(root, f"stg_{name}")) for name in STAGING_ORDER]
-        for f in futures:
+        for f in [pool.submit(copy, name) for name in STAGING_ORDER]:
             f.result()
 
 
@@ -121,7 +152,7 @@ def gate_marts(spark: SparkSession, root: str) -> None:
 
 def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date: _dt.date | str | None = None,
         calendar: tuple[str, str] = dims.DEFAULT_CALENDAR, fact_partition_by: Sequence[str] = (),
-        gates: bool = False) -> str:
+        gates: bool = False, buckets: int | None = None) -> str:
     """Whole refresh in dependency order; returns ``root``.
 
     ``gates``: stop before building on staged sources whose primary keys are
@@ -129,7 +160,7 @@ def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date:
     keys are reported by ``checks``, not gated: dangling references are data,
     e.g. an untranslated category).
     """
-    stage(src, root)
+    stage(src, root, buckets)
     if gates:
         gate_sources(spark, root)
     build_warehouse(spark, root, run_date, calendar, fact_partition_by)
