@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dml import table_exists
 from ..sources.schemas import MANIFEST, MART_SCHEMAS
-from .pipeline import table_path
+from .pipeline import BUCKET_KEY, ORDER_KEYED, table_path
 
 
 def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
 
 
-def register_layers(spark: SparkSession, root: str) -> list[str]:
+def register_layers(spark: SparkSession, root: str, buckets: int | None = None) -> list[str]:
     """CREATE DATABASE IF NOT EXISTS per layer, and a table over every table
     folder present under ``root`` (marts with their declared column types).
+    ``buckets``: the bucket count the refresh staged the order-keyed tables
+    with, declared so SQL joins on ``order_id`` skip the shuffle too.
     Returns the registered ``layer.table`` names."""
     registered = []
     for layer, tables in MANIFEST.items():
@@ -31,7 +33,11 @@ def register_layers(spark: SparkSession, root: str) -> list[str]:
             if not table_exists(spark, path):
                 continue
             cols = f"({_ddl(MART_SCHEMAS[t])}) " if t in MART_SCHEMAS else ""
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{t} {cols}USING parquet LOCATION '{path}'")
+            clustered = ""
+            if buckets and t.removeprefix("stg_") in ORDER_KEYED:
+                cols = f"({_ddl(spark.read.parquet(path).schema)}) "
+                clustered = (f"CLUSTERED BY (`{BUCKET_KEY}`) SORTED BY (`{BUCKET_KEY}`) INTO {buckets} BUCKETS ")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{t} {cols}USING parquet {clustered}LOCATION '{path}'")
             spark.catalog.refreshTable(f"{layer}.{t}")
             registered.append(f"{layer}.{t}")
     return registered

@@ -116,8 +116,11 @@ def test_fact_salted_hot_orders_give_same_rows(src_small):
 def test_sql_layers_gates_and_reports(spark, src_small):
     from martwright.plans import catalog
     root = scratch_path(spark, "t-catalog")
-    pipeline.run(spark, src_small, root, run_date="2024-10-26", gates=True)
-    names = catalog.register_layers(spark, root)
+    pipeline.run(spark, src_small, root, run_date="2024-10-26", gates=True, buckets=8)
+    names = catalog.register_layers(spark, root, buckets=8)
+    joined = spark.sql("SELECT COUNT(*) AS n FROM staging.stg_orders o JOIN staging.stg_order_items i "
+                       "ON o.order_id = i.order_id")
+    assert "Bucketed: true" in joined._jdf.queryExecution().executedPlan().toString()
     assert "mart.mart_sales_daily" in names and len(names) == sum(len(v) for v in MANIFEST.values())
     types = dict((f.name, f.dataType.simpleString()) for f in spark.table("mart.mart_sales_daily").schema.fields)
     assert types["total_revenue"] == "decimal(18,2)"
