@@ -80,6 +80,8 @@ def stage(src: Mapping[str, DataFrame], root: str, buckets: int | None = None, p
         if n and name in ORDER_KEYED:
             replace_bucketed_table(src[name], path, bucketed_table_name(root, name), BUCKET_KEY, n)
         else:
+            # a bucket spec left from an earlier run must not describe these files
+            spark.sql(f"DROP TABLE IF EXISTS {bucketed_table_name(root, name)}")
             replace_table(src[name], path)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:

@@ -204,3 +204,12 @@ def test_bucketed_staging_removes_order_shuffles(spark, src_small):
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_restaging_without_buckets_drops_the_bucket_spec(spark, src_small):
+    root = scratch_path(spark, "t-rebucket")
+    pipeline.stage(src_small, root, buckets=4)
+    assert spark.catalog.tableExists(pipeline.bucketed_table_name(root, "orders"))
+    pipeline.stage(src_small, root, buckets=0)
+    assert not spark.catalog.tableExists(pipeline.bucketed_table_name(root, "orders"))
+    assert pipeline.StagedSources(spark, root)["orders"].count() == src_small["orders"].count()
