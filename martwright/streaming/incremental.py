@@ -3,9 +3,11 @@
 New orders land as files in an inbox folder. A file-source stream picks them
 up and ``foreachBatch`` does, per micro-batch:
 
-1. upsert the batch into the staged orders table by ``order_id`` (anti-join +
-   union, folder swap) — replaying an epoch after a failure is a no-op;
-2. find the order days the batch touches;
+1. upsert the batch into the staged orders (partitioned by purchase month)
+   by ``order_id``, rewriting only the months the batch touches — replaying
+   an epoch after a failure is a no-op;
+2. find the months the batch touches (its own, and any an updated order
+   moved out of);
 3. recompute the mart rows of the months those days fall in from the staged
    tables and overwrite only those ``order_month`` partitions (dynamic
    partition overwrite; a month is the partition so a small mart does not
@@ -23,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dml import replace_table, upsert
+from ..operators.dml import _fs, replace_table, upsert
 from ..plans import marts
 from ..plans.pipeline import StagedSources, table_path
 from ..session import scratch_path
@@ -32,6 +34,7 @@ from ..sources.schemas import SOURCES
 MART = "mart_sales_daily"
 LOOKBACK_DAYS = 365  # orders after (last order day - LOOKBACK_DAYS) arrive late
 MART_INPUTS = ("order_items", "payments")
+MONTH = "order_month"
 
 
 def _mart_path(root: str) -> str:
@@ -42,28 +45,47 @@ def _month(c) -> F.Column:
     return F.trunc(c, "month")
 
 
-def write_months(mart_rows: DataFrame, root: str) -> None:
-    """Overwrite the ``order_month`` partitions present in ``mart_rows``."""
-    (mart_rows.withColumn("order_month", _month(F.col("order_date")))
-     .repartition("order_month").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("order_month").parquet(_mart_path(root)))
+def _with_month(orders: DataFrame) -> DataFrame:
+    return orders.withColumn(MONTH, _month(F.col("order_purchase_timestamp")))
 
 
-def refresh_months(spark: SparkSession, root: str, months: DataFrame) -> None:
-    """Recompute the mart for the months in ``months`` (one ``order_month``
-    column). Only the orders of those months and their items and payments are
-    read into the recomputation (semi-joins on the touched order ids)."""
+def _overwrite_months(df: DataFrame, path: str, months: list[_dt.date] | None) -> None:
+    """Dynamic overwrite of the ``order_month`` partitions present in ``df``;
+    of ``months``, those left without rows have their folders removed."""
+    (df.repartition(MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(MONTH).parquet(path))
+    if months:
+        present = {r[0] for r in df.select(MONTH).distinct().collect()}  # at most len(months) rows
+        for m in set(months) - present:
+            fs, p = _fs(df.sparkSession, f"{path}/{MONTH}={m.isoformat()}")
+            if fs.exists(p):
+                fs.delete(p, True)
+
+
+def stage_orders(orders: DataFrame, root: str) -> None:
+    """Staged orders partitioned by purchase month."""
+    replace_table(_with_month(orders), table_path(root, "stg_orders"), partition_by=(MONTH,))
+
+
+def write_months(mart_rows: DataFrame, root: str, months: list[_dt.date] | None = None) -> None:
+    """Overwrite the mart's ``order_month`` partitions for ``mart_rows``."""
+    rows = mart_rows.withColumn(MONTH, _month(F.col("order_date")))
+    _overwrite_months(rows, _mart_path(root), months)
+
+
+def refresh_months(spark: SparkSession, root: str, months: list[_dt.date]) -> None:
+    """Recompute the mart for ``months``. The staged orders are read with
+    partition pruning, their items and payments by semi-joins on the touched
+    order ids; nothing else is read."""
     st = StagedSources(spark, root)
-    o = st["orders"]
-    touched = o.join(months, _month(o["order_purchase_timestamp"]) == months["order_month"], "left_semi")
+    touched = st["orders"].where(F.col(MONTH).isin(months)).drop(MONTH)
     ids = touched.select("order_id")
     view = {
         "orders": touched,
         "order_items": st["order_items"].join(ids, "order_id", "left_semi"),
         "payments": st["payments"].join(ids, "order_id", "left_semi"),
     }
-    write_months(marts.mart_sales_daily(view), root)
+    write_months(marts.mart_sales_daily(view), root, months)
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -71,12 +93,22 @@ def read_mart(spark: SparkSession, root: str) -> DataFrame:
 
 
 def process_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
+    """Upsert one micro-batch of orders and refresh the months it touches.
+
+    Work is proportional to the touched months: the months of the batch plus
+    those where an updated order used to be (found by a semi-join that reads
+    only the order id and the partition column of the staged orders)."""
     if batch.isEmpty():
         return
     orders_path = table_path(root, "stg_orders")
-    merged = upsert(spark.read.parquet(orders_path), batch, ["order_id"])
-    replace_table(merged, orders_path)
-    months = batch.select(_month(F.col("order_purchase_timestamp")).alias("order_month")).distinct()
+    batch = _with_month(batch)
+    staged = spark.read.parquet(orders_path)
+    moved_from = staged.join(batch.select("order_id"), "order_id", "left_semi").select(MONTH)
+    months = [r[0] for r in batch.select(MONTH).union(moved_from).distinct().collect()]  # calendar months
+    current = staged.where(F.col(MONTH).isin(months))  # partition pruning
+    # cut the read of the folder about to be overwritten
+    merged = upsert(current, batch, ["order_id"]).checkpoint(eager=True)
+    _overwrite_months(merged, orders_path, months)
     refresh_months(spark, root, months)
 
 
@@ -99,8 +131,9 @@ def incremental_sales_daily(spark: SparkSession, src) -> DataFrame:
     early = orders.where(orders["order_purchase_timestamp"] <= cutoff)
     late = orders.where(orders["order_purchase_timestamp"] > cutoff)
 
-    for name, df in {"orders": early, **{n: src[n] for n in MART_INPUTS}}.items():
-        replace_table(df, table_path(root, f"stg_{name}"))
+    stage_orders(early, root)
+    for name in MART_INPUTS:
+        replace_table(src[name], table_path(root, f"stg_{name}"))
     write_months(marts.mart_sales_daily(StagedSources(spark, root)), root)
 
     inbox = f"{root}/inbox/orders"
