@@ -185,3 +185,38 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> str:
      .option("emptyValue", '""')
      .csv(path))
     return path
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, touched: Sequence | None = None) -> None:
+    """Dynamic overwrite of the ``partition_col`` partitions present in ``df``;
+    partitions listed in ``touched`` that end up without rows are removed."""
+    (df.repartition(partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+    if touched:
+        present = {r[0] for r in df.select(partition_col).distinct().collect()}  # <= len(touched) rows
+        for value in set(touched) - present:
+            text = value.isoformat() if hasattr(value, "isoformat") else str(value)
+            fs, p = _fs(df.sparkSession, f"{path.rstrip('/')}/{partition_col}={text}")
+            if fs.exists(p):
+                fs.delete(p, True)
+
+
+def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_col: str,
+                      seq_col: str | None = None) -> list:
+    """Upsert into a table partitioned by ``partition_col``, rewriting only the
+    partitions that gain or lose rows: those of the batch, and those where a
+    batch key currently lives (found by a semi-join reading only the key and
+    partition columns). Returns the touched partition values.
+
+    The touched set is collected to the driver; it is bounded by the number of
+    partitions of the table (e.g. calendar months), not by its rows.
+    """
+    staged = spark.read.parquet(path)
+    batch_keys = batch.select(*keys)
+    moved_from = staged.join(batch_keys, list(keys), "left_semi").select(partition_col)
+    touched = [r[0] for r in batch.select(partition_col).union(moved_from).distinct().collect()]
+    current = staged.where(F.col(partition_col).isin(touched))  # partition pruning
+    # materialise before overwriting the folder it reads from
+    merged = upsert(current, batch, keys, seq_col).checkpoint(eager=True)
+    overwrite_partitions(merged, path, partition_col, touched)
+    return touched

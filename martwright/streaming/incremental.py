@@ -25,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dml import _fs, replace_table, upsert
+from ..operators.dml import overwrite_partitions, replace_table, upsert_partitions
 from ..plans import marts
 from ..plans.pipeline import StagedSources, table_path
 from ..session import scratch_path
@@ -49,19 +49,6 @@ def _with_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(MONTH, _month(F.col("order_purchase_timestamp")))
 
 
-def _overwrite_months(df: DataFrame, path: str, months: list[_dt.date] | None) -> None:
-    """Dynamic overwrite of the ``order_month`` partitions present in ``df``;
-    of ``months``, those left without rows have their folders removed."""
-    (df.repartition(MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH).parquet(path))
-    if months:
-        present = {r[0] for r in df.select(MONTH).distinct().collect()}  # at most len(months) rows
-        for m in set(months) - present:
-            fs, p = _fs(df.sparkSession, f"{path}/{MONTH}={m.isoformat()}")
-            if fs.exists(p):
-                fs.delete(p, True)
-
-
 def stage_orders(orders: DataFrame, root: str) -> None:
     """Staged orders partitioned by purchase month."""
     replace_table(_with_month(orders), table_path(root, "stg_orders"), partition_by=(MONTH,))
@@ -70,7 +57,7 @@ def stage_orders(orders: DataFrame, root: str) -> None:
 def write_months(mart_rows: DataFrame, root: str, months: list[_dt.date] | None = None) -> None:
     """Overwrite the mart's ``order_month`` partitions for ``mart_rows``."""
     rows = mart_rows.withColumn(MONTH, _month(F.col("order_date")))
-    _overwrite_months(rows, _mart_path(root), months)
+    overwrite_partitions(rows, _mart_path(root), MONTH, months)
 
 
 def refresh_months(spark: SparkSession, root: str, months: list[_dt.date]) -> None:
@@ -100,15 +87,7 @@ def process_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
     only the order id and the partition column of the staged orders)."""
     if batch.isEmpty():
         return
-    orders_path = table_path(root, "stg_orders")
-    batch = _with_month(batch)
-    staged = spark.read.parquet(orders_path)
-    moved_from = staged.join(batch.select("order_id"), "order_id", "left_semi").select(MONTH)
-    months = [r[0] for r in batch.select(MONTH).union(moved_from).distinct().collect()]  # calendar months
-    current = staged.where(F.col(MONTH).isin(months))  # partition pruning
-    # cut the read of the folder about to be overwritten
-    merged = upsert(current, batch, ["order_id"]).checkpoint(eager=True)
-    _overwrite_months(merged, orders_path, months)
+    months = upsert_partitions(spark, table_path(root, "stg_orders"), _with_month(batch), ["order_id"], MONTH)
     refresh_months(spark, root, months)
 
 

@@ -116,3 +116,19 @@ def test_write_table_modes(spark):
     assert spark.read.parquet(path).count() == 1
     with pytest.raises(ValueError):
         dml.write_table(spark.range(1), path, "upsert")
+
+
+def test_upsert_partitions_rewrites_only_touched_partitions(spark):
+    path = scratch_path(spark, "t-upsert-parts") + "/t"
+    base = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("c", 2, "z"), ("d", 3, "w")], "k string, p int, v string")
+    base.write.partitionBy("p").parquet(path)
+    local = _local(path)
+    untouched = sorted(os.listdir(os.path.join(local, "p=3")))
+    # 'c' moves from partition 2 (which becomes empty) to 1; 'e' is new in 4
+    batch = spark.createDataFrame([("c", 1, "z2"), ("e", 4, "q")], "k string, p int, v string")
+    touched = dml.upsert_partitions(spark, path, batch, ["k"], "p")
+    assert sorted(touched) == [1, 2, 4]
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "p", "v").collect())
+    assert got == [("a", 1, "x"), ("b", 1, "y"), ("c", 1, "z2"), ("d", 3, "w"), ("e", 4, "q")]
+    assert not os.path.exists(os.path.join(local, "p=2"))
+    assert sorted(os.listdir(os.path.join(local, "p=3"))) == untouched  # never rewritten
