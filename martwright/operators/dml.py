@@ -220,3 +220,19 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     merged = upsert(current, batch, keys, seq_col).checkpoint(eager=True)
     overwrite_partitions(merged, path, partition_col, touched)
     return touched
+
+
+def delete_partitions(spark: SparkSession, path: str, key_col: str, keys: DataFrame, partition_col: str) -> list:
+    """``DELETE ... WHERE key IN (keys)`` on a table partitioned by
+    ``partition_col``: only partitions holding one of the keys (found by a
+    semi-join reading the key and partition columns) are rewritten; a
+    partition left empty is removed. Returns the touched partition values."""
+    staged = spark.read.parquet(path)
+    k = keys.select(F.col(keys.columns[0]).alias(key_col)).where(F.col(key_col).isNotNull()).distinct()
+    touched = [r[0] for r in staged.join(k, key_col, "left_semi").select(partition_col).distinct().collect()]
+    if not touched:
+        return touched
+    current = staged.where(F.col(partition_col).isin(touched))
+    kept = current.join(k, key_col, "left_anti").select(*staged.columns).checkpoint(eager=True)
+    overwrite_partitions(kept, path, partition_col, touched)
+    return touched

@@ -132,3 +132,17 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark):
     assert got == [("a", 1, "x"), ("b", 1, "y"), ("c", 1, "z2"), ("d", 3, "w"), ("e", 4, "q")]
     assert not os.path.exists(os.path.join(local, "p=2"))
     assert sorted(os.listdir(os.path.join(local, "p=3"))) == untouched  # never rewritten
+
+
+def test_delete_partitions_touches_only_partitions_with_keys(spark):
+    path = scratch_path(spark, "t-delete-parts") + "/t"
+    spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), ("d", 3)], "k string, p int") \
+        .write.partitionBy("p").parquet(path)
+    local = _local(path)
+    untouched = sorted(os.listdir(os.path.join(local, "p=3")))
+    keys = spark.createDataFrame([("a",), ("c",), ("zz",)], "k string")
+    assert sorted(dml.delete_partitions(spark, path, "k", keys, "p")) == [1, 2]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "p").collect()) == [("b", 1), ("d", 3)]
+    assert not os.path.exists(os.path.join(local, "p=2"))
+    assert sorted(os.listdir(os.path.join(local, "p=3"))) == untouched
+    assert dml.delete_partitions(spark, path, "k", spark.createDataFrame([], "k string"), "p") == []
