@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, shuffle_width
+from ..session import ensure_checkpoint_dir
 from .joins import broadcast_if_small
 
 _ROW_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
@@ -44,13 +44,14 @@ def dense_key(df: DataFrame, order_by: Sequence[Column], key_col: str,
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_width(spark)
     cols = df.columns
     source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
+    # Without an explicit count AQE may merge adjacent range partitions (the
+    # order across partitions is kept); the checkpoint then fixes them.
+    ranged = (source.repartitionByRange(num_partitions, *order_by) if num_partitions
+              else source.repartitionByRange(*order_by))
     try:
-        ordered = (source.repartitionByRange(n, *order_by)
-                   .sortWithinPartitions(*order_by)
-                   .checkpoint(eager=True))
+        ordered = ranged.sortWithinPartitions(*order_by).checkpoint(eager=True)
     finally:
         if persist_input:
             source.unpersist()
@@ -61,7 +62,7 @@ def dense_key(df: DataFrame, order_by: Sequence[Column], key_col: str,
     counts = tagged.groupBy("_mw_part").agg(F.count(F.lit(1)).alias("_mw_n"))
     before = Window.orderBy("_mw_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_mw_part", F.coalesce(F.sum("_mw_n").over(before), F.lit(0)).alias("_mw_off"))
-    # one row per partition of the range shuffle: bounded by n
+    # one row per partition of the range shuffle: bounded by the shuffle width
     keyed = tagged.join(F.broadcast(offsets), "_mw_part")
     return keyed.select(*cols, (F.col("_mw_off") + F.col("_mw_pos") + 1).cast("long").alias(key_col))
 

@@ -164,3 +164,15 @@ def test_keep_first_with_position_near_group_bound(spark):
     many = df.withColumn("g", F.col("oid").cast("long") % 400)  # 400 groups: above the bound, sorts
     got = {r.g: r.k for r in keep_first_with_position(many, ["g"], order, "k").collect()}
     assert got == {g: g + 1 for g in range(400)}  # ids 0..399 come first in order
+
+
+def test_dense_key_default_width_coalesced_by_aqe(spark):
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")  # many tiny range partitions to merge
+        n = 3000
+        df = spark.range(n).select((F.col("id") * 7919 % n).alias("v")).repartition(7)
+        got = dense_key(df, [F.col("v").asc()], "k").collect()
+        assert all(r.k == r.v + 1 for r in got) and len(got) == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
