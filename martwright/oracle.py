@@ -1,6 +1,6 @@
 """Independent DuckDB SQL for every registered key.
 
-The oracle follows the reference's own route: it materialises the fact at its
+The oracle follows the original pipeline's route: it materialises the fact at its
 item x payment grain with plain joins and aggregates it with COUNT(DISTINCT),
 window ``row_number``/``dense_rank`` for positional keys and category codes,
 and the same mapping from driver tables to sources (FIXTURES.md §3). The Spark

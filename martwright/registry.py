@@ -148,7 +148,7 @@ REGISTRY: dict[str, Job] = {
     "report_revenue_by_city_zip": _job(reports.report_revenue_by_city_zip),
     "fact_order_items": _job(facts.fact_order_items),
     "mart_sales_daily_item_grain": _job(marts.mart_sales_daily_item_grain),
-    # on the reference's to-do list
+    # on the original project's to-do list
     "incremental_sales_daily": _spark_job(_incremental),
     "fact_orders_surrogate_keys": _job(_surrogate),
 }
