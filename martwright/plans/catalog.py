@@ -38,6 +38,8 @@ def register_layers(spark: SparkSession, root: str, buckets: int | None = None)
                 cols = f"({_ddl(spark.read.parquet(path).schema)}) "
                 clustered = (f"CLUSTERED BY (`{BUCKET_KEY}`) SORTED BY (`{BUCKET_KEY}`) INTO {buckets} BUCKETS ")
             spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{t} {cols}USING parquet {clustered}LOCATION '{path}'")
+            if any(c.isPartition for c in spark.catalog.listColumns(f"{layer}.{t}")):
+                spark.sql(f"ALTER TABLE {layer}.{t} RECOVER PARTITIONS")  # e.g. a fact partitioned by day
             spark.catalog.refreshTable(f"{layer}.{t}")
             registered.append(f"{layer}.{t}")
     return registered

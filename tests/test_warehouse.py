@@ -116,8 +116,11 @@ def test_fact_salted_hot_orders_give_same_rows(src_small):
 def test_sql_layers_gates_and_reports(spark, src_small):
     from martwright.plans import catalog
     root = scratch_path(spark, "t-catalog")
-    pipeline.run(spark, src_small, root, run_date="2024-10-26", gates=True, buckets=8)
+    pipeline.run(spark, src_small, root, run_date="2024-10-26", gates=True, buckets=8,
+                 fact_partition_by=("order_status",))
     names = catalog.register_layers(spark, root, buckets=8)
+    fact_rows = catalog.execute_sql(spark, "SELECT COUNT(*) AS n FROM warehouse.fact_orders WHERE order_status = 'f'")
+    assert fact_rows.first().n == facts.fact_orders(src_small).where("order_status = 'f'").count() > 0
     joined = spark.sql("SELECT COUNT(*) AS n FROM staging.stg_orders o JOIN staging.stg_order_items i "
                        "ON o.order_id = i.order_id")
     assert "Bucketed: true" in joined._jdf.queryExecution().executedPlan().toString()
