@@ -4,17 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest row count we are willing to ship to every executor. Sides above it
-# go through a shuffle join (with AQE skew splitting) instead.
+# Largest side we are willing to ship to every executor, in rows and in
+# estimated bytes. Sides above either go through a shuffle join (with AQE
+# skew splitting) instead.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+                T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
+_VARIABLE_WIDTH = 32  # assumed bytes for strings, decimals and nested values
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The check is a ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is passed, so it never scans a big side in full.
+def row_width(schema: T.StructType) -> int:
+    """Rough in-memory width of one row (for a broadcast size estimate)."""
+    return 8 + sum(_FIXED_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in schema.fields)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and an estimated
+    size of at most ``max_bytes``, else ``df``.
+
+    The check is a ``limit(n+1).count()``: it stops reading once the bound is
+    passed, so it never scans a big side in full.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    bound = min(max_rows, max_bytes // row_width(df.schema))
+    n = df.limit(bound + 1).count()
+    return F.broadcast(df) if n <= bound else df

@@ -176,3 +176,14 @@ def test_dense_key_default_width_coalesced_by_aqe(spark):
         assert all(r.k == r.v + 1 for r in got) and len(got) == n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
+def test_broadcast_if_small_checks_rows_and_bytes(spark):
+    from martwright.operators.joins import broadcast_if_small, row_width
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert row_width(small.schema) == 16
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan(broadcast_if_small(small, max_rows=100)).lower()
+    assert "broadcast" not in plan(broadcast_if_small(big, max_rows=100)).lower()
+    assert "broadcast" not in plan(broadcast_if_small(big, max_rows=10_000, max_bytes=1600)).lower()
