@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,11 +111,12 @@ def fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame, pair_limit
     order's pairs over that many tasks. Every pair still appears exactly once.
     """
     plain = orders.join(items, "order_id", "left").join(payments, "order_id", "left")
-    hot = hot_orders(items, payments, pair_limit).persist(StorageLevel.MEMORY_AND_DISK)
+    # per-order counts, computed once; the checkpoint keeps the (small) result
+    # without pinning executor memory for the rest of the session
+    hot = hot_orders(items, payments, pair_limit).checkpoint(eager=True)
     n_hot = hot.limit(hot_max + 1).count()
     if n_hot == 0 or n_hot > hot_max:
-        hot.unpersist()
-        return plain  # beyond the bound: shuffle joins with AQE skew splitting
+        return plain  # none, or too many to broadcast: plain shuffle joins
     h = F.broadcast(hot)  # at most hot_max rows (checked above)
     cold = (orders.join(h, "order_id", "left_anti")
             .join(items.join(h, "order_id", "left_anti"), "order_id", "left")
