@@ -6,18 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import piece_codec, secrets
+from . import containment, line_runs, ngram_join, piece_codec, secret_scan, toxicity
+from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_secret_scan": secrets.op1,
+    "op1_secret_scan": secret_scan.op1,
+    "op3_decontamination": containment.op3,
+    "op4_line_dedup": line_runs.op4,
     "op6_sentencepiece": piece_codec.op6,
+    "op9_ngram_join": ngram_join.op9,
+    "op10_toxicity": toxicity.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": containment.OP3_SQL,
+    "op4_line_dedup": line_runs.OP4_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {k: lambda spark, sf_dir, f=f: f(ship(spark), sf_dir) for k, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
