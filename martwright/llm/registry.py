@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, line_runs, ngram_join, piece_codec, secret_scan, toxicity
+from . import containment, line_runs, ngram_join, piece_codec, secret_scan, threshold_topk, token_store, toxicity
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.op1,
+    "op2_token_store": token_store.op2,
     "op3_decontamination": containment.op3,
     "op4_line_dedup": line_runs.op4,
     "op6_sentencepiece": piece_codec.op6,
+    "op7_threshold_topk": threshold_topk.op7,
     "op9_ngram_join": ngram_join.op9,
     "op10_toxicity": toxicity.op10,
 }
@@ -21,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": containment.OP3_SQL,
     "op4_line_dedup": line_runs.OP4_SQL,
+    "op7_threshold_topk": threshold_topk.OP7_SQL,
 }
 
 
