@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, line_runs, ngram_join, piece_codec, secret_scan, threshold_topk, token_store, toxicity
+from . import containment, line_runs, ngram_join, piece_codec, secret_scan, suffix_levels, threshold_topk, token_store, toxicity
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": token_store.op2,
     "op3_decontamination": containment.op3,
     "op4_line_dedup": line_runs.op4,
+    "op5_suffix_dedup": suffix_levels.op5,
     "op6_sentencepiece": piece_codec.op6,
     "op7_threshold_topk": threshold_topk.op7,
     "op9_ngram_join": ngram_join.op9,
