@@ -153,6 +153,10 @@ def _find(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(table[at] == h, at, -1)
 
 
+def _filled(col: pa.Array) -> pa.Array:
+    return col.fill_null("") if col.null_count else col
+
+
 def _lowered(col: pa.Array) -> pa.Array:
     import pyarrow.compute as pc
 
@@ -288,19 +292,27 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
     return Model(lexicon, weights, bias)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, predicted`` of every row, from its text alone."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``score`` and ``predicted`` of every row, from its text alone (columns of these names are replaced)."""
     machine = grammar()
+    docs = docs.drop("score", "predicted")
+    names, place = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, off in pieces(_lowered(column(batch, "text"))):
+            for a, b, data, off in pieces(_lowered(_filled(batch.column(place)))):
                 s = model.score(features(model.lexicon, machine, data, off))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(s),
-                                                  pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
+                                                 [*names, "score", "predicted"])
 
-    return docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text").mapInArrow(
-        run, "doc_id long, score double, predicted int")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{fields}, score double, predicted int")
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, score, predicted`` of every row."""
+    return scored(docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text"), model).select("doc_id", "score", "predicted")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
