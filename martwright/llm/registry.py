@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, line_runs, ngram_join, piece_codec, secret_scan, suffix_levels, threshold_topk, token_store, toxicity
+from . import backoff_lm, containment, line_runs, ngram_join, piece_codec, secret_scan, suffix_levels, threshold_topk, token_store, toxicity
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": suffix_levels.op5,
     "op6_sentencepiece": piece_codec.op6,
     "op7_threshold_topk": threshold_topk.op7,
+    "op8_lm_scores": backoff_lm.op8,
     "op9_ngram_join": ngram_join.op9,
     "op10_toxicity": toxicity.op10,
 }
@@ -25,6 +26,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": containment.OP3_SQL,
     "op4_line_dedup": line_runs.OP4_SQL,
     "op7_threshold_topk": threshold_topk.OP7_SQL,
+    "op8_lm_scores": backoff_lm.OP8_SQL,
 }
 
 
