@@ -72,17 +72,24 @@ def to_varchar(c: ColumnOrName, n: int) -> Column:
     return F.substring(_c(c).cast("string"), 1, n)
 
 
+# Amounts are summed at this scale; rounding to cents happens once, at the end.
+AMOUNT = "decimal(18,6)"
+_UNITS, _UNITS_PER_CENT = 10**6, 10**4
+
+
 def money(c: ColumnOrName) -> Column:
-    """Exact money: double -> decimal(18,2) before any sum."""
-    return _c(c).cast(MONEY)
+    """Exact money: double -> decimal(18,6) before any sum."""
+    return _c(c).cast(AMOUNT)
 
 
 def avg_money(total: ColumnOrName, n: ColumnOrName) -> Column:
     """round(total / n, 2), half away from zero, computed exactly in integer
-    cents: sign * ((2|cents| + n) div 2n) / 100. NULL when n is 0 or NULL."""
+    millionths: sign * ((2|units| + c) div 2c) / 100 with c = 10^4 n. NULL when
+    n is 0 or NULL."""
     big = "decimal(38,0)"
     cnt = F.nullif(_c(n).cast("long"), F.lit(0))
-    cents = (_c(total) * 100).cast(big)
+    cents = (_c(total) * _UNITS).cast(big)
+    cnt = cnt * _UNITS_PER_CENT
     num = (F.abs(cents) * 2 + cnt).cast(big)
     den = (cnt * 2).cast(big)
     whole = ((num - F.pmod(num, den)) / den).cast(big)  # exact integer quotient

@@ -4,7 +4,9 @@ truncate, dump.
 A parquet directory cannot be overwritten while it is being read, and a
 half-written overwrite must never be visible. ``replace_table`` therefore
 writes the new contents to a sibling folder and then swaps folders with two
-renames (metadata operations); readers see either the old or the new table.
+renames. A reader never sees a half-written table, but one that opens the
+folder between the two renames finds none and has to try again; on an object
+store a rename is a copy, so that gap lasts as long as the copy.
 Upsert and delete are pure ``DataFrame -> DataFrame`` plans (anti-join +
 union) that are then written with ``replace_table``.
 """
@@ -14,10 +16,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import DUMP_NULL
+from ..sources.files import DUMP_NULL, escaped_text
 
 
 def _fs(spark: SparkSession, path: str):
@@ -32,8 +34,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
-    """Replace-write (``if_exists='replace'``) with an atomic-looking swap."""
+    """Replace-write (``if_exists='replace'``) with a folder swap (see above
+    for the gap between its two renames). With ``partition_by`` the rows are
+    rebalanced by these columns first: few files per folder, and a large
+    folder written by several tasks."""
     staging = f"{path.rstrip('/')}.__new__{uuid.uuid4().hex}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -164,10 +171,11 @@ def dump_file_name(table_name: str) -> str:
 
 
 def dump_table(df: DataFrame, folder: str, table_name: str) -> str:
-    """Tab-delimited dump (``\\N`` for NULL, every field quoted so tabs, quotes
-    and line breaks inside values survive a reload)."""
+    """Tab-delimited dump (``\\N`` for NULL, every field quoted so tabs and
+    quotes survive a reload). Line breaks and backslashes in text are escaped,
+    so a line of the file is a row and the reload can split the file."""
     path = f"{folder.rstrip('/')}/{dump_file_name(table_name)}"
-    (df.write.mode("errorifexists")
+    (escaped_text(df).write.mode("errorifexists")
      .option("sep", "\t").option("header", False)
      .option("quote", '"').option("escape", '"').option("quoteAll", True)
      .option("nullValue", DUMP_NULL)
@@ -187,35 +195,56 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> str:
     return path
 
 
+# Fixed values of the partition folder naming: characters written as %XX, and the folder of NULL and "".
+ESCAPED_IN_FOLDERS = set('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(1, 32)}
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_folder(col: str, value) -> str:
+    text = value.isoformat() if hasattr(value, "isoformat") else "" if value is None else str(value)
+    name = "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_FOLDERS else c for c in text)
+    return f"{col}={name or NULL_FOLDER}"
+
+
+def in_partitions(col: str, values: Sequence) -> Column:
+    """Rows of the given partitions; ``None`` stands for the NULL partition."""
+    known = [v for v in values if v is not None]
+    found = F.col(col).isin(known) if known else F.lit(False)
+    return found | F.col(col).isNull() if len(known) < len(values) else found
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str, touched: Sequence | None = None) -> None:
     """Dynamic overwrite of the ``partition_col`` partitions present in ``df``;
-    partitions listed in ``touched`` that end up without rows are removed."""
-    (df.repartition(partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    partitions listed in ``touched`` that end up without rows are removed. A
+    large partition is rebalanced over several writing tasks."""
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     if touched:
         present = {r[0] for r in df.select(partition_col).distinct().collect()}  # <= len(touched) rows
         for value in set(touched) - present:
-            text = value.isoformat() if hasattr(value, "isoformat") else str(value)
-            fs, p = _fs(df.sparkSession, f"{path.rstrip('/')}/{partition_col}={text}")
+            fs, p = _fs(df.sparkSession, f"{path.rstrip('/')}/{partition_folder(partition_col, value)}")
             if fs.exists(p):
                 fs.delete(p, True)
 
 
+def touched_partitions(staged: DataFrame, batch: DataFrame, keys: Sequence[str], partition_col: str) -> list:
+    """Partitions that an upsert of ``batch`` changes: its own, and those where
+    one of its keys is now (a semi-join over the key and partition columns).
+
+    Collected to the driver; bounded by the number of partitions of the table
+    (e.g. calendar months), not by its rows."""
+    moved_from = staged.join(batch.select(*keys), list(keys), "left_semi").select(partition_col)
+    return [r[0] for r in batch.select(partition_col).union(moved_from).distinct().collect()]
+
+
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_col: str,
                       seq_col: str | None = None) -> list:
     """Upsert into a table partitioned by ``partition_col``, rewriting only the
-    partitions that gain or lose rows: those of the batch, and those where a
-    batch key currently lives (found by a semi-join reading only the key and
-    partition columns). Returns the touched partition values.
-
-    The touched set is collected to the driver; it is bounded by the number of
-    partitions of the table (e.g. calendar months), not by its rows.
-    """
+    partitions that gain or lose rows (the NULL partition included). Returns
+    the touched partition values."""
     staged = spark.read.parquet(path)
-    batch_keys = batch.select(*keys)
-    moved_from = staged.join(batch_keys, list(keys), "left_semi").select(partition_col)
-    touched = [r[0] for r in batch.select(partition_col).union(moved_from).distinct().collect()]
-    current = staged.where(F.col(partition_col).isin(touched))  # partition pruning
+    touched = touched_partitions(staged, batch, keys, partition_col)
+    current = staged.where(in_partitions(partition_col, touched))  # partition pruning
     # materialise before overwriting the folder it reads from
     merged = upsert(current, batch, keys, seq_col).checkpoint(eager=True)
     overwrite_partitions(merged, path, partition_col, touched)
@@ -232,7 +261,7 @@ def delete_partitions(spark: SparkSession, path: str, key_col: str, keys: DataFr
     touched = [r[0] for r in staged.join(k, key_col, "left_semi").select(partition_col).distinct().collect()]
     if not touched:
         return touched
-    current = staged.where(F.col(partition_col).isin(touched))
+    current = staged.where(in_partitions(partition_col, touched))
     kept = current.join(k, key_col, "left_anti").select(*staged.columns).checkpoint(eager=True)
     overwrite_partitions(kept, path, partition_col, touched)
     return touched

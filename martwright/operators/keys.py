@@ -4,8 +4,8 @@
 row order, computed without a single-partition window:
 
 1. range-partition on the order columns and sort inside each partition;
-2. reliable ``checkpoint()`` so partition ids and in-partition positions are
-   fixed (re-running a lost task reads the checkpoint, not a new sample);
+2. write the rows with their partition and in-partition position to a scratch
+   table, so both are fixed (a lost task re-reads it, it does not sample again);
 3. count rows per partition -> running offsets (one row per partition, a
    proven size bound, so it is broadcast);
 4. key = offset[partition] + position in partition + 1.
@@ -18,13 +18,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
-from .joins import broadcast_if_small
+from ..session import scratch_path
 
 _ROW_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
 
@@ -40,22 +40,24 @@ def dense_key(df: DataFrame, order_by: Sequence[Column], key_col: str,
 
     ``persist_input``: the range shuffle evaluates its input twice (bounds
     sampling, then the map stage); persist an expensive input (joins,
-    aggregates) for that span instead of recomputing it.
+    aggregates) for that span instead of recomputing it. The scratch table
+    goes with its ``scratch_scope``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = df.columns
     source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
     # Without an explicit count AQE may merge adjacent range partitions (the
-    # order across partitions is kept); the checkpoint then fixes them.
+    # order across partitions is kept); the scratch table then fixes them.
     ranged = (source.repartitionByRange(num_partitions, *order_by) if num_partitions
               else source.repartitionByRange(*order_by))
+    ordered = ranged.sortWithinPartitions(*order_by).withColumn("_mw_id", F.monotonically_increasing_id())
+    path = scratch_path(spark, "ordered")
     try:
-        ordered = ranged.sortWithinPartitions(*order_by).checkpoint(eager=True)
+        ordered.write.parquet(path)
     finally:
         if persist_input:
             source.unpersist()
-    tagged = ordered.withColumn("_mw_id", F.monotonically_increasing_id())
+    tagged = spark.read.schema(ordered.schema).parquet(path)
     tagged = tagged.select(*cols,
                            F.shiftright("_mw_id", _ROW_BITS).alias("_mw_part"),
                            F.col("_mw_id").bitwiseAND((1 << _ROW_BITS) - 1).alias("_mw_pos"))
@@ -77,23 +79,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     return out.select(*[F.col(c) if c in keys else F.col(f"_mw_first.`{c}`").alias(c) for c in df.columns])
 
 
-# Largest distinct-value set ranked by one task; bigger sets use dense_key.
-LOCAL_RANK_MAX = 100_000
-
-
-def rank_values(values: DataFrame, col: str, rank_col: str, max_local: int = LOCAL_RANK_MAX) -> DataFrame:
+def rank_values(values: DataFrame, col: str, rank_col: str) -> DataFrame:
     """(value, rank) for a frame of distinct non-NULL values: 1-based rank in
-    ascending order. A set of at most ``max_local`` values (measured) is
-    ranked by a single-task window; a larger one by ``dense_key``."""
-    values = values.persist(StorageLevel.MEMORY_AND_DISK)
-    try:  # both branches materialise eagerly, so the cache can go afterwards
-        if values.limit(max_local + 1).count() <= max_local:
-            ranked = values.select(col, F.row_number().over(Window.orderBy(F.col(col).asc())).cast("long")
-                                   .alias(rank_col))
-            return ranked.checkpoint(eager=True)
-        return dense_key(values, [F.col(col).asc()], rank_col)
-    finally:
-        values.unpersist()
+    ascending order."""
+    return dense_key(values.select(col), [F.col(col).asc()], rank_col)
 
 
 def category_code(df: DataFrame, col: str, code_col: str, universe: DataFrame | None = None) -> DataFrame:
@@ -103,22 +92,11 @@ def category_code(df: DataFrame, col: str, code_col: str, universe: DataFrame |
     values = (universe if universe is not None else df).select(F.col(col).alias("_mw_v"))
     values = values.where(F.col("_mw_v").isNotNull()).distinct()
     coded = rank_values(values, "_mw_v", "_mw_code")
-    # the distinct set is small in practice but unbounded in principle:
-    # broadcast only after measuring it, else a shuffle join
-    coded = broadcast_if_small(coded)
     joined = df.join(coded, df[col] == coded["_mw_v"], "left")
     return joined.select(*[F.col(c) for c in df.columns if c != code_col],
                          F.coalesce(F.col("_mw_code"), F.lit(0)).cast("int").alias(code_col))
 
 
-# Largest number of kept groups for which positions are found by counting.
-# Each row goes through a comparison tree over the kept order values; the
-# tree is compiled into the stage, and trees much bigger than this (in groups
-# times order columns) exceed what whole-stage codegen splits cleanly.
-POSITION_MAX_GROUPS = 128
-POSITION_MAX_WEIGHT = 384  # groups x order columns
-
-
 def _order_struct(order: Sequence[Column]) -> Column:
     """Ascending, NULLs-last order as one comparable struct."""
     fields = []
@@ -127,50 +105,22 @@ def _order_struct(order: Sequence[Column]) -> Column:
     return F.struct(*fields)
 
 
-def _literal(value, dtype) -> Column:
-    if isinstance(dtype, T.StructType):
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
-    return F.lit(value).cast(dtype)
-
+def keep_first_with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], key_col: str) -> DataFrame:
+    """``keep_first`` plus ``key_col`` = 1-based position of the kept row among
+    *all* rows of ``df`` (the gapped key of a positional index assigned before
+    de-duplication).
 
-def keep_first_with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], key_col: str,
-                             max_groups: int = POSITION_MAX_GROUPS) -> DataFrame:
-    """``keep_first`` plus ``key_col`` = 1-based position of the kept row in
-    ``order`` among *all* rows of ``df`` (the gapped key of a positional
-    index assigned before de-duplication).
-
-    With few groups no sort is needed: the kept rows come from a map-side
-    aggregate, their order values are the bucket bounds, one more aggregate
-    counts the rows per bucket, and a running sum over the (at most
-    ``max_groups`` + 1) buckets gives each kept row's position. Above the
-    bound it falls back to ``dense_key`` over all rows, then ``keep_first``.
+    The order is total: ``order`` (NULLs last), then ``keys``, then the
+    remaining columns, so tied rows have different positions. Only the order
+    and key columns are sorted; the kept rows come from a map-side aggregate
+    and get their key's smallest position.
     """
-    max_groups = min(max_groups, POSITION_MAX_WEIGHT // max(1, len(order)))
+    keys = list(keys)
     tagged = df.withColumn("_mw_o", _order_struct(order))
-    kept = keep_first(tagged, keys, ["_mw_o"]).persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_groups + 1).count() > max_groups:
-        kept.unpersist()
-        keyed = dense_key(df, [e.asc_nulls_last() for e in order], key_col)
-        return keep_first(keyed, keys, [key_col])
-    otype = tagged.schema["_mw_o"].dataType
-    bounds = [_literal(r[0], otype) for r in kept.select("_mw_o").orderBy("_mw_o").collect()]  # <= max_groups
-
-    def bucket(c: Column) -> Column:
-        """Number of kept order values <= c: a balanced tree of comparisons,
-        log2(bounds) per row, compiled with the stage."""
-        def count_in(lo: int, hi: int) -> Column:  # the answer lies in [lo, hi]
-            if lo == hi:
-                return F.lit(lo)
-            mid = (lo + hi + 1) // 2
-            return F.when(c >= bounds[mid - 1], count_in(mid, hi)).otherwise(count_in(lo, mid - 1))
-        return count_in(0, len(bounds))
-
-    counts = tagged.groupBy(bucket(F.col("_mw_o")).alias("_mw_b")).agg(F.count(F.lit(1)).alias("_mw_n"))
-    before = Window.orderBy("_mw_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_mw_b", F.coalesce(F.sum("_mw_n").over(before), F.lit(0)).alias("_mw_before"))
-    out = (kept.withColumn("_mw_b", bucket(F.col("_mw_o")))
-           .join(F.broadcast(offsets), "_mw_b")  # at most max_groups + 1 rows
-           .select(*df.columns, (F.col("_mw_before") + 1).cast("long").alias(key_col)))
-    result = out.checkpoint(eager=True)  # tiny; frees the cached kept rows
-    kept.unpersist()
-    return result
+    kept = keep_first(tagged, keys, ["_mw_o"]).drop("_mw_o")
+    narrow = tagged.select("_mw_o", *[F.col(k).alias(f"_mw_k{i}") for i, k in enumerate(keys)])
+    names = narrow.columns[1:]
+    positions = dense_key(narrow, [F.col("_mw_o").asc(), *[F.col(n).asc_nulls_last() for n in names]], key_col)
+    first = positions.groupBy(*names).agg(F.min(key_col).alias(key_col))
+    same = reduce(lambda a, b: a & b, [kept[k].eqNullSafe(first[n]) for k, n in zip(keys, names, strict=True)])
+    return kept.join(first, same).select(*[kept[c] for c in df.columns], first[key_col])

@@ -8,12 +8,14 @@ side computes the same answers by different plans (pre-aggregated rollups,
 distributed keys), so agreement is a real check.
 
 Engine differences handled here: DuckDB divides decimals into DOUBLE, so money
-averages are computed in integer cents; NULL ordering is spelled out; casts of
+averages are computed in integer millionths; NULL ordering is spelled out; casts of
 doubles to integers truncate explicitly.
 """
 
 from __future__ import annotations
 
+from .sources.schemas import SOURCES
+
 RUN_DATE = "2024-10-26"
 
 # Source mapping (FIXTURES.md §3); parses in DuckDB and Spark SQL.
@@ -82,13 +84,13 @@ def numeric_order(x: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    return f"CAST({x} AS DECIMAL(18,6))"
 
 
 def avg_cents(total: str, n: str) -> str:
     """round(total/n, 2) half away from zero, exactly, as DECIMAL(18,2)."""
-    cents = f"CAST(({total}) * 100 AS HUGEINT)"
-    cnt = f"NULLIF(CAST({n} AS HUGEINT), 0)"
+    cents = f"CAST(({total}) * 1000000 AS HUGEINT)"
+    cnt = f"NULLIF(CAST({n} AS HUGEINT), 0) * 10000"
     q = f"((2 * abs({cents}) + {cnt}) // (2 * {cnt}))"
     return f"CAST(CAST(sign({cents}) * {q} AS DECIMAL(38,0)) * 0.01 AS DECIMAL(18,2))"
 
@@ -317,6 +319,17 @@ def _lengths() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _loaded() -> str:
+    parts = []
+    for t in STAGING_ORDER:
+        for f in SOURCES[t].schema.fields:
+            text = f.dataType.simpleString() == "string"
+            size = f"CAST(SUM(length({f.name})) AS BIGINT)" if text else "CAST(NULL AS BIGINT)"
+            parts.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, COUNT(*) AS n_rows, "
+                         f"COUNT({f.name}) AS n_values, {size} AS n_chars FROM {SOURCE_CTE[t]}")
+    return "\nUNION ALL ".join(parts)
+
+
 def _queries() -> dict[str, str]:
     q: dict[str, str] = {}
     for t in STAGING_ORDER:
@@ -368,11 +381,13 @@ o_latest AS (
         "SELECT * FROM s_sellers UNION ALL SELECT 'c' || customer_id AS seller_id, "
         "customer_zip_code_prefix AS seller_zip_code_prefix, customer_city AS seller_city, "
         "customer_state AS seller_state FROM s_customers")
-    q["truncate_table"] = "SELECT * FROM s_orders LIMIT 0"
+    q["truncate_table"] = ("SELECT 'before' AS stage, COUNT(*) AS n_rows FROM s_orders "
+                           "UNION ALL SELECT 'after', CAST(0 AS BIGINT)")
     q["dump_table"] = ("SELECT 'staging.stg_order_reviews' AS table_name, 'staging__stg_order_reviews.txt' AS file_name, "
                        "COUNT(*) AS rows_written FROM s_order_reviews")
     q["reload_dump"] = "SELECT * FROM s_order_reviews"
     q["load_csv"] = "SELECT * FROM s_order_reviews"
+    q["load_csv_tables"] = _loaded()
     q["get_records"] = "SELECT order_status, COUNT(*) AS order_count FROM s_orders GROUP BY order_status"
     q["dq_row_counts"] = _counts(present=False)
     q["dq_tables"] = _counts(present=True)

@@ -18,11 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import day_diff, fill_int, money, zfill
-from ..operators.joins import broadcast_if_small
 from ..operators.keys import rank_values
 from ..sources.schemas import FACT_COLUMNS
 
@@ -30,11 +29,9 @@ Src = Mapping[str, DataFrame]
 
 ORDER_DATE_SOURCE = "order_purchase_timestamp"
 
-# An order whose items x payments exceed this many fact rows is "hot": its
-# pairs are spread over several tasks by salting (see ``fan_out``).
-PAIR_LIMIT = 4_000_000
-# Most hot orders handled by salting; the set is broadcast, so it is bounded.
-HOT_ORDERS_MAX = 100_000
+# Rows of one side in a cell of the fan-out grid (at most GRID_SIDE squared
+# pairs are made by one task, whatever the order).
+GRID_SIDE = 2_000
 
 
 def _orders_with_zip(src: Src, with_zip: bool = True) -> DataFrame:
@@ -88,58 +85,41 @@ def _common_columns(df: DataFrame) -> dict[str, F.Column]:
     }
 
 
-def hot_orders(items: DataFrame, payments: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
-    """(order_id, _mw_salts) for orders producing more than ``pair_limit``
-    item x payment rows; ``_mw_salts`` = number of tasks to spread them over."""
-    i_n = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_mw_i"))
-    p_n = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("_mw_p"))
-    pairs = F.col("_mw_i") * F.col("_mw_p")
-    return (i_n.join(p_n, "order_id").where(pairs > pair_limit)
-            .select("order_id", F.least(F.col("_mw_i"), F.ceil(pairs / F.lit(pair_limit))).cast("int")
-                    .alias("_mw_salts")))
+def _cells(rows: DataFrame, own: str, other_side: DataFrame, other: str, side: int) -> DataFrame:
+    """Deal an order's rows into cells of ``side`` rows (``own``) and repeat
+    each once per cell of the other side (``other``)."""
+    place = Window.partitionBy("order_id").orderBy(*[c for c in rows.columns if c != "order_id"])
+    count = other_side.groupBy("order_id").agg(F.count(F.lit(1)).alias("_mw_n"))
+    cells = F.ceil(F.coalesce(F.col("_mw_n"), F.lit(1)) / F.lit(side)).cast("long")
+    return (rows.withColumn(own, F.floor((F.row_number().over(place) - 1) / F.lit(side)).cast("long"))
+            .join(count, "order_id", "left")
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), cells - 1))).drop("_mw_n"))
 
 
-def fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame, pair_limit: int = PAIR_LIMIT,
-            hot_max: int = HOT_ORDERS_MAX) -> DataFrame:
+def fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame, side: int = GRID_SIDE) -> DataFrame:
     """``orders LEFT JOIN items LEFT JOIN payments`` on ``order_id``.
 
-    The item x payment pairs of one order are produced by one task in a plain
-    join, and AQE cannot split a many-to-many key. Orders above
-    ``pair_limit`` pairs are therefore taken out and joined salted: each item
-    gets a bucket (hash of the row mod the order's salt count), each payment
-    is repeated once per bucket, and the join on (order, bucket) spreads the
-    order's pairs over that many tasks. Every pair still appears exactly once.
+    The item x payment pairs of an order form a grid: items are numbered into
+    ``ceil(items / side)`` cells and repeated per payment cell, payments
+    likewise, and the two meet on (order, item cell, payment cell). An ordinary
+    order is one cell; the pairs of a hot one spread over as many tasks as it
+    has cells, from both sides, identical rows included. Every pair appears
+    exactly once. Orders without items join their payments directly.
     """
-    plain = orders.join(items, "order_id", "left").join(payments, "order_id", "left")
-    # per-order counts, computed once; the checkpoint keeps the (small) result
-    # without pinning executor memory for the rest of the session
-    hot = hot_orders(items, payments, pair_limit).checkpoint(eager=True)
-    n_hot = hot.limit(hot_max + 1).count()
-    if n_hot == 0 or n_hot > hot_max:
-        return plain  # none, or too many to broadcast: plain shuffle joins
-    h = F.broadcast(hot)  # at most hot_max rows (checked above)
-    cold = (orders.join(h, "order_id", "left_anti")
-            .join(items.join(h, "order_id", "left_anti"), "order_id", "left")
-            .join(payments.join(h, "order_id", "left_anti"), "order_id", "left"))
-    item_cols = [c for c in items.columns if c != "order_id"]
-    salted_items = (items.join(h, "order_id")
-                    .withColumn("_mw_salt", F.pmod(F.xxhash64(*item_cols), F.col("_mw_salts").cast("long")))
-                    .drop("_mw_salts"))
-    repeated_payments = (payments.join(h, "order_id")
-                         .withColumn("_mw_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                      (F.col("_mw_salts") - 1).cast("long"))))
-                         .drop("_mw_salts"))
-    pairs = salted_items.join(repeated_payments, ["order_id", "_mw_salt"]).drop("_mw_salt")
-    hot_order_rows = orders.join(h, "order_id", "left_semi")
-    warm = pairs.join(F.broadcast(hot_order_rows), "order_id")
-    return cold.select(*plain.columns).unionByName(warm.select(*plain.columns))
-
-
-def fact_orders(src: Src, pair_limit: int = PAIR_LIMIT) -> DataFrame:
+    columns = [*orders.columns, *[c for c in items.columns if c != "order_id"],
+               *[c for c in payments.columns if c != "order_id"]]
+    left = orders.join(_cells(items, "_mw_i", payments, "_mw_p", side), "order_id")
+    right = _cells(payments, "_mw_p", items, "_mw_i", side)
+    paired = left.join(right, ["order_id", "_mw_i", "_mw_p"], "left")
+    bare = orders.join(items.select("order_id"), "order_id", "left_anti").join(payments, "order_id", "left")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in items.schema.fields if f.name != "order_id"]
+    return paired.select(*columns).unionByName(bare.select("*", *empty).select(*columns))
+
+
+def fact_orders(src: Src, side: int = GRID_SIDE) -> DataFrame:
     """The fact as declared: 14 columns at item x payment grain."""
-    df = fan_out(_orders_with_zip(src), src["order_items"], src["payments"], pair_limit)
-    codes = broadcast_if_small(payment_type_codes(src))
-    df = df.join(codes, "payment_type", "left")
+    df = fan_out(_orders_with_zip(src), src["order_items"], src["payments"], side)
+    df = df.join(payment_type_codes(src), "payment_type", "left")
     cols = _common_columns(df)
     cols["payment_key"] = F.coalesce(F.col("code"), F.lit(0)).cast("int")
     cols["payment_value"] = F.col("payment_value")
@@ -196,6 +176,13 @@ def order_rollup(src: Src, with_fanout: bool = True, with_zip: bool = True) -> D
                      (F.col("amount") * fan).alias("revenue"), rows.alias("fact_rows"))
 
 
+def rollup_of(fact: DataFrame) -> DataFrame:
+    """``order_rollup`` from fact rows: one row per order with its revenue and
+    number of fact rows, what the daily and city marts read."""
+    return fact.groupBy("order_id", "order_date_key", "order_status", "geolocation_key").agg(
+        F.sum(money("total_amount")).alias("revenue"), F.count(F.lit(1)).alias("fact_rows"))
+
+
 def fact_orders_surrogate_keys(src: Src, dim_customers: DataFrame, dim_products: DataFrame,
                                dim_sellers: DataFrame, dim_geolocation: DataFrame,
                                dim_payments: DataFrame) -> DataFrame:
@@ -210,17 +197,16 @@ def fact_orders_surrogate_keys(src: Src, dim_customers: DataFrame, dim_products:
     installments, the dimension's natural key).
     """
     cust = dim_customers.select("customer_id", F.col("customer_key").alias("_ck"))
-    geo = broadcast_if_small(dim_geolocation.select(F.col("geolocation_zip_code_prefix").alias("_zip"),
-                                                    F.col("geolocation_key").alias("_gk")))
+    geo = dim_geolocation.select(F.col("geolocation_zip_code_prefix").alias("_zip"),
+                                 F.col("geolocation_key").alias("_gk"))
     o = (src["orders"].join(src["customers"].select("customer_id", "customer_zip_code_prefix"), "customer_id", "left")
          .join(cust, "customer_id", "left"))
     o = o.join(geo, zfill(o["customer_zip_code_prefix"]) == geo["_zip"], "left")
-    prod = broadcast_if_small(dim_products.select("product_id", F.col("product_key").alias("_pk")))
-    sell = broadcast_if_small(dim_sellers.select("seller_id", F.col("seller_key").alias("_sk")))
+    prod = dim_products.select("product_id", F.col("product_key").alias("_pk"))
+    sell = dim_sellers.select("seller_id", F.col("seller_key").alias("_sk"))
     items = src["order_items"].join(prod, "product_id", "left").join(sell, "seller_id", "left")
-    pdim = broadcast_if_small(dim_payments.select(F.col("payment_type").alias("_pt"),
-                                                  F.col("payment_installments").alias("_pi"),
-                                                  F.col("payment_key").alias("_yk")))
+    pdim = dim_payments.select(F.col("payment_type").alias("_pt"), F.col("payment_installments").alias("_pi"),
+                               F.col("payment_key").alias("_yk"))
     pays = src["payments"]
     pays = pays.join(pdim, (F.lower(pays["payment_type"]) == pdim["_pt"])
                      & (fill_int(pays["payment_installments"], 1) == pdim["_pi"]), "left")

@@ -14,6 +14,8 @@ The change batches are derived from the driver tables, not made up:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from ..operators import dml
 from ..session import scratch_path
 from ..sources import files
 from ..sources.fixtures import Sources, _place
-from ..sources.schemas import SOURCES
+from ..sources.schemas import SOURCES, SRC_POS, STAGING_ORDER
 
 UPSERT_SEGMENT = "BUILDING"
 DELETE_PRIORITY = "5-LOW"
@@ -88,10 +90,13 @@ def append_sellers(spark: SparkSession, src: Sources) -> DataFrame:
 
 
 def truncate_orders(spark: SparkSession, src: Sources) -> DataFrame:
+    """Rows of the table before and after."""
     path = scratch_path(spark, "truncate") + "/orders"
     dml.replace_table(src["orders"], path)
+    before = spark.createDataFrame([("before", spark.read.parquet(path).count())], "stage string, n_rows long")
     dml.truncate_table(spark, path)
-    return spark.read.parquet(path)
+    after = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("after").alias("stage"), "n_rows")
+    return before.unionByName(after)
 
 
 def _dump_reviews(spark: SparkSession, src: Sources) -> str:
@@ -120,11 +125,32 @@ def load_reviews_csv(spark: SparkSession, src: Sources) -> DataFrame:
     """Reviews (free text with commas, quotes and line breaks) written as a
     CRLF delimited file with a header, then bulk-loaded with the schema."""
     path = dml.write_csv(src["order_reviews"], scratch_path(spark, "csv") + "/order_reviews", line_sep="\r\n")
-    return files.read_csv(spark, path, SOURCES["order_reviews"].schema)
+    return files.read_csv(spark, path, SOURCES["order_reviews"].schema, multi_line=True)
+
+
+def load_csv_tables(spark: SparkSession, src: Sources) -> DataFrame:
+    """All nine source tables written as delimited files and bulk-loaded again:
+    rows, values and characters of every loaded column."""
+    folder = scratch_path(spark, "csv-tables")
+    for name in STAGING_ORDER:
+        dml.write_csv(src[name].drop(SRC_POS), f"{folder}/{name}.csv", line_sep="\r\n")
+    loaded = files.CsvSources(spark, folder)
+
+    def measured(name: str) -> DataFrame:
+        df, fields = loaded[name].drop(SRC_POS), SOURCES[name].schema.fields
+        text = {f.name for f in fields if f.dataType.simpleString() == "string"}
+        one = df.agg(F.array(*[F.struct(
+            F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), F.count(f.name).alias("n_values"),
+            (F.sum(F.length(f.name)) if f.name in text else F.lit(None)).cast("long").alias("n_chars"))
+            for f in fields]).alias("c"))
+        return one.select(F.lit(name).alias("table_name"), F.explode("c").alias("c")).select("table_name", "c.*")
+
+    return reduce(DataFrame.unionByName, [measured(n) for n in STAGING_ORDER])
 
 
 def orders_by_status_records(spark: SparkSession, src: Sources) -> DataFrame:
-    """A statement over a registered staging table (rows are fetched with
-    ``files.get_records``)."""
+    """A statement over a registered staging table whose rows (one per status)
+    are fetched with ``files.get_records``."""
     src["orders"].createOrReplaceTempView("stg_orders")
-    return spark.sql("SELECT order_status, COUNT(*) AS order_count FROM stg_orders GROUP BY order_status")
+    found = spark.sql("SELECT order_status, COUNT(*) AS order_count FROM stg_orders GROUP BY order_status")
+    return spark.createDataFrame([tuple(r) for r in files.get_records(found)], found.schema)

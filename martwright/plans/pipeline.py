@@ -1,9 +1,11 @@
 """The daily warehouse refresh: staging -> six dimensions + fact -> three marts.
 
 Tables live under ``root/<layer>/<table>`` as parquet. Every write is a
-whole-table replace with a folder swap, so a rerun is idempotent and readers
-never see a half-written table. Dimensions and the fact only read staging, so
-they are submitted concurrently as separate Spark jobs.
+whole-table replace with a folder swap (``operators.dml`` states its gap), so a
+rerun is idempotent and readers never see a half-written table. Dimensions and
+the fact only read staging, so they are submitted concurrently as separate
+Spark jobs. Marts and fact-level reports read the written fact and the rollup
+made from it, never staging.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.dml import replace_bucketed_table, replace_table, table_exists
-from ..session import shuffle_width
+from ..session import scratch_scope, shuffle_width
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
 from . import dims, facts, marts, reports
 
@@ -33,6 +35,11 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, table))
 
 
+def rollup_path(root: str) -> str:
+    """The per-order rollup of the written fact (a work table of the refresh)."""
+    return f"{root.rstrip('/')}/work/order_rollup"
+
+
 # Staged tables joined and grouped on the order id: bucketed and sorted by it
 # with one bucket count, so the fact and the order-level marts read them
 # co-partitioned instead of shuffling items and payments again per job.
@@ -67,13 +74,29 @@ class StagedSources(Mapping):
         return len(STAGING_ORDER)
 
 
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def bucket_count(spark: SparkSession, tables: Sequence[DataFrame]) -> int:
+    """Buckets of about ``BUCKET_BYTES`` of the largest table, as the planner
+    knows its size from the files; at least the shuffle width."""
+    sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
+    return min(max(shuffle_width(spark), -(-max(sizes) // BUCKET_BYTES)), MAX_BUCKETS)
+
+
+# The catalog's own limit on buckets of a table (spark.sql.sources.bucketing.maxBuckets).
+MAX_BUCKETS = 100_000
+
+
 def stage(src: Mapping[str, DataFrame], root: str, buckets: int | None = None, parallelism: int = 4) -> None:
     """Raw-to-staging copy of the nine source tables (``stg_`` prefix), as
     concurrent jobs (the copies are independent). Orders, items and payments
-    are bucketed by order id into ``buckets`` files (default: the session's
-    shuffle width; 0 disables)."""
+    are bucketed by order id into ``buckets`` files (default: from the size of
+    the sources, at least the session's shuffle width; 0 disables). A bucket
+    holds whole orders; the fact deals a hot order over tasks again
+    (``facts.fan_out``)."""
     spark = src[STAGING_ORDER[0]].sparkSession
-    n = shuffle_width(spark) if buckets is None else buckets
+    n = bucket_count(spark, [src[name] for name in ORDER_KEYED]) if buckets is None else buckets
 
     def copy(name: str) -> None:
         path = table_path(root, f"stg_{name}")
@@ -114,12 +137,17 @@ def build_warehouse(spark: SparkSession, root: str, run_date: _dt.date | str | N
 
 
 def publish_marts(spark: SparkSession, root: str, parallelism: int = 3) -> None:
-    st = StagedSources(spark, root)
+    """The three marts from the written fact: its per-order rollup is written
+    once (the daily and city marts and the reports read it)."""
+    fact = read_table(spark, root, "fact_orders")
+    replace_table(facts.rollup_of(fact), rollup_path(root))
+    rollup = spark.read.parquet(rollup_path(root))
     jobs = {
-        "mart_sales_daily": lambda: marts.mart_sales_daily(st),
-        "mart_product_performance": lambda: marts.mart_product_performance(
-            st, read_table(spark, root, "dim_products")),
-        "mart_city_revenue": lambda: marts.mart_city_revenue(st, read_table(spark, root, "dim_geolocation")),
+        "mart_sales_daily": lambda: marts.mart_sales_daily_from_rollup(rollup),
+        "mart_product_performance": lambda: marts.mart_product_performance_from_fact(
+            fact, read_table(spark, root, "dim_products")),
+        "mart_city_revenue": lambda: marts.mart_city_revenue_from_rollup(
+            rollup, read_table(spark, root, "dim_geolocation")),
     }
     # rows clustered inside each file by the mart's key, so parquet min/max
     # statistics prune date / product / city lookups
@@ -142,10 +170,20 @@ def _gate(checked: DataFrame, layer: str) -> None:
             f"{r.table_name}({r.key_columns}): {r.n_null_keys} NULL, {r.n_duplicate_keys} duplicated" for r in bad))
 
 
+# References the fact's joins rest on; others are reported, not gated (a dangling one there is data, e.g. an
+# untranslated category).
+GATED_REFERENCES = {("orders", "customer_id"), ("order_items", "order_id"), ("payments", "order_id")}
+
+
 def gate_sources(spark: SparkSession, root: str) -> None:
     st = StagedSources(spark, root)
     specs = {t: spec.primary_key for t, spec in SOURCES.items() if spec.primary_key}
     _gate(quality.primary_keys({t: st[t] for t in specs}, specs), "staging")
+    refs = [(t, c, pt, pc) for t, spec in SOURCES.items() for c, pt, pc in spec.foreign_keys if (t, c) in GATED_REFERENCES]
+    bad = quality.foreign_keys({n: st[n] for n in STAGING_ORDER}, refs).where(~F.col("ok")).collect()  # one row per reference
+    if bad:
+        raise DataQualityError("staging: dangling references in " + ", ".join(
+            f"{r.child_table}.{r.child_column}: {r.dangling_rows}" for r in bad))
 
 
 def gate_marts(spark: SparkSession, root: str) -> None:
@@ -154,33 +192,36 @@ def gate_marts(spark: SparkSession, root: str) -> None:
 
 def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date: _dt.date | str | None = None,
         calendar: tuple[str, str] = dims.DEFAULT_CALENDAR, fact_partition_by: Sequence[str] = (),
-        gates: bool = False, buckets: int | None = None) -> str:
+        gates: bool = True, buckets: int | None = None) -> str:
     """Whole refresh in dependency order; returns ``root``.
 
     ``gates``: stop before building on staged sources whose primary keys are
-    NULL or duplicated, and fail after publishing marts whose keys are (foreign
-    keys are reported by ``checks``, not gated: dangling references are data,
-    e.g. an untranslated category).
+    NULL or duplicated or whose order and customer references dangle, and fail
+    after publishing marts whose keys are NULL or duplicated.
     """
-    stage(src, root, buckets)
-    if gates:
-        gate_sources(spark, root)
-    build_warehouse(spark, root, run_date, calendar, fact_partition_by)
-    publish_marts(spark, root)
-    if gates:
-        gate_marts(spark, root)
+    with scratch_scope(spark):
+        stage(src, root, buckets)
+        if gates:
+            gate_sources(spark, root)
+        build_warehouse(spark, root, run_date, calendar, fact_partition_by)
+        publish_marts(spark, root)
+        if gates:
+            gate_marts(spark, root)
     return root
 
 
 def reports_from_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The BI reports over a built warehouse (mart reports read the marts)."""
-    st = StagedSources(spark, root)
+    """The BI reports over a built warehouse (from the fact, its rollup, the
+    dimensions and the marts)."""
+    rollup = spark.read.parquet(rollup_path(root))
+    fact = read_table(spark, root, "fact_orders")
     sales = read_table(spark, root, "mart_sales_daily")
     return {
-        "report_revenue_by_month": reports.report_revenue_by_month(st, read_table(spark, root, "dim_dates")),
-        "report_orders_by_status": reports.report_orders_by_status(st),
-        "report_units_by_category": reports.report_units_by_category(st, read_table(spark, root, "dim_products")),
-        "report_revenue_by_city": reports.report_revenue_by_city(st, read_table(spark, root, "dim_geolocation")),
+        "report_revenue_by_month": reports.revenue_by_month(rollup, read_table(spark, root, "dim_dates")),
+        "report_orders_by_status": reports.orders_by_status(rollup),
+        "report_units_by_category": reports.units_by_category(fact.withColumn("fanout", F.lit(1).cast("long")),
+                                                              read_table(spark, root, "dim_products")),
+        "report_revenue_by_city": reports.revenue_by_city(rollup, read_table(spark, root, "dim_geolocation"), on_zip=False),
         "report_sales_daily": reports.report_sales_daily(sales),
         "report_top20_products": reports.report_top20_products(read_table(spark, root, "mart_product_performance")),
         "report_top20_cities": reports.report_top20_cities(read_table(spark, root, "mart_city_revenue")),

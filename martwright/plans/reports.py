@@ -23,21 +23,33 @@ TOP_K = 20
 
 def report_revenue_by_month(src: Src, dim_dates: DataFrame | None = None) -> DataFrame:
     cal = dim_dates if dim_dates is not None else dims.dim_dates_covering(src["orders"], "order_purchase_timestamp")
-    per_day = facts.order_rollup(src, with_zip=False).groupBy("order_date_key").agg(F.sum("revenue").alias("revenue"))
+    return revenue_by_month(facts.order_rollup(src, with_zip=False), cal)
+
+
+def revenue_by_month(rollup: DataFrame, cal: DataFrame) -> DataFrame:
+    per_day = rollup.groupBy("order_date_key").agg(F.sum("revenue").alias("revenue"))
     j = per_day.join(cal.select("date_key", "month"), per_day["order_date_key"] == cal["date_key"])
     return (j.groupBy("month").agg(F.sum("revenue").cast(TOTAL).alias("total_revenue"))
             .orderBy(F.col("month").asc_nulls_last()))
 
 
 def report_orders_by_status(src: Src) -> DataFrame:
-    return (facts.order_rollup(src, with_zip=False).groupBy("order_status")
+    return orders_by_status(facts.order_rollup(src, with_zip=False))
+
+
+def orders_by_status(rollup: DataFrame) -> DataFrame:
+    return (rollup.groupBy("order_status")
             .agg(F.sum("fact_rows").cast("long").alias("order_count"))
             .orderBy(F.col("order_count").desc_nulls_first(), "order_status"))
 
 
 def report_units_by_category(src: Src, dim_products: DataFrame | None = None) -> DataFrame:
-    p = dim_products if dim_products is not None else dims.product_attributes(src)
-    per_product = (facts.item_grain(src).where(F.col("product_key").isNotNull())
+    return units_by_category(facts.item_grain(src),
+                             dim_products if dim_products is not None else dims.product_attributes(src))
+
+
+def units_by_category(items: DataFrame, p: DataFrame) -> DataFrame:
+    per_product = (items.where(F.col("product_key").isNotNull())
                    .groupBy("product_key").agg(F.sum("fanout").alias("units")))
     j = per_product.join(p.select("product_id", "product_category_name"),
                          per_product["product_key"] == p["product_id"])
@@ -45,8 +57,8 @@ def report_units_by_category(src: Src, dim_products: DataFrame | None = None) ->
             .orderBy(F.col("total_sold").desc_nulls_first(), "product_category_name"))
 
 
-def _revenue_by_city(src: Src, geo: DataFrame, on_zip: bool) -> DataFrame:
-    per_zip = facts.order_rollup(src).groupBy("geolocation_key").agg(F.sum("revenue").alias("revenue"))
+def revenue_by_city(rollup: DataFrame, geo: DataFrame, on_zip: bool) -> DataFrame:
+    per_zip = rollup.groupBy("geolocation_key").agg(F.sum("revenue").alias("revenue"))
     if on_zip:
         g = geo.select("geolocation_zip_code_prefix", "geolocation_city")
         cond = zfill(per_zip["geolocation_key"]) == g["geolocation_zip_code_prefix"]
@@ -61,13 +73,13 @@ def _revenue_by_city(src: Src, geo: DataFrame, on_zip: bool) -> DataFrame:
 def report_revenue_by_city(src: Src, dim_geolocation: DataFrame | None = None) -> DataFrame:
     """As written: the fact's zip compared with the dimension's row number."""
     geo = dim_geolocation if dim_geolocation is not None else dims.dim_geolocation(src)
-    return _revenue_by_city(src, geo, on_zip=False)
+    return revenue_by_city(facts.order_rollup(src), geo, on_zip=False)
 
 
 def report_revenue_by_city_zip(src: Src, dim_geolocation: DataFrame | None = None) -> DataFrame:
     """Corrected: joined on the zero-padded zip."""
     geo = dim_geolocation if dim_geolocation is not None else dims.geolocation_first_rows(src)
-    return _revenue_by_city(src, geo, on_zip=True)
+    return revenue_by_city(facts.order_rollup(src), geo, on_zip=True)
 
 
 # --- mart reports --------------------------------------------------------------

@@ -131,6 +131,7 @@ REGISTRY: dict[str, Job] = {
     "dump_table": _spark_job(maintenance.dump_reviews),
     "reload_dump": _spark_job(maintenance.reload_reviews),
     "load_csv": _spark_job(maintenance.load_reviews_csv),
+    "load_csv_tables": _spark_job(maintenance.load_csv_tables),
     "get_records": _spark_job(maintenance.orders_by_status_records),
     # data checks
     "dq_row_counts": _check("row_counts"),

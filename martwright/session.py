@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,7 +38,8 @@ def build_session(master: str | None = None, app_name: str = "martwright",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**REQUIRED_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    conf = {**REQUIRED_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -76,14 +80,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
                                "(checkpoints and scratch tables must survive the loss of a machine)")
         configured = tempfile.mkdtemp(prefix="martwright-ckpt-")  # local mode only (tests)
+    elif configured.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        warnings.warn(f"spark.checkpoint.dir is {configured}: it must be a mount that all machines share", stacklevel=2)
     spark.sparkContext.setCheckpointDir(configured)
     return jsc.getCheckpointDir().get()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint directory."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/martwright-scratch/{label}-{uuid.uuid4().hex}"
+    path = f"{root}/martwright-scratch/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside once everything read from them
+    has been written."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,57 +1,99 @@
 """Delimited-file sources: bulk CSV load, tab-delimited dump reload, tables.
 
 Schemas are always given (no inference). Line ends: LF and CRLF are both
-accepted; quoted fields may hold the separator, doubled quotes and line breaks
-(``multiLine``). An empty unquoted field is NULL.
+accepted; quoted fields may hold the separator and doubled quotes. Only tables
+with free text need ``multi_line`` (quoted line breaks): such a file is read by
+one task, all others are split. An empty unquoted field is NULL.
+
+Ingest order (``src_pos``) is file path (as text), then the split's place in
+the file, then the row in the split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import SOURCES, SRC_POS
 
 DUMP_NULL = "\\N"
+CORRUPT = "_corrupt_record"
+
+
+def _position(row: Column) -> Column:
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    row.alias("row"))
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, header: bool, sep: str, multi_line: bool, mode: str):
+    return (spark.read.schema(schema)
+            .option("header", header).option("sep", sep)
+            .option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, sep: str = ",",
-             with_position: bool = False) -> DataFrame:
-    """Bulk load of a delimited file into a typed frame (separator ``,``,
-    enclosure ``"``, one header line).
+             with_position: bool = False, multi_line: bool = False) -> DataFrame:
+    """Bulk load of a delimited file or folder into a typed frame (separator
+    ``,``, enclosure ``"``, one header line).
 
-    ``with_position`` adds ``src_pos``: the row's ingest order (file split,
-    then line), which positional keys and keep-first de-duplication use.
+    ``with_position`` adds ``src_pos``, the row's ingest order, which
+    positional keys and keep-first de-duplication use.
     """
-    df = (spark.read.schema(schema)
-          .option("header", header).option("sep", sep)
-          .option("quote", '"').option("escape", '"')
-          .option("multiLine", True)
-          .option("mode", "FAILFAST")
-          .csv(path))
+    df = _csv(spark, path, schema, header, sep, multi_line, "FAILFAST")
     if with_position:
-        df = df.withColumn(SRC_POS, F.monotonically_increasing_id())
+        df = df.select(*[f.name for f in schema.fields], _position(F.monotonically_increasing_id()).alias(SRC_POS))
     return df
 
 
+# How a backslash and line breaks are written in a dump.
+_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escaped_text(df: DataFrame) -> DataFrame:
+    """String columns without line breaks."""
+    out = df
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            c = F.col(f.name)
+            for raw, written in _ESCAPES:
+                c = F.replace(c, F.lit(raw), F.lit(written))
+            out = out.withColumn(f.name, c)
+    return out
+
+
+def _unescaped_text(df: DataFrame) -> DataFrame:
+    out = df
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            c = F.col(f.name)
+            for raw, written in reversed(_ESCAPES):
+                c = F.replace(c, F.lit(written), F.lit(raw))
+            out = out.withColumn(f.name, c)
+    return out
+
+
 def reload_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a tab-delimited dump written by ``operators.dml.dump_table``."""
-    return (spark.read.schema(schema)
-            .option("sep", "\t").option("header", False)
-            .option("quote", '"').option("escape", '"')
-            .option("nullValue", DUMP_NULL)
-            .option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .csv(path))
+    return _unescaped_text(spark.read.schema(schema)
+                           .option("sep", "\t").option("header", False)
+                           .option("quote", '"').option("escape", '"')
+                           .option("nullValue", DUMP_NULL)
+                           .option("mode", "FAILFAST")
+                           .csv(path))
 
 
-def read_table(spark: SparkSession, location: str, fmt: str = "parquet", **jdbc) -> DataFrame:
+def read_table(spark: SparkSession, location: str, fmt: str = "parquet", with_position: bool = False,
+               **jdbc) -> DataFrame:
     """Full-table scan of a staged table (parquet path) or a JDBC source.
 
-    For JDBC pass ``url``, ``dbtable`` and, for a parallel read,
+    ``with_position`` adds ``src_pos`` to a parquet scan (file path, then row in
+    the file). For JDBC pass ``url``, ``dbtable`` and, for a parallel read,
     ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions``.
     """
     if fmt == "jdbc":
@@ -59,7 +101,10 @@ def read_table(spark: SparkSession, location: str, fmt: str = "parquet", **jdbc)
         for k, v in jdbc.items():
             reader = reader.option(k, v)
         return reader.load()
-    return spark.read.format(fmt).load(location)
+    df = spark.read.format(fmt).load(location)
+    if with_position:
+        df = df.select(*df.columns, _position(F.col("_metadata.row_index")).alias(SRC_POS))
+    return df
 
 
 def get_records(df: DataFrame):
@@ -67,26 +112,22 @@ def get_records(df: DataFrame):
     return df.toLocalIterator()
 
 
-CORRUPT = "_corrupt_record"
-
-
 def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-                             sep: str = ",") -> tuple[DataFrame, DataFrame]:
+                             sep: str = ",", with_position: bool = False,
+                             multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """Bulk load that keeps going past bad rows: (typed good rows, quarantine).
 
     A row whose fields do not parse as the declared types (or has the wrong
     number of fields) goes to the quarantine frame with its raw text, instead
     of failing the load or being silently coerced.
     """
-    parsed = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-              .option("header", header).option("sep", sep)
-              .option("quote", '"').option("escape", '"')
-              .option("multiLine", True)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .csv(path))
-    good = parsed.where(F.col(CORRUPT).isNull()).select(*[f.name for f in schema.fields])
-    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(*[f.name for f in schema.fields], CORRUPT)
-    return good, bad
+    names = [f.name for f in schema.fields]
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = _csv(spark, path, full, header, sep, multi_line, "PERMISSIVE")
+    position = [_position(F.monotonically_increasing_id()).alias(SRC_POS)] if with_position else []
+    parsed = parsed.select(*names, CORRUPT, *position)
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, parsed.where(F.col(CORRUPT).isNotNull()).select(*names, CORRUPT)
 
 
 class CsvSources(Mapping):
@@ -94,18 +135,31 @@ class CsvSources(Mapping):
 
     ``file_names`` maps a source name to its file (or folder of part files);
     the default is ``<source>.csv``. Geolocation gets its ingest position
-    (``src_pos``), which its keep-first de-duplication orders by.
+    (``src_pos``), which its keep-first de-duplication orders by. With
+    ``quarantine`` bad rows do not stop the load: ``rejected(name)`` has them.
     """
 
     POSITIONED = ("geolocation",)
+    FREE_TEXT = ("order_reviews",)
 
-    def __init__(self, spark: SparkSession, folder: str, file_names: Mapping[str, str] | None = None):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, file_names: Mapping[str, str] | None = None,
+                 quarantine: bool = False):
+        self.spark, self.folder, self.quarantine = spark, folder.rstrip("/"), quarantine
         self.file_names = {n: f"{n}.csv" for n in SOURCES} | dict(file_names or {})
 
+    def _split(self, name: str) -> tuple[DataFrame, DataFrame]:
+        return read_csv_with_quarantine(self.spark, f"{self.folder}/{self.file_names[name]}", SOURCES[name].schema,
+                                        with_position=name in self.POSITIONED, multi_line=name in self.FREE_TEXT)
+
     def __getitem__(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{self.file_names[name]}"
-        return read_csv(self.spark, path, SOURCES[name].schema, with_position=name in self.POSITIONED)
+        if self.quarantine:
+            return self._split(name)[0]
+        return read_csv(self.spark, f"{self.folder}/{self.file_names[name]}", SOURCES[name].schema,
+                        with_position=name in self.POSITIONED, multi_line=name in self.FREE_TEXT)
+
+    def rejected(self, name: str) -> DataFrame:
+        """The rows of a source's file that do not parse, with their raw text."""
+        return self._split(name)[1]
 
     def __iter__(self):
         return iter(SOURCES)

@@ -1,17 +1,21 @@
 """Incremental daily-sales refresh driven by Structured Streaming.
 
-New orders land as files in an inbox folder. A file-source stream picks them
-up and ``foreachBatch`` does, per micro-batch:
-
-1. upsert the batch into the staged orders (partitioned by purchase month)
-   by ``order_id``, rewriting only the months the batch touches — replaying
-   an epoch after a failure is a no-op;
-2. find the months the batch touches (its own, and any an updated order
-   moved out of);
-3. recompute the mart rows of the months those days fall in from the staged
-   tables and overwrite only those ``order_month`` partitions (dynamic
-   partition overwrite; a month is the partition so a small mart does not
-   become thousands of one-day files).
+New and changed orders land as files in an inbox folder. A file-source stream
+picks them up and ``foreachBatch`` does, per micro-batch:
+
+1. find the months the batch touches (its own, and any an updated order moves
+   out of) and record them under the epoch's id, *before* anything changes;
+2. upsert the batch into the staged orders (partitioned by purchase month) by
+   ``order_id``, rewriting only these months; of several versions of an order
+   the one that arrived last wins (file time, file, row in the file);
+3. recompute the mart rows of the recorded months from the staged tables and
+   overwrite only those ``order_month`` partitions.
+
+A replay after a stop at any point reads the recorded months, so a month that
+an order has already left is refreshed all the same. Late items and payments
+arrive through streams of their own: each micro-batch is one ``load`` partition
+of the staged table (written again on replay), and the months of its orders are
+refreshed.
 
 Exact ``COUNT(DISTINCT order_id)`` is not available in a streaming
 aggregation, so days are recomputed in batch form inside ``foreachBatch``;
@@ -25,7 +29,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dml import overwrite_partitions, replace_table, upsert_partitions
+from ..operators.dml import (in_partitions, overwrite_partitions, replace_table, table_exists, touched_partitions,
+                             upsert_partitions)
 from ..plans import marts
 from ..plans.pipeline import StagedSources, table_path
 from ..session import scratch_path
@@ -35,6 +40,9 @@ MART = "mart_sales_daily"
 LOOKBACK_DAYS = 365  # orders after (last order day - LOOKBACK_DAYS) arrive late
 MART_INPUTS = ("order_items", "payments")
 MONTH = "order_month"
+SEQ = "_arrival"     # orders a batch's versions of one order
+LOAD = "load"        # partition of a staged detail table: one per micro-batch
+INITIAL = "initial"
 
 
 def _mart_path(root: str) -> str:
@@ -65,7 +73,7 @@ def refresh_months(spark: SparkSession, root: str, months: list[_dt.date]) -> No
     partition pruning, their items and payments by semi-joins on the touched
     order ids; nothing else is read."""
     st = StagedSources(spark, root)
-    touched = st["orders"].where(F.col(MONTH).isin(months)).drop(MONTH)
+    touched = st["orders"].where(in_partitions(MONTH, months)).drop(MONTH)
     ids = touched.select("order_id")
     view = {
         "orders": touched,
@@ -79,30 +87,73 @@ def read_mart(spark: SparkSession, root: str) -> DataFrame:
     return marts.conform(spark.read.parquet(_mart_path(root)), MART)
 
 
-def process_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
+def epoch_months(spark: SparkSession, root: str, stream: str, epoch: int, found: DataFrame) -> list[_dt.date]:
+    """The months recorded for an epoch; ``found`` (one month column) is
+    evaluated and recorded if there are none yet. Bounded by the months."""
+    path = f"{root.rstrip('/')}/_epochs/{stream}/{epoch}"
+    if not table_exists(spark, path):
+        replace_table(found.toDF(MONTH).distinct().coalesce(1), path)
+    return [r[0] for r in spark.read.parquet(path).collect()]
+
+
+def process_batch(spark: SparkSession, root: str, batch: DataFrame, epoch: int) -> None:
     """Upsert one micro-batch of orders and refresh the months it touches.
 
-    Work is proportional to the touched months: the months of the batch plus
-    those where an updated order used to be (found by a semi-join that reads
-    only the order id and the partition column of the staged orders)."""
+    ``batch`` needs the arrival order ``SEQ``; without it two versions of one
+    order could not be told apart."""
+    if SEQ not in batch.columns:
+        raise ValueError(f"a batch of orders needs the column {SEQ!r} (arrival order)")
     if batch.isEmpty():
         return
-    months = upsert_partitions(spark, table_path(root, "stg_orders"), _with_month(batch), ["order_id"], MONTH)
+    path, rows = table_path(root, "stg_orders"), _with_month(batch)
+    touched = touched_partitions(spark.read.parquet(path), rows, ["order_id"], MONTH)
+    months = epoch_months(spark, root, "orders", epoch,
+                          spark.createDataFrame([(m,) for m in touched], f"{MONTH} date"))
+    upsert_partitions(spark, path, rows, ["order_id"], MONTH, SEQ)
     refresh_months(spark, root, months)
 
 
+def stage_details(rows: DataFrame, root: str, name: str) -> None:
+    """First load of staged items or payments."""
+    replace_table(rows.withColumn(LOAD, F.lit(INITIAL)), table_path(root, f"stg_{name}"), partition_by=(LOAD,))
+
+
+def process_details(spark: SparkSession, root: str, name: str, batch: DataFrame, epoch: int) -> None:
+    """Append one micro-batch of items or payments and refresh the months of
+    their orders; a replay overwrites the batch's own partition."""
+    if batch.isEmpty():
+        return
+    (batch.withColumn(LOAD, F.lit(str(epoch))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD).parquet(table_path(root, f"stg_{name}")))
+    orders = spark.read.parquet(table_path(root, "stg_orders"))
+    months = orders.join(batch.select("order_id"), "order_id", "left_semi").select(MONTH)
+    refresh_months(spark, root, epoch_months(spark, root, name, epoch, months))
+
+
+def _arrivals(spark: SparkSession, name: str, inbox: str) -> DataFrame:
+    return spark.readStream.schema(SOURCES[name].schema).parquet(inbox)
+
+
 def start_stream(spark: SparkSession, root: str, inbox: str, checkpoint: str):
-    stream = spark.readStream.schema(SOURCES["orders"].schema).parquet(inbox)
-    return (stream.writeStream
-            .foreachBatch(lambda df, _epoch: process_batch(spark, root, df))
+    arrival = F.struct(*[F.col(f"_metadata.{c}").alias(c) for c in ("file_modification_time", "file_path", "row_index")])
+    return (_arrivals(spark, "orders", inbox).select("*", arrival.alias(SEQ)).writeStream
+            .foreachBatch(lambda df, epoch: process_batch(spark, root, df, epoch))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start())
+
+
+def start_detail_stream(spark: SparkSession, root: str, name: str, inbox: str, checkpoint: str):
+    return (_arrivals(spark, name, inbox).writeStream
+            .foreachBatch(lambda df, epoch: process_details(spark, root, name, df, epoch))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
 
 
 def incremental_sales_daily(spark: SparkSession, src) -> DataFrame:
-    """Initial load of older orders, then the recent ones through the stream;
-    the result must equal a full rebuild of the mart."""
+    """Initial load of older orders with their items and payments, then the
+    recent ones through the streams; the result must equal a full rebuild."""
     root = scratch_path(spark, "incremental")
     orders = src["orders"]
     last_day: _dt.date = orders.agg(F.max("order_purchase_timestamp")).first()[0]
@@ -112,11 +163,13 @@ def incremental_sales_daily(spark: SparkSession, src) -> DataFrame:
 
     stage_orders(early, root)
     for name in MART_INPUTS:
-        replace_table(src[name], table_path(root, f"stg_{name}"))
+        stage_details(src[name].join(late.select("order_id"), "order_id", "left_anti"), root, name)
     write_months(marts.mart_sales_daily(StagedSources(spark, root)), root)
 
-    inbox = f"{root}/inbox/orders"
-    late.write.parquet(inbox)
-    query = start_stream(spark, root, inbox, f"{root}/_stream_checkpoint")
-    query.awaitTermination()
+    late.write.parquet(f"{root}/inbox/orders")
+    for name in MART_INPUTS:
+        src[name].join(late.select("order_id"), "order_id", "left_semi").write.parquet(f"{root}/inbox/{name}")
+    start_stream(spark, root, f"{root}/inbox/orders", f"{root}/_stream_checkpoint/orders").awaitTermination()
+    for name in MART_INPUTS:
+        start_detail_stream(spark, root, name, f"{root}/inbox/{name}", f"{root}/_stream_checkpoint/{name}").awaitTermination()
     return read_mart(spark, root)

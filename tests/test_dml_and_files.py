@@ -67,8 +67,8 @@ def test_csv_crlf_lf_quotes_newlines_empty(spark):
     for name, sep in [("lf.csv", "\n"), ("crlf.csv", "\r\n")]:
         with open(os.path.join(folder, name), "w", newline="") as f:
             f.write(sep.join(body) + sep)
-    lf = files.read_csv(spark, os.path.join(folder, "lf.csv"), schema).collect()
-    crlf = files.read_csv(spark, os.path.join(folder, "crlf.csv"), schema).collect()
+    lf = files.read_csv(spark, os.path.join(folder, "lf.csv"), schema, multi_line=True).collect()
+    crlf = files.read_csv(spark, os.path.join(folder, "crlf.csv"), schema, multi_line=True).collect()
     want = [("a", "x, y"), ("b", 'he said "hi"'), ("c", "two\nlines"), ("d", None)]
     assert sorted(tuple(r) for r in lf) == want
     got_crlf = sorted(tuple(r) for r in crlf)
@@ -78,7 +78,7 @@ def test_csv_crlf_lf_quotes_newlines_empty(spark):
 
 
 def test_dump_round_trip_keeps_tabs_quotes_newlines_empty_and_null(spark):
-    df = spark.createDataFrame([("1", "tab\there"), ("2", 'quote " and\nnewline'), ("3", ""), ("4", None)],
+    df = spark.createDataFrame([("1", "tab\there"), ("2", 'quote " and\nnewline'), ("3", ""), ("4", None), ("5", "a\\nb\\\\N\r\n\\s"), ("6", "\\N")],
                                "k string, v string")
     folder = scratch_path(spark, "t-dump")
     path = dml.dump_table(df, folder, "staging.t")
@@ -146,3 +146,58 @@ def test_delete_partitions_touches_only_partitions_with_keys(spark):
     assert not os.path.exists(os.path.join(local, "p=2"))
     assert sorted(os.listdir(os.path.join(local, "p=3"))) == untouched
     assert dml.delete_partitions(spark, path, "k", spark.createDataFrame([], "k string"), "p") == []
+
+
+def test_null_partition_survives_upsert_and_delete(spark):
+    rows = [("a", None), ("b", None), ("c", "x/y")]
+    path = scratch_path(spark, "t-null-parts") + "/t"
+    spark.createDataFrame(rows, "k string, p string").write.partitionBy("p").parquet(path)
+    read = lambda: sorted((tuple(r) for r in spark.read.parquet(path).select("k", "p").collect()), key=repr)
+    batch = spark.createDataFrame([("z", None), ("c", "q")], "k string, p string")
+    dml.upsert_partitions(spark, path, batch, ["k"], "p")
+    assert read() == sorted([("a", None), ("b", None), ("z", None), ("c", "q")], key=repr)
+    assert sorted(os.listdir(_local(path)))[:1] != ["p=x%2Fy"] and "p=x%2Fy" not in os.listdir(_local(path))
+    dml.delete_partitions(spark, path, "k", spark.createDataFrame([("a",)], "k string"), "p")
+    assert read() == sorted([("b", None), ("z", None), ("c", "q")], key=repr)
+    dml.delete_partitions(spark, path, "k", spark.createDataFrame([("b",), ("z",)], "k string"), "p")
+    assert read() == [("c", "q")]
+
+
+def test_one_partition_is_written_by_several_tasks(spark):
+    path = scratch_path(spark, "t-wide-part") + "/t"
+    df = spark.range(40_000).selectExpr("id AS k", "uuid() AS v", "1 AS p")
+    df.limit(1).write.partitionBy("p").parquet(path)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        dml.overwrite_partitions(df, path, "p")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files_ = [f for f in os.listdir(os.path.join(_local(path), "p=1")) if f.endswith(".parquet")]
+    assert len(files_) > 1 and spark.read.parquet(path).count() == 40_000
+
+
+def test_ingest_position_follows_file_order(spark):
+    """The smaller first file comes first, though readers pack larger files first."""
+    schema = SOURCES["product_category_name_translation"].schema
+    folder = _local(scratch_path(spark, "t-order"))
+    os.makedirs(folder)
+    for name, n in [("part-0.csv", 1), ("part-1.csv", 200)]:
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("a,b\n" + "".join(f"{name},{i:03d}\n" for i in range(n)))
+    df = files.read_csv(spark, folder, schema, with_position=True)
+    got = [tuple(r)[:2] for r in df.orderBy("src_pos").collect()]
+    assert got == [("part-0.csv", "000")] + [("part-1.csv", f"{i:03d}") for i in range(200)]
+    path = scratch_path(spark, "t-order") + "/t"
+    df.drop("src_pos").orderBy("product_category_name", "product_category_name_english").coalesce(1).write.parquet(path)
+    back = files.read_table(spark, path, with_position=True).orderBy("src_pos")
+    assert [tuple(r)[:2] for r in back.collect()] == got
+
+
+def test_csv_sources_quarantine(spark):
+    folder = _local(scratch_path(spark, "t-bad-rows"))
+    os.makedirs(folder)
+    with open(os.path.join(folder, "geolocation.csv"), "w") as f:
+        f.write("z,lat,lng,city,state\n1,1.0,2.0,a,s\nx,1.0,2.0,b,s\n3,1.0,2.0,c,s\n")
+    src = files.CsvSources(spark, folder, quarantine=True)
+    assert [r.geolocation_city for r in src["geolocation"].orderBy("src_pos").collect()] == ["a", "c"]
+    assert [r["_corrupt_record"] for r in src.rejected("geolocation").collect()] == ["x,1.0,2.0,b,s"]

@@ -105,12 +105,90 @@ def test_pipeline_refresh_is_idempotent(spark, src_small):
     assert pipeline.read_table(spark, root, "dim_dates").count() == 3653
 
 
-def test_fact_salted_hot_orders_give_same_rows(src_small):
-    plain = facts.fact_orders(src_small, pair_limit=10 ** 12)
-    salted = facts.fact_orders(src_small, pair_limit=3)  # most multi-item orders become hot
-    assert facts.hot_orders(src_small["order_items"], src_small["payments"], 3).count() > 100
-    key = lambda r: repr(tuple(r))
-    assert sorted(plain.collect(), key=key) == sorted(salted.collect(), key=key)
+def _join_tasks(df, order_id):
+    """Tasks that make the pairs of one order (small shuffles not merged, as at scale)."""
+    spark, off = df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                   "spark.sql.autoBroadcastJoinThreshold": "-1",
+                                   "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        rows = df.where(F.col("order_id") == order_id).groupBy(F.spark_partition_id().alias("t")).count()
+        return rows.count()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _sides(spark, n_items, n_payments, same=False):
+    orders = spark.createDataFrame([("h", "x"), ("n", "y")], "order_id string, v string")
+    items = spark.createDataFrame([("h", 0 if same else i) for i in range(n_items)] + [("n", 1)], "order_id string, i int")
+    pays = spark.createDataFrame([("h", 0 if same else p) for p in range(n_payments)] + [("n", 1)], "order_id string, p int")
+    return orders, items, pays
+
+
+def test_fan_out_spreads_one_order_from_both_sides(spark):
+    for n_items, n_payments, same in [(1, 900, False), (900, 1, False), (900, 1, True), (60, 60, True)]:
+        sides = _sides(spark, n_items, n_payments, same)
+        got = facts.fan_out(*sides, side=20)
+        plain = sides[0].join(sides[1], "order_id", "left").join(sides[2], "order_id", "left")
+        assert got.columns == plain.columns
+        assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+        assert _join_tasks(got, "h") > 3
+
+
+def test_fan_out_keeps_orders_without_items_or_payments(spark):
+    orders = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "order_id string")
+    items = spark.createDataFrame([("a", 1), ("b", 2)], "order_id string, i int")
+    pays = spark.createDataFrame([("a", 5), ("a", 6), ("c", 7)], "order_id string, p int")
+    got = sorted(map(tuple, facts.fan_out(orders, items, pays).collect()), key=repr)
+    assert got == [("a", 1, 5), ("a", 1, 6), ("b", 2, None), ("c", None, 7), ("d", None, None)]
+
+
+def test_amounts_are_rounded_after_summing(spark):
+    src = {
+        "orders": spark.createDataFrame([("o", "c", "F", dt.date(2020, 1, 1), None, None, None, None)],
+                                        "order_id string, customer_id string, order_status string, "
+                                        "order_purchase_timestamp date, order_approved_at date, "
+                                        "order_delivered_carrier_date date, order_delivered_customer_date date, "
+                                        "order_estimated_delivery_date date"),
+        "customers": spark.createDataFrame([("c", 1)], "customer_id string, customer_zip_code_prefix int"),
+        "order_items": spark.createDataFrame([("o", i, "p", "s", 0.004, 0.0) for i in range(1000)],
+                                             "order_id string, order_item_id int, product_id string, "
+                                             "seller_id string, price double, freight_value double"),
+        "payments": spark.createDataFrame([], "order_id string, payment_sequential int, payment_type string, "
+                                              "payment_installments double, payment_value double"),
+    }
+    assert marts.mart_sales_daily(src).first().total_revenue == Decimal("4.00")
+    fact = facts.fact_orders(src)
+    assert marts.mart_sales_daily_from_fact(fact).first().total_revenue == Decimal("4.00")
+    dim = spark.createDataFrame([("p", "x", "y")], "product_id string, product_category_name string, "
+                                                   "product_category_name_english string")
+    row = marts.mart_product_performance_from_fact(fact, dim).first()
+    assert (row.total_revenue, row.avg_item_price) == (Decimal("4.00"), Decimal("0.00"))
+
+
+def test_marts_follow_the_written_fact(spark, src_small):
+    from martwright.operators.dml import replace_table
+    root = scratch_path(spark, "t-follow")
+    pipeline.run(spark, src_small, root, run_date="2024-10-26")
+    fact = pipeline.read_table(spark, root, "fact_orders")
+    assert marts.mart_sales_daily_from_fact(fact).exceptAll(marts.mart_sales_daily(src_small)).isEmpty()
+    day = fact.agg(F.min("order_date_key")).first()[0]
+    replace_table(fact.where(F.col("order_date_key") != day), pipeline.table_path(root, "fact_orders"))
+    pipeline.publish_marts(spark, root)
+    got = pipeline.read_table(spark, root, "mart_sales_daily")
+    assert got.where(F.col("order_date") == F.lit(day)).isEmpty()
+    assert got.count() == marts.mart_sales_daily(src_small).count() - 1
+
+
+def test_top20_cities_limit_bites(spark):
+    mart = spark.createDataFrame([(f"c{i:02d}", "s", 1, Decimal(i)) for i in range(25)],
+                                 "geolocation_city string, geolocation_state string, order_count long, "
+                                 "total_revenue decimal(18,2)")
+    got = [r.geolocation_city for r in reports.report_top20_cities(mart).collect()]
+    assert got == [f"c{i:02d}" for i in range(24, 4, -1)]
 
 
 def test_sql_layers_gates_and_reports(spark, src_small):
@@ -143,24 +221,29 @@ def test_gate_rejects_duplicate_source_keys(spark, src_small):
     dup = dict(src_small.as_dict())
     dup["customers"] = src_small["customers"].unionByName(src_small["customers"].limit(1))
     with pytest.raises(pipeline.DataQualityError):
-        pipeline.run(spark, dup, scratch_path(spark, "t-gate"), run_date="2024-10-26", gates=True)
+        pipeline.run(spark, dup, scratch_path(spark, "t-gate"), run_date="2024-10-26")
+    lost = dict(src_small.as_dict())
+    lost["customers"] = src_small["customers"].where("customer_id <> '1'")
+    lost["orders"] = src_small["orders"].withColumn("customer_id", F.lit("1"))
+    with pytest.raises(pipeline.DataQualityError, match="dangling"):
+        pipeline.run(spark, lost, scratch_path(spark, "t-gate"), run_date="2024-10-26")
 
 
 def test_incremental_batch_replay_is_idempotent(spark, src_small):
     """Re-running a micro-batch (as after a failure) leaves the mart equal to
     a full rebuild."""
-    from martwright.operators.dml import replace_table
+    from martwright.operators import dml
     from martwright.streaming import incremental as inc
     root = scratch_path(spark, "t-incr")
     orders = src_small["orders"]
     cutoff = F.lit("1998-06-01").cast("date")
     inc.stage_orders(orders.where(orders["order_purchase_timestamp"] <= cutoff), root)
     for name in inc.MART_INPUTS:
-        replace_table(src_small[name], pipeline.table_path(root, f"stg_{name}"))
+        inc.stage_details(src_small[name], root, name)
     inc.write_months(marts.mart_sales_daily(pipeline.StagedSources(spark, root)), root)
-    late = orders.where(orders["order_purchase_timestamp"] > cutoff)
-    inc.process_batch(spark, root, late)
-    inc.process_batch(spark, root, late)  # replayed epoch
+    late = orders.where(orders["order_purchase_timestamp"] > cutoff).withColumn(inc.SEQ, F.lit(1))
+    inc.process_batch(spark, root, late, 0)
+    inc.process_batch(spark, root, late, 0)  # replayed epoch
     got = sorted(map(tuple, inc.read_mart(spark, root).collect()))
     want = sorted(map(tuple, marts.mart_sales_daily(src_small).collect()))
     assert got == want
@@ -168,13 +251,35 @@ def test_incremental_batch_replay_is_idempotent(spark, src_small):
     first = orders.orderBy("order_id").limit(1).collect()[0]
     moved = spark.createDataFrame([first], orders.schema).withColumn(
         "order_purchase_timestamp", F.lit("2001-12-15").cast("date"))
-    inc.process_batch(spark, root, moved)
+    # stopped between the upsert and the refresh, then replayed
+    rows = inc._with_month(moved.withColumn(inc.SEQ, F.lit(1)))
+    path = pipeline.table_path(root, "stg_orders")
+    touched = dml.touched_partitions(spark.read.parquet(path), rows, ["order_id"], inc.MONTH)
+    inc.epoch_months(spark, root, "orders", 1, spark.createDataFrame([(m,) for m in touched], "m date"))
+    dml.upsert_partitions(spark, path, rows, ["order_id"], inc.MONTH, inc.SEQ)
+    inc.process_batch(spark, root, moved.withColumn(inc.SEQ, F.lit(1)), 1)
     staged = spark.read.parquet(pipeline.table_path(root, "stg_orders"))
     assert staged.where(F.col("order_id") == first.order_id).count() == 1
     expect_src = {**{n: src_small[n] for n in inc.MART_INPUTS},
                   "orders": orders.where(F.col("order_id") != first.order_id).unionByName(moved)}
     want2 = sorted(map(tuple, marts.mart_sales_daily(expect_src).collect()))
     assert sorted(map(tuple, inc.read_mart(spark, root).collect())) == want2
+    # two versions of an order in one batch: the later arrival wins, whatever its text
+    two = moved.withColumn("order_status", F.lit("shipped")).withColumn(inc.SEQ, F.lit(1)).unionByName(
+        moved.withColumn("order_status", F.lit("delivered")).withColumn(inc.SEQ, F.lit(2)))
+    inc.process_batch(spark, root, two, 2)
+    staged = spark.read.parquet(path)
+    assert [r.order_status for r in staged.where(F.col("order_id") == first.order_id).collect()] == ["delivered"]
+    import pytest
+    with pytest.raises(ValueError):
+        inc.process_batch(spark, root, moved, 3)
+    # late items refresh the months of their orders, once even if replayed
+    extra = src_small["order_items"].where(F.col("order_id") == first.order_id).limit(1).withColumn("price", F.lit(1000.0))
+    inc.process_details(spark, root, "order_items", extra, 0)
+    inc.process_details(spark, root, "order_items", extra, 0)
+    expect_src["order_items"] = src_small["order_items"].unionByName(extra)
+    want3 = sorted(map(tuple, marts.mart_sales_daily(expect_src).collect()))
+    assert sorted(map(tuple, inc.read_mart(spark, root).collect())) == want3
 
 
 def test_pipeline_from_delimited_files(spark, src_small):
@@ -232,7 +337,8 @@ def test_restaging_without_buckets_drops_the_bucket_spec(spark, src_small):
 def test_one_order_holding_a_third_of_items_and_payments(spark, src_small):
     """Skewed variant of the data: every third item and payment is moved to a
     single order. Marts from the pre-aggregated rollups still equal the marts
-    computed from the materialised fact, and the hot order is salted."""
+    computed from the materialised fact, and the hot order's pairs are
+    made by several tasks."""
     hot_id = src_small["orders"].orderBy("order_id").first().order_id
 
     def to_hot(df):
@@ -244,11 +350,15 @@ def test_one_order_holding_a_third_of_items_and_payments(spark, src_small):
               "payments": to_hot(src_small["payments"])}
     share = skewed["order_items"].where(F.col("order_id") == hot_id).count() / skewed["order_items"].count()
     assert 0.25 < share < 0.45
-    hot = facts.hot_orders(skewed["order_items"], skewed["payments"], pair_limit=100_000).collect()
-    assert [r.order_id for r in hot] == [hot_id] and hot[0]._mw_salts > 1
-    fact = facts.fact_orders(skewed, pair_limit=100_000)
-    plain = facts.fact_orders(skewed, pair_limit=10 ** 12)
+    fact = facts.fact_orders(skewed, side=100)
+    plain = facts.fact_orders(skewed, side=10 ** 6)
+    assert _join_tasks(fact, hot_id) > 3
     assert fact.count() == plain.count()
     assert fact.exceptAll(plain).isEmpty() and plain.exceptAll(fact).isEmpty()  # same multiset of rows
     assert sorted(map(tuple, marts.mart_sales_daily(skewed).collect())) == \
         sorted(map(tuple, marts.mart_sales_daily_from_fact(plain).collect()))
+    # the same over bucketed staging, where a bucket holds the whole order
+    root = scratch_path(spark, "t-hot-buckets")
+    pipeline.stage(skewed, root, buckets=4)
+    staged = facts.fact_orders(pipeline.StagedSources(spark, root), side=100)
+    assert staged.exceptAll(plain).isEmpty() and plain.exceptAll(staged).isEmpty() and _join_tasks(staged, hot_id) > 3
