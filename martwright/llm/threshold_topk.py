@@ -14,7 +14,7 @@ sees those only.
 
 Defined results: a null vector, or one that holds a null or non-finite component, takes no part; vectors
 meet vectors of the same length only; equal (id, vector) rows count once; a query's own id is no candidate;
-null ids take no part; fewer than k candidates: all of them.
+null ids take no part; fewer than k candidates: all of them; a score beyond 64 bits is cut to the nearest 64-bit integer.
 """
 
 from __future__ import annotations
@@ -42,10 +42,13 @@ def quantised(vectors: DataFrame, scale: int, id_col: str, vec_col: str) -> Data
 
 
 def _product(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products; doubles where they are exact, else 64-bit integers."""
-    if rows.size and float(np.abs(rows).max()) * float(np.abs(q).max()) * rows.shape[1] < 2.0**53:
+    """Exact inner products: in doubles or 64-bit integers where these are exact, else in long integers."""
+    most = float(np.abs(rows.astype(np.float64)).max(initial=0)) * float(np.abs(q.astype(np.float64)).max(initial=0)) * len(q)
+    if most < 2.0**53:
         return (rows.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    return rows @ q
+    if most < 2.0**62:
+        return rows @ q
+    return np.clip(rows.astype(object) @ q.astype(object), -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 class SortedLists:
@@ -94,7 +97,7 @@ class SortedLists:
 
 
 def _top(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -score))[:k]
+    order = np.lexsort((ids, ~score))[:k]          # ~score falls as score rises, for every 64-bit integer
     return score[order], ids[order]
 
 
