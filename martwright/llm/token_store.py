@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +39,31 @@ from martwright.session import scratch_path
 SAMPLE_DOCS = 512
 DICTIONARY_BYTES = 1 << 16
 BLOCK_IDS = 1 << 18
-REMEMBER = 1 << 19
+REMEMBER = 1 << 20
 
 _BESIDE = re.compile(r"\s\s|^ | $")
 _PART = re.compile(r"(?<=\S) (?=\S)")
+_PAIRS = tuple(x + y for x in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" for y in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" if " " in (x, y))
+#: Letters of Latin scripts with marks after them: the library's pattern parts just between the two.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+
+
+def _words(text: str) -> list[str]:
+    """The text parted at single spaces between visible characters."""
+    if text.isascii():
+        odd = text[:1] == " " or text[-1:] == " " or any(p in text for p in _PAIRS)
+    else:
+        odd = _BESIDE.search(text)
+    return _PART.split(text) if odd else text.split(" ")
 
 
 class WordEncoder:
-    """Whole texts to id arrays with the library, each distinct word once."""
+    """Whole texts to id arrays with the library, each distinct word once.
+
+    New words are cut where the library's pattern always parts: around a line break between plain words, and
+    before the marks that end one. The plain words are then encoded in one call and told apart by the
+    library's own word numbers; all else is encoded string by string.
+    """
 
     def __init__(self, path: str, end_id: int, special_as_text: bool = True) -> None:
         import os
@@ -55,30 +73,72 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = special_as_text
-        self.kind = "<u2" if max(self.tok.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.first: dict[str, bytes] = {}      # words without a space before them
+        self.small = max(self.tok.get_vocab_size(), end_id + 1) <= 1 << 16
+        self.kind = "<u2" if self.small else "<u4"
+        self.end = self._bytes([end_id])
+        self.known: dict[str, bytes] = {}      # strings as they stand in a text
         self.later: dict[str, bytes] = {}      # words after a space
 
-    def _learn(self, words: list[str], memory: dict[str, bytes], space: str) -> None:
-        found = self.tok.encode_batch([space + w for w in words], add_special_tokens=False)
-        memory.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(words, found, strict=True))
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """``text`` in parts that the library encodes alike on their own; a single part if in doubt."""
+        out, space = [], text[:1] == " "
+        for n, line in enumerate(text[space:].split("\n")):
+            plain = _PLAIN.fullmatch(line)
+            if not plain:
+                return [text]
+            out += ["\n"] * (n > 0) + [" " * (space and not n) + plain[1]] + [plain[2]] * bool(plain[2])
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Ids of strings that stand at a text's start, or after a space that belongs to them."""
+        cut = {w: self._cut(w) for w in words}
+        new = {x for parts in cut.values() for x in parts}.difference(self.known)
+        lone = {x for x in new if x[-1:].isalpha() and _PLAIN.fullmatch(x.removeprefix(" "))}
+        self._in_one([x for x in lone if x[0] == " "], "")
+        self._in_one([x for x in lone if x[0] != " "], "\n")
+        rest = list(new - lone)
+        found = self.tok.encode_batch_fast(rest, add_special_tokens=False)
+        self.known.update((w, self._bytes(e.ids)) for w, e in zip(rest, found, strict=True))
+        for w, parts in cut.items():
+            if len(parts) > 1:
+                self.known[w] = b"".join(map(self.known.__getitem__, parts))
+
+    def _in_one(self, words: list[str], between: str) -> None:
+        for i in range(0, len(words), 1 << 14):
+            part = words[i:i + (1 << 14)]
+            e = self.tok.encode(between.join(part), add_special_tokens=False)
+            ids, step = self._bytes(e.ids), 1 + len(between)
+            edge = np.searchsorted(np.array(e.word_ids), np.arange(step * len(part) + 1)) * (len(self.end))
+            a, b = edge[:-1:step].tolist(), edge[1::step].tolist()
+            self.known.update((w, ids[x:y]) for w, x, y in zip(part, a, b, strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        parts = [_PART.split(t) if _BESIDE.search(t) else t.split(" ") for t in (x or "" for x in texts)]
-        self._learn(list({p[0] for p in parts}.difference(self.first)), self.first, "")
-        self._learn(list({w for p in parts for w in p[1:]}.difference(self.later)), self.later, " ")
+        parts = [_words(t or "") for t in texts]
+        first = {p[0] for p in parts}.difference(self.known)
+        later = set().union(*(p[1:] for p in parts)).difference(self.later)
+        self._learn(first | {" " + w for w in later})
+        self.later.update((w, self.known[" " + w]) for w in later)
         for p in parts:
-            yield self.first[p[0]] + b"".join(map(self.later.__getitem__, p[1:])) + self.end
-        if len(self.first) + len(self.later) > REMEMBER:
-            self.first, self.later = {}, {}
+            yield self.known[p[0]] + b"".join(map(self.later.__getitem__, p[1:])) + self.end
+        if len(self.later) > REMEMBER:
+            self.known, self.later = {}, {}
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str, end_id: int) -> WordEncoder:
+    """One per Python worker: the words learned in a task serve the next."""
+    return WordEncoder(path, end_id)
 
 
 def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """``ids`` (binary in the store's id width) per row, order and rows kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, end_id)
+        encoder = word_encoder(path, end_id)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -113,7 +173,7 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, path: str, end_id:
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(known) if known else None)
-        encoder, shard = WordEncoder(path, end_id), TaskContext.get().partitionId()
+        encoder, shard = word_encoder(path, end_id), TaskContext.get().partitionId()
         width = np.dtype(encoder.kind).itemsize
         number, before, n, ids, sizes, frames = 0, 0, 0, [], [], []
 
