@@ -31,7 +31,7 @@ from .flat import column
 
 MARK = "▁"
 #: Distinct words whose ids a task remembers before it starts afresh.
-REMEMBER = 1 << 20
+REMEMBER = 1 << 18
 
 
 class PieceCodec:

@@ -52,6 +52,8 @@ KINDS = ("negated", "reported", "insult", "targeted", "threat")
 STEM_BYTES = (4, 5, 6, 7, 8)
 MIN_ODDS, MIN_SUPPORT, MAX_STEMS = 3.0, 3, 4096
 TRAIN_ROWS = 16384
+#: Bytes of text handled at once: every word has a fingerprint per stem length.
+SMALL = 1 << 19
 
 
 # ---- transducers and their composition -------------------------------------------------------------------------
@@ -259,7 +261,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b, data, off in pieces(_lowered(column(batch, "text"))):
+            for a, b, data, off in pieces(_lowered(column(batch, "text")), SMALL):
                 doc, stem = _stems(data, off)
                 pair = np.unique(np.rec.fromarrays([stem, doc]))
                 value, back = np.unique(pair.f0, return_inverse=True)
@@ -283,7 +285,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, off in pieces(_lowered(column(batch, "text"))):
+            for a, b, data, off in pieces(_lowered(column(batch, "text")), SMALL):
                 x = features(lexicon, machine, data, off)
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1).slice(a, b - a)], ["x", "y"])
 
@@ -300,7 +302,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, off in pieces(_lowered(_filled(batch.column(place)))):
+            for a, b, data, off in pieces(_lowered(_filled(batch.column(place))), SMALL):
                 s = model.score(features(model.lexicon, machine, data, off))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
