@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled by one numpy pass (a single longer document is one pass of its own).
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 _RNG = np.random.default_rng(20240229)
 _CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

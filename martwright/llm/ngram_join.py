@@ -17,9 +17,9 @@ itself). Two documents link when ``100 * |A and B| >= 75 * |A or B|``. The join
    that are still apart, and at last only the pairs of a group whose components still differ. No link
    between different components is left untested, so the components are those of all links.
 
-Very frequent shingles (in over a thousandth of the documents) are counted in a first pass that only
-keeps what is frequent within a batch; their bounded list is sent along, so their rows never meet in one
-task. Joins on a hot key are split by the adaptive skew join.
+Very frequent shingles (in over a hundredth of a sample of ``ROUTING_SAMPLE`` documents; a bounded list) are
+not counted: all of them rank last in "rare first", so their rows never meet in one task. The list only
+chooses the route, any list gives the same links. Joins on a hot key are split by the adaptive skew join.
 
 Defined results: null and empty texts, or texts without words, have ``n_shingles`` 0 and are their own
 component; texts under five words are one shingle; repeated rows of a doc_id count as one document
@@ -34,15 +34,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.session import scratch_path
+from martwright.session import scratch_path, shuffle_width
 
-from .flat import column, pieces, shingles
+from .flat import column, mix, pieces, shingles
 from .graph import components, saved
 
 FRAGMENTS = 8
+#: Documents looked at to find very frequent shingles.
+ROUTING_SAMPLE = 8192
 
 
 def _least(n: np.ndarray | int, percent: int):
@@ -59,19 +61,32 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
 
 
-def _frequent(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Prefix shingles in over a hundredth of a run of documents, with their counts there."""
-    for batch in batches:
-        for a, b, data, off in pieces(column(batch, "text"), 16 << 20):
-            sets = [s[:_parts(len(s), percent)[0]] for s in shingles(data, off, words)]
-            value, count = np.unique(np.concatenate(sets), return_counts=True)
-            often = count * 100 > b - a
-            yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(count[often], pa.int64())],
-                                             ["shingle", "n"])
+def _frequent(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> np.ndarray:
+    """Prefix shingles in over a hundredth of the routing sample (sorted)."""
+    total = docs.count()
+    sample = docs.sample(min(1.0, 1.2 * ROUTING_SAMPLE / max(total, 1)), seed=7).select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, b, data, off in pieces(column(batch, "text")):
+                value, n = np.unique(np.concatenate([s[:_parts(len(s), percent)[0]] for s in shingles(data, off, words)]),
+                                     return_counts=True)
+                often = n > 1
+                yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(n[often], pa.int64())],
+                                                 ["shingle", "n"])
+
+    found = (sample.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+             .where(F.col("n") * 100 > min(total, ROUTING_SAMPLE)))
+    return np.sort(np.array([r[0] for r in found.collect()], np.int64).view(np.uint64))
 
 
-def _prefixes(docs: DataFrame, words: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """``shingle, doc_id, n, hot``: one row per prefix shingle of a document."""
+def _prefixes(docs: DataFrame, words: int, percent: int, hot: np.ndarray, fragments: int) -> DataFrame:
+    """Prefix shingles, packed per fragment of the global order and run of documents.
+
+    ``fragment, shingles, owners`` (the document of each shingle), ``doc_ids, sizes``. Hot shingles have negative
+    fragments, dealt by document.
+    """
+    kind = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,13 +96,58 @@ def _prefixes(docs: DataFrame, words: int, percent: int, hot: np.ndarray) -> Dat
                 n = np.array([len(s) for s in sets], np.int32)
                 cut = np.array([_parts(int(x), percent)[0] for x in n], np.int64)
                 value = np.concatenate([s[:c] for s, c in zip(sets, cut, strict=True)])
-                at = np.minimum(np.searchsorted(hot, value), max(len(hot) - 1, 0))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), pa.array(np.repeat(ids[a:a + len(n)], cut)), pa.array(np.repeat(n, cut)),
-                     pa.array(hot[at] == value if len(hot) else np.zeros(len(value), bool))],
-                    ["shingle", "doc_id", "n", "hot"])
-
-    return docs.mapInArrow(run, "shingle long, doc_id long, n int, hot boolean")
+                doc = np.repeat(np.arange(len(n)), cut)
+                part = (mix(value) % np.uint64(fragments)).astype(np.int32)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, value), len(hot) - 1)
+                    part[hot[at] == value] = -1 - int(ids[a]) % fragments
+                order = np.argsort(part, kind="stable")
+                value, doc, part = value[order], doc[order], part[order]
+                rows = []
+                for f in np.unique(part).tolist():
+                    x, y = np.searchsorted(part, [f, f + 1])
+                    who, owner = np.unique(doc[x:y], return_inverse=True)
+                    rows.append((f, value[x:y].tobytes(), owner.astype(np.uint16 if len(who) < 1 << 16 else np.uint32).tobytes(),
+                                 ids[a + who].tobytes(), n[who].tobytes()))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kind, strict=True)],
+                                                     ["fragment", "shingles", "owners", "doc_ids", "sizes"])
+
+    return docs.mapInArrow(run, "fragment int, shingles binary, owners binary, doc_ids binary, sizes binary")
+
+
+def _rows(value: np.ndarray, doc: np.ndarray, n: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(doc), pa.array(n), pa.array(df)],
+                                      ["shingle", "doc_id", "n", "df"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fragments' shingles that more than one document has, with their document frequency.
+
+    Hot shingles stay where they are: all count as most frequent.
+    """
+    got = []
+    for batch in batches:
+        for part, value, owner, ids, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            value, ids = np.frombuffer(value, np.uint64), np.frombuffer(ids, np.int64)
+            owner = np.frombuffer(owner, np.uint16 if len(ids) < 1 << 16 else np.uint32)
+            row = value, ids[owner], np.frombuffer(size, np.int32)[owner]
+            if part < 0:
+                yield _rows(*row, np.full(len(value), 1 << 40))
+            else:
+                got.append(row)
+    if got:
+        value, doc, n = (np.concatenate(c) for c in zip(*got, strict=True))
+        got.clear()
+        order = np.argsort(value)
+        value, doc, n = value[order], doc[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+        count = np.diff(np.append(first, len(value)))
+        df = np.repeat(count, count)
+        on = np.flatnonzero(df > 1)
+        for i in range(0, len(on), 1 << 16):
+            k = on[i:i + (1 << 16)]
+            yield _rows(value[k], doc[k], n[k], df[k].astype(np.int64))
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -139,18 +199,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     docs = _docs(docs, id_col, text_col)
     known = docs.where("doc_id IS NOT NULL")
 
-    # frequent shingles: at most 1000 x the mean prefix length of them
-    total = known.count()
-    hot = (known.mapInArrow(lambda it: _frequent(it, words, percent), "shingle long, n long").groupBy("shingle")
-           .agg(F.sum("n").alias("n")).where(F.col("n") * 1000 > total))
-    hot = {r[0]: r[1] for r in hot.collect()}
-    order = np.sort(np.array(list(hot), np.int64).view(np.uint64))
-    hot_df = spark.createDataFrame(list(hot.items()), "shingle long, df long")
-
-    rows = _prefixes(known, words, percent, order)
-    counted = rows.where("NOT hot").withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
-    shared = counted.select("shingle", "doc_id", "n", "df").unionByName(
-        rows.where("hot").join(F.broadcast(hot_df), "shingle").select("shingle", "doc_id", "n", "df"))
+    hot = _frequent(spark, known, words, percent)
+    width = shuffle_width(spark)
+    packed = _prefixes(known, words, percent, hot, 4 * width)
+    rows = "shingle long, doc_id long, n int, df long"
+    shared = packed.repartition(2 * width, "fragment").mapInArrow(_counted, rows)
     need = F.greatest(F.lit(1), F.greatest(F.lit(1), F.ceil(F.col("n") * 15 / 100)) - 1).cast("int")
     keys = (shared.groupBy("doc_id", "n").agg(F.sort_array(F.collect_set(F.struct("df", "shingle"))).alias("s"))
             .where(F.size("s") >= need)
@@ -165,7 +218,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     classes = saved(spark, wanted.select("doc_id", "key").join(
         wanted.groupBy("key").agg(F.min("doc_id").alias("rep")), "key").select("doc_id", "rep"))
     sets = wanted.join(classes.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
-    keys = _stored(spark, keys.join(classes.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "join-keys")
+    keys = _groups(spark, keys.join(classes.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"))
 
     # one leader per document, then one per group still apart, then every pair still apart
     tried, links = None, None
@@ -187,6 +240,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
                     F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def _groups(spark: SparkSession, keys: DataFrame) -> DataFrame:
+    """Of candidate groups with the same documents one is enough: their number, least, largest and hash sum agree."""
+    each = keys.groupBy("shingle").agg(F.count("*").alias("m"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                       F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("h")).where("m > 1")
+    one = each.groupBy("m", "lo", "hi", "h").agg(F.min("shingle").alias("shingle")).select("shingle")
+    return _stored(spark, keys.join(one, "shingle"), "join-groups")
+
+
 def _pairs(keys: DataFrame, comp: DataFrame | None, round_: str, percent: int) -> DataFrame:
     """Candidate pairs ``a < b`` of one round; sizes too far apart cannot link."""
     if comp is None:

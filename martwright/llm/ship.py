@@ -12,7 +12,12 @@ _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Once per application: a zip of the package through Spark's own file distribution."""
+    """Once per application: a zip of the package through Spark's own file distribution.
+
+    Arrow batches are kept to 2,000 rows unless the session says otherwise, as rows are whole texts.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     app = spark.sparkContext.applicationId
     if app not in _SENT:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
