@@ -10,12 +10,15 @@ itself). Two documents link when ``100 * |A and B| >= 75 * |A or B|``. The join
 2. *Rare first.* Among a document's shared prefix shingles the most frequent ``l - 2`` can be left out
    (pigeonhole), so lines common to a large part of the corpus bring no candidates.
 3. *Classes.* Documents with equal sets form one class; its smallest id stands for it.
-4. *Fragments.* The global order is cut into ranges; a pair's overlap is counted fragment by fragment
-   (rows of one fragment meet by key, nothing else is read) and the partial counts are summed per pair.
-5. *Links to components.* Candidate groups (documents with one shingle in common) are not expanded into
-   all pairs: each document first meets the group's leader it shares most with, then the leaders of groups
-   that are still apart, and at last only the pairs of a group whose components still differ. No link
-   between different components is left untested, so the components are those of all links.
+4. *Candidates.* Documents with one shingle in common are candidates. Those connected by candidate groups are
+   compared as a whole: dealt into cells, every cell meets every cell, so no pair is a row of its own. A connected
+   set of more than ``WHOLE`` documents is compared group by group instead, and a pair counts in the first group
+   the two have in common.
+5. *Fragments.* The global order is cut into ranges; the overlaps of two cells are counted fragment by fragment
+   (nothing but rows of one fragment meet) and the partial counts are summed per pair.
+6. *Links.* Every pair of two cells is verified. Per document and pair of cells one row has its links: the partners
+   (each pair once), the documents of their classes, and the smallest document connected in the two cells, which
+   the components are made of.
 
 Very frequent shingles (in over a hundredth of a sample of ``ROUTING_SAMPLE`` documents; a bounded list) are
 not counted: all of them rank last in "rare first", so their rows never meet in one task. The list only
@@ -43,6 +46,8 @@ from .flat import column, mix, pieces, shingles
 from .graph import components, saved
 
 FRAGMENTS = 8
+#: Documents and bytes of shingles of a cell; candidates compared as a whole (route only: any gives the same links).
+CELL, CELL_BYTES, WHOLE = 1024, 4 << 20, 1 << 14
 #: Documents looked at to find very frequent shingles.
 ROUTING_SAMPLE = 8192
 
@@ -170,32 +175,139 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, key binary, segments array<binary>")
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial overlap of two segments of one fragment."""
-    for batch in batches:
-        left, right = (batch.column(i).to_pylist() for i in (2, 3))
-        common = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                  for x, y in zip(left, right, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64())], ["a", "b", "c"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: partial overlaps per fragment, summed per pair."""
-    frag = sets.select("doc_id", F.posexplode("segments").alias("frag", "seg")).where(F.length("seg") > 0)
-    left = frag.select(F.col("doc_id").alias("a"), "frag", F.col("seg").alias("x"))
-    right = frag.select(F.col("doc_id").alias("b"), "frag", F.col("seg").alias("y"))
-    part = pairs.select("a", "b").join(left, "a").join(right, ["b", "frag"]).select("a", "b", "x", "y").mapInArrow(
-        _overlap, "a long, b long, c long")
-    total = part.groupBy("a", "b").agg(F.sum("c").alias("c"))
-    size = sets.select("doc_id", "n")
-    return (total.join(size.withColumnsRenamed({"doc_id": "a", "n": "na"}), "a")
-            .join(size.withColumnsRenamed({"doc_id": "b", "n": "nb"}), "b")
-            .where(100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b", "c"))
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``left`` (distinct ones each) has in common with each of ``right``."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    i, j = (np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (left, right))
+    value, k = np.unique(np.concatenate((x, y)), return_inverse=True)
+    kx, ky = k[:len(x)], k[len(x):]
+    cx, cy = np.bincount(kx, minlength=len(value)), np.bincount(ky, minlength=len(value))
+    shape = len(left), len(right)
+    total = np.zeros(shape, np.int64)
+    many = cx * cy * 256 > shape[0] * shape[1]              # cheaper as a matrix product than one by one
+    on = np.flatnonzero(many & (cx > 0) & (cy > 0))
+    place = np.full(len(value), -1)
+    place[on] = np.arange(len(on))
+    px, py = place[kx], place[ky]
+    for a in range(0, len(on), 2048):
+        has = []
+        for p, row, n in ((px, i, shape[0]), (py, j, shape[1])):
+            here = (p >= a) & (p < a + 2048)
+            m = np.zeros((n, min(2048, len(on) - a)), np.float32)
+            m[row[here], p[here] - a] = 1
+            has.append(m)
+        total += (has[0] @ has[1].T).astype(np.int64)
+    some = np.flatnonzero(~many[kx] & (cy[kx] > 0))
+    by, first = j[np.argsort(ky, kind="stable")], np.cumsum(cy) - cy
+    times = cy[kx[some]]
+    ends = np.cumsum(times)
+    a = 0
+    while a < len(some):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 21), "right")))
+        e, m = some[a:b], times[a:b]
+        at = np.repeat(first[kx[e]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        total += np.bincount(np.repeat(i[e], m) * shape[1] + by[at], minlength=total.size).reshape(shape)
+        a = b
+    return total
+
+
+def _linked_cells(whole: bool, x: list[tuple], y: list[tuple] | None, percent: int) -> Iterator[tuple]:
+    """``doc_id, root, linked, partners`` of the links between two cells, or within one (``y`` None)."""
+    z = x if y is None else y
+    (ids, n, weight), (jds, m, height) = (tuple(np.array([r[c] for r in s], np.int64) for c in range(3)) for s in (x, z))
+    both = np.zeros((len(x), len(z)), np.int64)
+    for f in range(FRAGMENTS):
+        both += _common(*([np.frombuffer(r[4][f], np.uint64) for r in s] for s in (x, z)))
+    link = (both > 0) & (100 * both >= percent * (n[:, None] + m[None, :] - both))
+    if not whole and link.any():                            # other groups have the pair as well: the first counts it
+        link &= _common(*([np.array(r[3], np.int64) for r in s] for s in (x, z))) == 0
+    if y is None:
+        np.fill_diagonal(link, False)
+    i, j = np.nonzero(link)
+    if not len(i):
+        return
+    root, soot = ids.copy(), jds.copy()
+    while True:
+        was = root.copy(), soot.copy()
+        np.minimum.at(soot, j, root[i])
+        np.minimum.at(root, i, soot[j])
+        if y is None:
+            root = soot = np.minimum(root, soot)
+        if np.array_equal(was[0], root) and np.array_equal(was[1], soot):
+            break
+    listed = link if y is not None else np.triu(link)
+    for k in np.flatnonzero(link.any(axis=1)).tolist():
+        yield int(ids[k]), int(root[k]), int(height[link[k]].sum()), jds[listed[k]]
+    if y is not None:
+        for k in np.flatnonzero(link.any(axis=0)).tolist():
+            yield int(jds[k]), int(soot[k]), int(weight[link[:, k]].sum()), jds[:0]
+
+
+def _links(spark: SparkSession, keys: DataFrame, sets: DataFrame, percent: int, whole: int) -> DataFrame:
+    """All links between candidates: ``doc_id, root, linked, partners``, a few rows per document.
+
+    ``keys(shingle, doc_id)`` are the candidate groups, ``sets(doc_id, n, weight, segments)`` their documents.
+    """
+    lead = keys.groupBy("shingle").agg(F.min("doc_id").alias("b"))
+    near = components(spark, keys.join(lead, "shingle").select(F.col("doc_id").alias("a"), "b").where("a <> b")).select(
+        F.col("node").alias("doc_id"), F.col("comp").alias("unit"))
+    bytes_ = F.sum(F.col("n") * 8)
+    cells = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(bytes_ / CELL_BYTES)).cast("int").alias("cells")
+    sized = near.join(sets.select("doc_id", "n"), "doc_id")
+    size = sized.groupBy("unit").agg(F.count("*").alias("m"), cells)
+    one = near.join(size.where(F.col("m") <= whole).select("unit", "cells"), "unit").select(
+        F.lit(True).alias("whole"), "unit", "cells", "doc_id", F.lit(None).cast("array<long>").alias("seen"))
+    large = keys.select("shingle", "doc_id").join(near.join(size.where(F.col("m") > whole).select("unit"), "unit").select("doc_id"), "doc_id")
+    dealt = large.join(sets.select("doc_id", "n"), "doc_id").groupBy("shingle").agg(cells)
+    held = large.groupBy("doc_id").agg(F.collect_set("shingle").alias("held"))
+    each = large.join(dealt, "shingle").join(held, "doc_id").select(
+        F.lit(False).alias("whole"), F.col("shingle").alias("unit"), "cells", "doc_id",
+        F.expr("filter(held, x -> x < shingle)").alias("seen"))
+    grid = (one.unionByName(each).join(sets, "doc_id")
+            .withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+            .select("whole", "unit", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"),
+                    "cell", "doc_id", "n", "weight", "seen", "segments"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed(key, rows):
+            whole_, _, lo, hi = key
+            x, y = [r[1:] for r in rows if r[0] == lo], [r[1:] for r in rows if r[0] == hi]
+            found = list(_linked_cells(whole_, x, None if lo == hi else y, percent)) if x and y else []
+            for a in range(0, len(found), 256):
+                c = list(zip(*found[a:a + 256], strict=True))
+                yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in c[:3]), pa.array(c[3], pa.list_(pa.int64()))],
+                                                 ["doc_id", "root", "linked", "partners"])
+
+        now, rows = None, []
+        for batch in batches:
+            for w, u, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (w, u, lo, hi) != now:
+                    if len(rows) > 1:
+                        yield from flushed(now, rows)
+                    now, rows = (w, u, lo, hi), []
+                rows.append(row)
+        if len(rows) > 1:
+            yield from flushed(now, rows)
+
+    by = ["whole", "unit", "lo", "hi"]
+    return _stored(spark, grid.repartition(2 * shuffle_width(spark), *by).sortWithinPartitions(*by).mapInArrow(
+        run, "doc_id long, root long, linked long, partners array<long>"), "join-links")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 75,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, class_id, component_id`` per document (all rows of ``docs``)."""
+                id_col: str = "doc_id", text_col: str = "text", whole: int = WHOLE) -> DataFrame:
+    """``doc_id, n_shingles, class_id, component_id, n_links`` per document (all rows of ``docs``).
+
+    ``n_links`` is the number of other documents that the document links with, those of its own class included.
+    """
+    return linked(spark, docs, words, percent, id_col, text_col, whole)[0]
+
+
+def linked(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id",
+           text_col: str = "text", whole: int = WHOLE) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`near_copies`, and all links between different texts: ``doc_id, partners`` of classes'
+    smallest documents, each pair in one of its two documents' rows (the classes' members are ``class_id``)."""
     docs = _docs(docs, id_col, text_col)
     known = docs.where("doc_id IS NOT NULL")
 
@@ -217,27 +329,20 @@ def near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: i
     wanted = every.where("key IS NOT NULL").dropDuplicates(["doc_id"])
     classes = saved(spark, wanted.select("doc_id", "key").join(
         wanted.groupBy("key").agg(F.min("doc_id").alias("rep")), "key").select("doc_id", "rep"))
-    sets = wanted.join(classes.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
+    members = classes.groupBy("rep").agg(F.count("*").alias("weight"))
+    sets = wanted.join(members.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "n", "weight", "segments")
     keys = _groups(spark, keys.join(classes.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"))
+    links = _links(spark, keys, sets, percent, whole)
+    comp = components(spark, links.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
+    count = links.groupBy("doc_id").agg(F.sum("linked").alias("linked")).withColumnRenamed("doc_id", "rep")
 
-    # one leader per document, then one per group still apart, then every pair still apart
-    tried, links = None, None
-    comp = None
-    for round_ in ("most", "leader", "rest"):
-        pairs = _pairs(keys, comp, round_, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = saved(spark, pairs)
-        found = saved(spark, _verified(pairs, sets, percent))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        comp = saved(spark, components(spark, links.select("a", "b")))
-
-    rep = classes.join(comp, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("component_id"))
-    return (every.select("doc_id", F.col("n").alias("n_shingles")).join(rep, "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+    rep = (classes.join(members, "rep").join(count, "rep", "left").join(comp, F.col("rep") == F.col("node"), "left").select(
+        "doc_id", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("component_id"),
+        (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")))
+    out = (every.select("doc_id", F.col("n").alias("n_shingles")).join(rep, "doc_id", "left")
+           .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
+                   F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return out, links.where(F.size("partners") > 0).select("doc_id", "partners")
 
 
 def _groups(spark: SparkSession, keys: DataFrame) -> DataFrame:
@@ -248,29 +353,6 @@ def _groups(spark: SparkSession, keys: DataFrame) -> DataFrame:
     return _stored(spark, keys.join(one, "shingle"), "join-groups")
 
 
-def _pairs(keys: DataFrame, comp: DataFrame | None, round_: str, percent: int) -> DataFrame:
-    """Candidate pairs ``a < b`` of one round; sizes too far apart cannot link."""
-    if comp is None:
-        lead = keys.groupBy("shingle").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).where("m > 1")
-        met = keys.join(lead, "shingle").where("doc_id <> a").groupBy("doc_id", "a").agg(F.count("*").alias("c"))
-        return met.groupBy("doc_id").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("t")).select(
-            (-F.col("t.a")).alias("a"), F.col("doc_id").alias("b"))
-    named = keys.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "comp", F.coalesce("comp", "doc_id"))
-    apart = named.groupBy("shingle").agg(F.min(F.struct("comp", "doc_id", "n")).alias("l"), F.max("comp").alias("top")).where(
-        "l.comp <> top")
-    if round_ == "leader":
-        got = named.join(apart, "shingle").where("comp <> l.comp").select(
-            F.col("l.doc_id").alias("x"), F.col("l.n").alias("nx"), F.col("doc_id").alias("y"), F.col("n").alias("ny"))
-    else:
-        open_ = named.join(apart.select("shingle"), "shingle")
-        x = open_.select("shingle", F.col("doc_id").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
-        y = open_.select("shingle", F.col("doc_id").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
-        got = x.join(y, "shingle").where("cx < cy")
-    fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    return got.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
@@ -279,4 +361,4 @@ def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
-        "doc_id", "n_shingles", "component_id", "class_id")
+        "doc_id", "n_shingles", "component_id", "class_id", "n_links")

@@ -176,6 +176,30 @@ def test_join_equals_brute_force(session, frame, seed):
     assert len({c for _, c in want.values()}) < len(want)
 
 
+@pytest.mark.parametrize("whole", [1, ngram_join.WHOLE])        # group by group, all at once
+@pytest.mark.parametrize("cell", [3, 1024])
+def test_join_has_every_link(session, frame, monkeypatch, whole, cell):
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    rnd = random.Random(7)
+    base = [f"b{i}" for i in range(120)]
+    rows = join_rows(5)
+    rows += [(1000 + d, " ".join(rnd.choice("xyz") if rnd.random() < 0.02 else w for w in base)) for d in range(40)]   # one group
+    rows += [(2000 + d, " ".join(base)) for d in range(5)]
+    sets = {}
+    for d, t in rows:
+        w = (t or "").lower().split()
+        sets[d] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    want = {(a, b) for a in sets for b in sets if a != b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    out, links = ngram_join.linked(session, frame(rows), whole=whole)
+    out = out.collect()
+    assert {r.doc_id: r.n_links for r in out} == {d: sum(a == d for a, _ in want) for d in sets}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == join_brute(rows)
+    pairs = [(r.doc_id, p) for r in links.collect() for p in r.partners]
+    reps = {r.class_id for r in out}
+    assert {tuple(sorted(p)) for p in pairs} == {(a, b) for a, b in want if a < b and {a, b} <= reps} and len({tuple(sorted(p)) for p in pairs}) == len(pairs)
+    assert len(pairs) > 300
+
+
 def test_join_without_hot_list_is_the_same(session, frame, monkeypatch):
     rows = join_rows(4)
     monkeypatch.setattr(ngram_join, "ROUTING_SAMPLE", 10**9)
