@@ -39,6 +39,15 @@ from .flat import column, mix, ngrams, pieces, word_spans, words
 ALPHA, ORDER, LEAST = 0.4, 2, 2
 
 
+def _narrow(n: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold the largest (their width follows from the length)."""
+    return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // max(n, 1) or 1}", n)
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """``piece, doc_ids, offsets, data, n_words``: runs of documents with their texts in one compressed blob."""
 
@@ -83,14 +92,14 @@ class PieceGrams:
             spans = [slice(c[f], c[f + 1]) for c in self.cuts]
             if any(s.stop > s.start for s in spans):
                 yield (f, [g[s].tobytes() for g, s in zip(self.grams, spans, strict=True)],
-                       [c[s].tobytes() for c, s in zip(self.counts, spans, strict=True)])
+                       [_narrow(c[s]) for c, s in zip(self.counts, spans, strict=True)])
 
     def scores(self, answers: list[tuple[int, list[bytes]]], total: int, least: int, alpha: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(words, words that backed off, summed logarithms) per document."""
         count = [np.zeros(len(g), np.float64) for g in self.grams]
         for f, got in answers:
             for c, cut, x in zip(count, self.cuts, got, strict=True):
-                c[cut[f]:cut[f + 1]] = np.frombuffer(x, np.uint64)
+                c[cut[f]:cut[f + 1]] = _wide(x, int(cut[f + 1] - cut[f]))
         here = [np.where(p >= 0, c[p], 0.0) if len(c) else np.zeros(len(p)) for c, p in zip(count, self.place, strict=True)]
         at = np.arange(len(self.word)) - np.repeat(self.woff[:-1], np.diff(self.woff))
         level = np.minimum(at + 1, self.order)                 # the longest n-gram the word could end
@@ -134,11 +143,12 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, least: int =
             size = [len(r[2][n]) // 8 for r in rows]
             gram = np.frombuffer(b"".join(r[2][n] for r in rows), np.uint64)
             value, back = np.unique(gram, return_inverse=True)
-            count = np.bincount(back, np.frombuffer(b"".join(r[3][n] for r in rows), np.uint32), len(value)).astype(np.uint64)
-            data, at = count[back].tobytes(), 0
+            here = np.concatenate([np.zeros(0, np.uint32), *(_wide(r[3][n], s).astype(np.uint32) for r, s in zip(rows, size, strict=True))])
+            count = np.bincount(back, here, len(value)).astype(np.uint64)
+            at = 0
             for a, s in zip(answers, size, strict=True):
-                a.append(data[at:at + 8 * s])
-                at += 8 * s
+                a.append(_narrow(count[back[at:at + s]]))
+                at += s
         for i in range(0, len(rows), 256):
             some = rows[i:i + 256]
             yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in some], pa.int64()), pa.array([r[0] for r in some], pa.int32()),
@@ -168,7 +178,15 @@ def _summed(packed: DataFrame, answers: DataFrame, total: int, order: int, least
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, words that backed off, mean log score to six places."""
-    found = score(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return _means(score(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+def op8_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with contexts of up to two words."""
+    return _means(score(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), order=3))
+
+
+def _means(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_backoff",
                         F.when(F.col("n_words") > 0, F.round(F.col("log_sum") / F.col("n_words"), 6)).alias("score"))
 
@@ -189,3 +207,23 @@ d AS (SELECT r, count(*) AS k, sum(back) AS back, avg(l) AS m FROM s GROUP BY r)
 SELECT w.doc_id, CAST(coalesce(d.k, 0) AS BIGINT) AS n_words, CAST(coalesce(d.back, 0) AS BIGINT) AS n_backoff, round(d.m, 6) AS score
 FROM w LEFT JOIN d ON d.r = w.r
 """
+
+OP8_ORDER3_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+t AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+b AS (SELECT t.*, lag(x) OVER (PARTITION BY r ORDER BY i) AS p, lag(x, 2) OVER (PARTITION BY r ORDER BY i) AS q FROM t),
+c1 AS (SELECT x, count(*) AS c FROM t GROUP BY x),
+c2 AS (SELECT p, x, count(*) AS c FROM b WHERE p IS NOT NULL GROUP BY p, x),
+c3 AS (SELECT q, p, x, count(*) AS c FROM b WHERE q IS NOT NULL GROUP BY q, p, x),
+n AS (SELECT count(*) AS total FROM t),
+s AS (SELECT b.r, CASE WHEN h.c >= 2 THEN ln(h.c / k.c)
+                       WHEN g.c >= 2 THEN ln(g.c / v.c) + CASE WHEN b.q IS NULL THEN 0 ELSE ln(0.4) END
+                       ELSE ln(u.c / n.total) + CASE WHEN b.p IS NULL THEN 0 WHEN b.q IS NULL THEN ln(0.4) ELSE 2 * ln(0.4) END END AS l,
+             CASE WHEN b.q IS NOT NULL AND h.c < 2 OR b.q IS NULL AND b.p IS NOT NULL AND g.c < 2 THEN 1 ELSE 0 END AS back
+      FROM b CROSS JOIN n JOIN c1 u ON u.x = b.x LEFT JOIN c1 v ON v.x = b.p LEFT JOIN c2 g ON g.p = b.p AND g.x = b.x
+           LEFT JOIN c2 k ON k.p = b.q AND k.x = b.p LEFT JOIN c3 h ON h.q = b.q AND h.p = b.p AND h.x = b.x),
+d AS (SELECT r, count(*) AS k, sum(back) AS back, avg(l) AS m FROM s GROUP BY r)
+SELECT w.doc_id, CAST(coalesce(d.k, 0) AS BIGINT) AS n_words, CAST(coalesce(d.back, 0) AS BIGINT) AS n_backoff, round(d.m, 6) AS score
+FROM w LEFT JOIN d ON d.r = w.r
+"""

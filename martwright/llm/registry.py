@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": piece_codec.op6,
     "op7_threshold_topk": threshold_topk.op7,
     "op8_lm_scores": backoff_lm.op8,
+    "op8_lm_scores_order3": backoff_lm.op8_order3,
     "op9_ngram_join": ngram_join.op9,
     "op10_toxicity": toxicity.op10,
 }
@@ -27,6 +28,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": line_runs.OP4_SQL,
     "op7_threshold_topk": threshold_topk.OP7_SQL,
     "op8_lm_scores": backoff_lm.OP8_SQL,
+    "op8_lm_scores_order3": backoff_lm.OP8_ORDER3_SQL,
 }
 
 

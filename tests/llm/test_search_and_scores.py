@@ -83,6 +83,21 @@ def test_backoff_equals_brute_force(session, frame, order):
     assert backoff_lm.score(session, frame([])).count() == 0
 
 
+def test_query_has_contexts_of_two_words(session, tmp_path):
+    rows = [(1, "a b c"), (2, "a b c"), (3, "x b d"), (4, "x b d")]
+    session.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.queries()["op8_lm_scores_order3"](session, str(tmp_path)).collect()
+    assert {r.score for r in got} == {round((math.log(2 / 12) + 2 * math.log(1)) / 3, 6)}    # "a b c" after "a b" is certain, "b c" after "b" is not
+
+
+def test_counts_of_any_width():
+    import numpy as np
+    for top in (0, 1, 255, 256, 65535, 65536, 2**32 - 1, 2**32, 2**40):
+        n = np.array([0, 1, top], np.uint64)
+        assert backoff_lm._wide(backoff_lm._narrow(n), 3).tolist() == n.tolist()
+    assert backoff_lm._wide(backoff_lm._narrow(np.zeros(0, np.uint32)), 0).tolist() == []
+
+
 # ---- toxicity
 
 def test_grammar_kinds():
