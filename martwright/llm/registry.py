@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff_lm, containment, line_runs, ngram_join, piece_codec, secret_scan, suffix_levels, threshold_topk, token_store, toxicity
+from . import (alignment, backoff_lm, containment, fm_dedup, line_runs, ngram_join, period_runs, piece_codec, secret_scan, suffix_levels,
+               threshold_topk, token_store, toxicity)
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scores_order3": backoff_lm.op8_order3,
     "op9_ngram_join": ngram_join.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_fm_dedup": fm_dedup.op11,
+    "op12_period_runs": period_runs.op12,
+    "op13_alignment": alignment.op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
