@@ -37,9 +37,9 @@ from martwright.session import scratch_path
 from .skew import spread_join
 from .token_store import _words
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Words a Python worker remembers before it starts afresh.
-REMEMBER = 1 << 19
+REMEMBER = 1 << 18
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 #: Fixed value: the pattern by which this kind of byte-level vocabulary parts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
