@@ -25,7 +25,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import chain
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +42,12 @@ SAMPLE_DOCS = 512
 DICTIONARY_BYTES = 1 << 16
 BLOCK_IDS = 1 << 18
 REMEMBER = 1 << 20
+#: Size of the files' row groups: a few blocks, so that a short read skips the others.
+GROUP_BYTES = 2 << 20
 
 _BESIDE = re.compile(r"\s\s|^ | $")
 _PART = re.compile(r"(?<=\S) (?=\S)")
 _PAIRS = tuple(x + y for x in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" for y in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" if " " in (x, y))
-#: Letters of Latin scripts with marks after them: the library's pattern parts just between the two.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 
 
 def _words(text: str) -> list[str]:
@@ -60,12 +62,13 @@ def _words(text: str) -> list[str]:
 class WordEncoder:
     """Whole texts to id arrays with the library, each distinct word once.
 
-    New words are cut where the library's pattern always parts: around a line break between plain words, and
-    before the marks that end one. The plain words are then encoded in one call and told apart by the
-    library's own word numbers; all else is encoded string by string.
+    New words that end visibly are encoded many in one string, where a word's leading space parts it from the one before;
+    the tokens' bytes tell which ids are whose. Words that such a string does not part so are encoded on their own.
+    ``special_as_text``: strings of special tokens in a text are plain text (else they are the special ids, as the
+    library has it by default).
     """
 
-    def __init__(self, path: str, end_id: int, special_as_text: bool = True) -> None:
+    def __init__(self, path: str, end_id: int, special_as_text: bool = False) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # tasks share the cores already
@@ -76,56 +79,55 @@ class WordEncoder:
         self.small = max(self.tok.get_vocab_size(), end_id + 1) <= 1 << 16
         self.kind = "<u2" if self.small else "<u4"
         self.end = self._bytes([end_id])
-        self.known: dict[str, bytes] = {}      # strings as they stand in a text
+        added = self.tok.get_added_tokens_decoder()
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)        # bytes that a token of a byte-level file covers
+        for piece, i in vocab.items():
+            self.size[i] = len(added[i].content.encode()) if i in added else len(piece)
+        #: Whether words can be encoded on their own: no added token takes the space beside it.
+        self.parted = not any(t.lstrip or t.rstrip or " " in t.content for t in added.values())
+        self.first: dict[str, bytes] = {}      # words at a text's start
         self.later: dict[str, bytes] = {}      # words after a space
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        """``text`` in parts that the library encodes alike on their own; a single part if in doubt."""
-        out, space = [], text[:1] == " "
-        for n, line in enumerate(text[space:].split("\n")):
-            plain = _PLAIN.fullmatch(line)
-            if not plain:
-                return [text]
-            out += ["\n"] * (n > 0) + [" " * (space and not n) + plain[1]] + [plain[2]] * bool(plain[2])
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        """Ids of strings that stand at a text's start, or after a space that belongs to them."""
-        cut = {w: self._cut(w) for w in words}
-        new = {x for parts in cut.values() for x in parts}.difference(self.known)
-        lone = {x for x in new if x[-1:].isalpha() and _PLAIN.fullmatch(x.removeprefix(" "))}
-        self._in_one([x for x in lone if x[0] == " "], "")
-        self._in_one([x for x in lone if x[0] != " "], "\n")
-        rest = list(new - lone)
-        found = self.tok.encode_batch_fast(rest, add_special_tokens=False)
-        self.known.update((w, self._bytes(e.ids)) for w, e in zip(rest, found, strict=True))
-        for w, parts in cut.items():
-            if len(parts) > 1:
-                self.known[w] = b"".join(map(self.known.__getitem__, parts))
-
-    def _in_one(self, words: list[str], between: str) -> None:
-        for i in range(0, len(words), 1 << 14):
-            part = words[i:i + (1 << 14)]
-            e = self.tok.encode(between.join(part), add_special_tokens=False)
-            ids, step = self._bytes(e.ids), 1 + len(between)
-            edge = np.searchsorted(np.array(e.word_ids), np.arange(step * len(part) + 1)) * (len(self.end))
-            a, b = edge[:-1:step].tolist(), edge[1::step].tolist()
-            self.known.update((w, ids[x:y]) for w, x, y in zip(part, a, b, strict=True))
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [self._bytes(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _in_one(self, words: list[str]) -> list[bytes]:
+        """Ids of words that start with a space and end visibly."""
+        found = self.tok.encode_batch_fast(["".join(words[i:i + 64]) for i in range(0, len(words), 64)], add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.int64)
+        ends = np.cumsum(self.size[ids])
+        at = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        n = np.searchsorted(ends, at, "right")
+        if not len(ids) or (n == 0).any() or not np.array_equal(ends[n - 1], at):
+            return self._alone(words)
+        raw, cut = ids.astype(self.kind).tobytes(), (len(self.end) * np.concatenate(([0], n))).tolist()
+        return [raw[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w and not w[-1].isspace()]
+        rest = [w for w in words if not w or w[-1].isspace()]
+        if plain:
+            self.later.update(zip(plain, self._in_one([" " + w for w in plain]), strict=True))
+        if rest:
+            self.later.update(zip(rest, self._alone([" " + w for w in rest]), strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        parts = [_words(t or "") for t in texts]
-        first = {p[0] for p in parts}.difference(self.known)
-        later = set().union(*(p[1:] for p in parts)).difference(self.later)
-        self._learn(first | {" " + w for w in later})
-        self.later.update((w, self.known[" " + w]) for w in later)
-        for p in parts:
-            yield self.known[p[0]] + b"".join(map(self.later.__getitem__, p[1:])) + self.end
+        if not self.parted:
+            yield from (x + self.end for x in self._alone([t or "" for t in texts]))
+            return
         if len(self.later) > REMEMBER:
-            self.known, self.later = {}, {}
+            self.first, self.later = {}, {}
+        parts = [_words(t or "") for t in texts]
+        heads = [p.pop(0) for p in parts]
+        self._learn(list(set().union(*parts).difference(self.later)))
+        unknown = list(set(heads).difference(self.first))
+        self.first.update(zip(unknown, self._alone(unknown), strict=True))
+        for head, words in zip(heads, parts, strict=True):
+            yield self.first[head] + b"".join(map(self.later.__getitem__, words)) + self.end
 
 
 @lru_cache(maxsize=2)
@@ -159,7 +161,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
         return b""
 
 
-BLOCK_SCHEMA = ("shard int, block int, before long, n_ids long, doc_ids array<long>, sizes array<int>, "
+BLOCK_SCHEMA = ("shard int, block int, before long, n_ids long, first_doc long, last_doc long, doc_ids array<long>, sizes array<int>, "
                 "frame_offsets array<long>, dictionary string, frames binary")
 
 
@@ -179,8 +181,9 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, path: str, end_id:
 
         def block() -> pa.RecordBatch:
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in frames])))
-            row = [[shard], [number], [before], [n], [ids], [sizes], [offsets.tolist()], [digest], [b"".join(frames)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()),
+            known_ids = [x for x in ids if x is not None] or [None]
+            row = [[shard], [number], [before], [n], [known_ids[0]], [known_ids[-1]], [ids], [sizes], [offsets.tolist()], [digest], [b"".join(frames)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()),
                      pa.list_(pa.int64()), pa.string(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)],
                                               [f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
@@ -200,18 +203,22 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, path: str, end_id:
             yield block()
 
     (docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(blocks, BLOCK_SCHEMA)
-     .write.option("compression", "uncompressed").parquet(f"{folder}/blocks"))
+     .write.option("compression", "uncompressed").option("parquet.block.size", str(GROUP_BYTES)).parquet(f"{folder}/blocks"))
 
 
 def read(spark: SparkSession, folder: str, wanted: list[int] | None = None) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` (little-endian unsigned 32-bit) of all documents, or of the ``wanted`` ids:
-    then only blocks that hold them are read and only their frames are decompressed."""
+    then row groups whose range of doc_ids holds none of them are skipped (the filter on ``first_doc`` and ``last_doc``
+    reaches the files; over 64 ids ask for their whole range) and only their frames are decompressed."""
     known = {r.hash: bytes(r.bytes) for r in spark.read.parquet(f"{folder}/dictionary").collect()}
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{folder}/blocks")
     totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))               # one row per shard
     starts = totals.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("shard_start"))
     if wanted is not None:
-        blocks = blocks.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(int(x)).cast("long") for x in wanted])))
+        ids = sorted({int(x) for x in wanted})
+        ranges = [(F.col("first_doc") <= y) & (F.col("last_doc") >= x)
+                  for x, y in ([(x, x) for x in ids] if len(ids) <= 64 else [(ids[0], ids[-1])])]
+        blocks = blocks.where(reduce(or_, ranges) if ranges else F.lit(False))
     found = blocks.join(F.broadcast(starts), "shard").select(
         (F.col("shard_start") + F.col("before")).alias("start"), "doc_ids", "sizes", "frame_offsets", "dictionary", "frames")
     only = None if wanted is None else set(wanted)

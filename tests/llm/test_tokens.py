@@ -52,14 +52,16 @@ def test_pieces_edge_rows(session, frame):
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(token_store.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(token_store.default_tokenizer())
 
 
-def test_words_equal_library(tokenizer):
-    docs = texts(2, 4000)
-    encoder = token_store.WordEncoder(token_store.default_tokenizer(), 0)
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_words_equal_library(special_as_text):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(token_store.default_tokenizer())
+    tokenizer.encode_special_tokens = special_as_text
+    docs = texts(2, 4000) + ["x <|endoftext|>", "x<|endoftext|> y", "<|endoftext|>  z", "long " * 20000]
+    encoder = token_store.WordEncoder(token_store.default_tokenizer(), 0, special_as_text)
     got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(docs)]
     assert got == [e.ids + [0] for e in tokenizer.encode_batch(docs, add_special_tokens=False)]
 
@@ -79,6 +81,20 @@ def test_store_round_trip(session, tokenizer, n):
         start += len(ids)
     some = {r.doc_id: r.start for r in token_store.read(session, folder, wanted=[-5, 1, 999]).collect()}
     assert some == {r.doc_id: r.start for r in got if r.doc_id in (-5, 1)}
+    many = {r.doc_id: r.start for r in token_store.read(session, folder, wanted=[*range(-400, 2)]).collect()}
+    assert many == {r.doc_id: r.start for r in got if r.doc_id < 2}
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = token_store.read(session, folder, wanted=[1])._jdf.queryExecution().executedPlan().toString()
+    session.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(first_doc,1)" in plan and "GreaterThanOrEqual(last_doc,1)" in plan
+
+
+def test_words_are_forgotten_and_learned_again(monkeypatch):
+    docs = texts(4, 300)
+    whole = list(token_store.WordEncoder(token_store.default_tokenizer(), 0).encode(docs))
+    monkeypatch.setattr(token_store, "REMEMBER", 3)
+    encoder = token_store.WordEncoder(token_store.default_tokenizer(), 0)
+    assert [x for i in range(0, len(docs), 7) for x in encoder.encode(docs[i:i + 7])] == whole
 
 
 def test_store_of_nothing(session):
