@@ -18,11 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import day_diff, fill_int, money, zfill
 from ..operators.keys import rank_values
+from ..session import scratch_path
 from ..sources.schemas import FACT_COLUMNS
 
 Src = Mapping[str, DataFrame]
@@ -32,6 +33,8 @@ ORDER_DATE_SOURCE = "order_purchase_timestamp"
 # Rows of one side in a cell of the fan-out grid (at most GRID_SIDE squared
 # pairs are made by one task, whatever the order).
 GRID_SIDE = 2_000
+# Rows of a key that are numbered by one task (a power of two).
+PIECE_ROWS = 1 << 13
 
 
 def _orders_with_zip(src: Src, with_zip: bool = True) -> DataFrame:
@@ -85,35 +88,75 @@ def _common_columns(df: DataFrame) -> dict[str, F.Column]:
     }
 
 
+def _written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a scratch table: a lost task reads the same rows again, and the planner knows its size."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def number_rows(rows: DataFrame, key: str, piece: int = PIECE_ROWS) -> DataFrame:
+    """``_mw_pos``: 0, 1, 2, ... within each ``key``, however many rows it has, identical ones included.
+
+    Two levels of prefix sums: rows are numbered within (key, piece), where a piece is up to ``piece`` neighbouring rows
+    of an input partition, the numbers are written, and a key's pieces are offset by the rows of those before.
+    No task sees more of a key than a piece, or one row per piece.
+    """
+    spark, at = rows.sparkSession, F.monotonically_increasing_id()
+    # a partition's ids start at a multiple of 2 ** 33, so pieces never span partitions
+    dealt = rows.withColumn("_mw_at", at).withColumn("_mw_piece", F.shiftright("_mw_at", piece.bit_length() - 1))
+    local = F.row_number().over(Window.partitionBy(key, "_mw_piece").orderBy("_mw_at"))
+    numbered = _written(spark, dealt.withColumn("_mw_local", local).drop("_mw_at"), "numbered")
+    before = Window.partitionBy(key).orderBy("_mw_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy(key, "_mw_piece").agg(F.count(F.lit(1)).alias("_mw_n")).select(
+        key, "_mw_piece", F.coalesce(F.sum("_mw_n").over(before), F.lit(0)).alias("_mw_before"))
+    return numbered.join(offsets, [key, "_mw_piece"]).select(
+        *rows.columns, (F.col("_mw_before") + F.col("_mw_local") - 1).alias("_mw_pos"))
+
+
 def _cells(rows: DataFrame, own: str, other_side: DataFrame, other: str, side: int) -> DataFrame:
     """Deal an order's rows into cells of ``side`` rows (``own``) and repeat
     each once per cell of the other side (``other``)."""
-    place = Window.partitionBy("order_id").orderBy(*[c for c in rows.columns if c != "order_id"])
     count = other_side.groupBy("order_id").agg(F.count(F.lit(1)).alias("_mw_n"))
     cells = F.ceil(F.coalesce(F.col("_mw_n"), F.lit(1)) / F.lit(side)).cast("long")
-    return (rows.withColumn(own, F.floor((F.row_number().over(place) - 1) / F.lit(side)).cast("long"))
+    return (number_rows(rows, "order_id").withColumn(own, F.floor(F.col("_mw_pos") / F.lit(side)).cast("long")).drop("_mw_pos")
             .join(count, "order_id", "left")
             .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), cells - 1))).drop("_mw_n"))
 
 
+def crowded_orders(items: DataFrame, payments: DataFrame, side: int) -> DataFrame:
+    """Orders with over ``side`` items or payments (written: one row per such order)."""
+    found = [df.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > side).select("order_id")
+             for df in (items, payments)]
+    return _written(items.sparkSession, found[0].unionByName(found[1]).where("order_id IS NOT NULL").distinct(), "crowded-orders")
+
+
 def fan_out(orders: DataFrame, items: DataFrame, payments: DataFrame, side: int = GRID_SIDE) -> DataFrame:
     """``orders LEFT JOIN items LEFT JOIN payments`` on ``order_id``.
 
-    The item x payment pairs of an order form a grid: items are numbered into
-    ``ceil(items / side)`` cells and repeated per payment cell, payments
-    likewise, and the two meet on (order, item cell, payment cell). An ordinary
-    order is one cell; the pairs of a hot one spread over as many tasks as it
-    has cells, from both sides, identical rows included. Every pair appears
-    exactly once. Orders without items join their payments directly.
+    An order with at most ``side`` items and ``side`` payments is joined as written. The pairs of any other form a grid:
+    items are numbered (``number_rows``) into ``ceil(items / side)`` cells and repeated per payment cell,
+    payments likewise, and the two meet on (order, item cell, payment cell), so its pairs spread over as many
+    tasks as it has cells, from both sides. Every pair appears exactly once; each order takes one of the two
+    ways by its own counts. Those orders without items join their payments directly.
     """
     columns = [*orders.columns, *[c for c in items.columns if c != "order_id"],
                *[c for c in payments.columns if c != "order_id"]]
-    left = orders.join(_cells(items, "_mw_i", payments, "_mw_p", side), "order_id")
-    right = _cells(payments, "_mw_p", items, "_mw_i", side)
-    paired = left.join(right, ["order_id", "_mw_i", "_mw_p"], "left")
-    bare = orders.join(items.select("order_id"), "order_id", "left_anti").join(payments, "order_id", "left")
+
+    def plain(o: DataFrame, i: DataFrame, p: DataFrame) -> DataFrame:
+        return o.join(i, "order_id", "left").join(p, "order_id", "left").select(*columns)
+
+    crowded = crowded_orders(items, payments, side)
+    if crowded.isEmpty():
+        return plain(orders, items, payments)
+    rest = plain(*[df.join(crowded, "order_id", "left_anti") for df in (orders, items, payments)])
+    o, i, p = (df.join(crowded, "order_id", "left_semi") for df in (orders, items, payments))
+    left = o.join(_cells(i, "_mw_i", p, "_mw_p", side), "order_id")
+    paired = left.join(_cells(p, "_mw_p", i, "_mw_i", side), ["order_id", "_mw_i", "_mw_p"], "left")
+    bare = o.join(i.select("order_id"), "order_id", "left_anti").join(p, "order_id", "left")
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in items.schema.fields if f.name != "order_id"]
-    return paired.select(*columns).unionByName(bare.select("*", *empty).select(*columns))
+    return (rest.unionByName(paired.select(*columns))
+            .unionByName(bare.select("*", *empty).select(*columns)))
 
 
 def fact_orders(src: Src, side: int = GRID_SIDE) -> DataFrame:

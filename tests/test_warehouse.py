@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from martwright.plans import facts, marts, pipeline, reports
@@ -217,7 +218,6 @@ def test_sql_layers_gates_and_reports(spark, src_small):
 
 
 def test_gate_rejects_duplicate_source_keys(spark, src_small):
-    import pytest
     dup = dict(src_small.as_dict())
     dup["customers"] = src_small["customers"].unionByName(src_small["customers"].limit(1))
     with pytest.raises(pipeline.DataQualityError):
@@ -270,7 +270,6 @@ def test_incremental_batch_replay_is_idempotent(spark, src_small):
     inc.process_batch(spark, root, two, 2)
     staged = spark.read.parquet(path)
     assert [r.order_status for r in staged.where(F.col("order_id") == first.order_id).collect()] == ["delivered"]
-    import pytest
     with pytest.raises(ValueError):
         inc.process_batch(spark, root, moved, 3)
     # late items refresh the months of their orders, once even if replayed
@@ -351,14 +350,37 @@ def test_one_order_holding_a_third_of_items_and_payments(spark, src_small):
     share = skewed["order_items"].where(F.col("order_id") == hot_id).count() / skewed["order_items"].count()
     assert 0.25 < share < 0.45
     fact = facts.fact_orders(skewed, side=100)
-    plain = facts.fact_orders(skewed, side=10 ** 6)
+    plain = _multiset(facts.fact_orders(skewed, side=10 ** 6))
     assert _join_tasks(fact, hot_id) > 1
-    assert fact.count() == plain.count()
-    assert fact.exceptAll(plain).isEmpty() and plain.exceptAll(fact).isEmpty()  # same multiset of rows
+    assert _multiset(fact) == plain
     assert sorted(map(tuple, marts.mart_sales_daily(skewed).collect())) == \
-        sorted(map(tuple, marts.mart_sales_daily_from_fact(plain).collect()))
+        sorted(map(tuple, marts.mart_sales_daily_from_fact(facts.fact_orders(skewed, side=10 ** 6)).collect()))
     # the same over bucketed staging, where a bucket holds the whole order
     root = scratch_path(spark, "t-hot-buckets")
     pipeline.stage(skewed, root, buckets=4)
     staged = facts.fact_orders(pipeline.StagedSources(spark, root), side=100)
-    assert staged.exceptAll(plain).isEmpty() and plain.exceptAll(staged).isEmpty() and _join_tasks(staged, hot_id) > 1
+    assert _join_tasks(staged, hot_id) > 1 and _multiset(staged) == plain
+
+
+def _multiset(df):
+    """Row count and order-free digests of the rows: equal for equal multisets."""
+    row = F.struct(*[F.col(c) for c in sorted(df.columns)])
+    return tuple(df.agg(F.count(F.lit(1)), *[F.sum(F.xxhash64(row, F.lit(salt)).cast("decimal(38,0)")) for salt in (1, 2)]).first())
+
+
+@pytest.mark.parametrize("side", ["items", "payments"])
+def test_a_hot_orders_rows_are_numbered_by_many_tasks(spark, src_small, side):
+    """All rows of one side in one order, from one input partition: every task numbers a piece of them."""
+    rows = src_small["order_items" if side == "items" else "payments"].withColumn("order_id", F.lit("hot")).coalesce(1)
+    n = rows.count()
+    piece = 256
+    numbered = facts.number_rows(rows, "order_id", piece)
+    assert sorted(r[0] for r in numbered.select("_mw_pos").collect()) == list(range(n))
+    assert numbered.drop("_mw_pos").columns == rows.columns and _multiset(numbered.drop("_mw_pos")) == _multiset(rows)
+    at = F.monotonically_increasing_id()
+    pieces = rows.withColumn("p", F.shiftright(at, piece.bit_length() - 1)).groupBy("order_id", "p").count()
+    assert n > 3 * piece and pieces.agg(F.max("count")).first()[0] <= piece
+    # what the window's tasks hold: no partition of the shuffle by (order, piece) is over three times the median
+    held = sorted(r[1] for r in rows.withColumn("p", F.shiftright(at, 4)).repartition(8, "order_id", "p")
+                  .groupBy(F.spark_partition_id()).count().collect())
+    assert len(held) == 8 and held[-1] < 3 * held[len(held) // 2]
