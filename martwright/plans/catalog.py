@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import publish
 from ..operators.dml import table_exists
 from ..sources.schemas import MANIFEST, MART_SCHEMAS
 from .pipeline import BUCKET_KEY, ORDER_KEYED, table_path
@@ -37,7 +38,8 @@ def register_layers(spark: SparkSession, root: str, buckets: int | None = None)
             if buckets and t.removeprefix("stg_") in ORDER_KEYED:
                 cols = f"({_ddl(spark.read.parquet(path).schema)}) "
                 clustered = (f"CLUSTERED BY (`{BUCKET_KEY}`) SORTED BY (`{BUCKET_KEY}`) INTO {buckets} BUCKETS ")
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{t} {cols}USING parquet {clustered}LOCATION '{path}'")
+            spark.sql(f"DROP TABLE IF EXISTS {layer}.{t}")   # an external table: a new publication has new folders
+            spark.sql(f"CREATE TABLE {layer}.{t} {cols}USING parquet {clustered}LOCATION '{path}'")
             if any(c.isPartition for c in spark.catalog.listColumns(f"{layer}.{t}")):
                 spark.sql(f"ALTER TABLE {layer}.{t} RECOVER PARTITIONS")  # e.g. a fact partitioned by day
             spark.catalog.refreshTable(f"{layer}.{t}")
@@ -51,10 +53,13 @@ def execute_sql(spark: SparkSession, statement: str) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, layer: str, table: str, root: str | None = None) -> None:
-    """DROP TABLE IF EXISTS; with ``root`` also removes the table folder."""
+    """DROP TABLE IF EXISTS; with ``root`` also takes the table out of the publication and removes its folder."""
     spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
     if root is not None:
         path = table_path(root, table)
+        published = publish.Snapshot(spark, root)
+        if table in published:
+            publish.commit(spark, root, {"tables": {t: f for t, f in published.tables.items() if t != table}}, published.number)
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

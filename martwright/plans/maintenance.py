@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dml
-from ..session import scratch_path
+from ..operators.keyed import KeyedTable
+from ..session import scratch_path, shuffle_width
 from ..sources import files
 from ..sources.fixtures import Sources, _place
 from ..sources.schemas import SOURCES, SRC_POS, STAGING_ORDER
@@ -51,11 +52,10 @@ def customer_changes(src: Sources) -> DataFrame:
 
 
 def upsert_customers(spark: SparkSession, src: Sources) -> DataFrame:
+    """Through a keyed table: only the files that hold a changed customer are rewritten."""
     path = scratch_path(spark, "upsert") + "/customers"
-    dml.replace_table(src["customers"], path)
-    merged = dml.upsert(spark.read.parquet(path), customer_changes(src), ["customer_id"], "seq")
-    dml.replace_table(merged, path)
-    return spark.read.parquet(path)
+    table = KeyedTable.create(src["customers"], path, ["customer_id"], slots=shuffle_width(spark))
+    return table.upsert(customer_changes(src), "seq").read()
 
 
 def orders_to_delete(src: Sources) -> DataFrame:
@@ -67,11 +67,10 @@ def orders_to_delete(src: Sources) -> DataFrame:
 
 
 def delete_orders(spark: SparkSession, src: Sources) -> DataFrame:
+    """Through a keyed table: the delete writes keys alone, and reading applies them."""
     path = scratch_path(spark, "delete") + "/orders"
-    dml.replace_table(src["orders"], path)
-    kept = dml.delete_by_keys(spark.read.parquet(path), "order_id", orders_to_delete(src))
-    dml.replace_table(kept, path)
-    return spark.read.parquet(path)
+    table = KeyedTable.create(src["orders"], path, ["order_id"], slots=shuffle_width(spark))
+    return table.delete(orders_to_delete(src)).read()
 
 
 def customers_as_sellers(src: Sources) -> DataFrame:

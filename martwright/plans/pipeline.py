@@ -1,24 +1,25 @@
 """The daily warehouse refresh: staging -> six dimensions + fact -> three marts.
 
-Tables live under ``root/<layer>/<table>`` as parquet. Every write is a
-whole-table replace with a folder swap (``operators.dml`` states its gap), so a
-rerun is idempotent and readers never see a half-written table. Dimensions and
-the fact only read staging, so they are submitted concurrently as separate
-Spark jobs. Marts and fact-level reports read the written fact and the rollup
-made from it, never staging.
+Staged tables live under ``root/staging/<table>`` as parquet; a copy is a whole-table
+replace with a folder swap (``operators.dml`` states its gap). The seven warehouse tables, the
+three marts and the rollup are written to new folders and become visible together, in one
+publication (``operators.publish``), after the gates have passed: a reader sees all of a refresh or nothing
+of it, and a failed one leaves the last publication as it was. Dimensions and the fact only
+read staging, so they are submitted concurrently as separate Spark jobs. Marts and fact-level
+reports read the written fact and the rollup made from it, never staging.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import hashlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import publish, quality
 from ..operators.dml import replace_bucketed_table, replace_table, table_exists
 from ..session import scratch_scope, shuffle_width
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
@@ -27,19 +28,25 @@ from . import dims, facts, marts, reports
 LAYER_OF = {t: layer for layer, ts in MANIFEST.items() for t in ts}
 
 
+# The per-order rollup of the written fact, published with it.
+ROLLUP = "order_rollup"
+
+
 def table_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{LAYER_OF[table]}/{table}"
+    """Folder of a table: where the last publication under ``root`` has it, else ``root/<layer>/<table>``."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and LAYER_OF.get(table) != "staging":
+        published = publish.Snapshot(spark, root)
+        if table in published:
+            return published.path(table)
+    return f"{root.rstrip('/')}/{LAYER_OF.get(table, 'work')}/{table}"
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One table. To read several of one refresh take a ``publish.Snapshot``."""
     return spark.read.parquet(table_path(root, table))
 
 
-def rollup_path(root: str) -> str:
-    """The per-order rollup of the written fact (a work table of the refresh)."""
-    return f"{root.rstrip('/')}/work/order_rollup"
-
-
 # Staged tables joined and grouped on the order id: bucketed and sorted by it
 # with one bucket count, so the fact and the order-level marts read them
 # co-partitioned instead of shuffling items and payments again per job.
@@ -112,9 +119,28 @@ def stage(src: Mapping[str, DataFrame], root: str, buckets: int | None = None, p
             f.result()
 
 
-def build_warehouse(spark: SparkSession, root: str, run_date: _dt.date | str | None = None,
+def _write_new(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` to a folder of its own that no reader knows yet; its name relative to ``root``."""
+    folder = publish.new_folder(table)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root.rstrip('/')}/{folder}")
+    return folder
+
+
+def _all_written(root: str, jobs: Mapping[str, Callable[[], DataFrame]], parallelism: int, partition_by: Mapping[str, Sequence[str]]
+                 ) -> dict[str, str]:
+    """Concurrent writes; table -> folder."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        found = {n: pool.submit(lambda n=n: _write_new(jobs[n](), root, n, partition_by.get(n, ()))) for n in jobs}
+        return {n: f.result() for n, f in found.items()}
+
+
+def write_warehouse(spark: SparkSession, root: str, run_date: _dt.date | str | None = None,
                     calendar: tuple[str, str] = dims.DEFAULT_CALENDAR, fact_partition_by: Sequence[str] = (),
-                    parallelism: int = 4) -> None:
+                    parallelism: int = 4) -> dict[str, str]:
+    """The six dimensions and the fact from staging, in folders that are not published yet."""
     st = StagedSources(spark, root)
     jobs = {
         "dim_customers": lambda: dims.dim_customers(st, run_date),
@@ -123,40 +149,43 @@ def build_warehouse(spark: SparkSession, root: str, run_date: _dt.date | str | N
         "dim_geolocation": lambda: dims.dim_geolocation(st),
         "dim_dates": lambda: dims.dim_dates(spark, *calendar),
         "dim_payments": lambda: dims.dim_payments(st),
+        "fact_orders": lambda: facts.fact_orders(st),
     }
+    return _all_written(root, jobs, parallelism, {"fact_orders": fact_partition_by})
 
-    def write(name: str) -> None:
-        replace_table(jobs[name](), table_path(root, name))
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [pool.submit(write, n) for n in jobs]
-        futures.append(pool.submit(lambda: replace_table(facts.fact_orders(st), table_path(root, "fact_orders"),
-                                                         partition_by=fact_partition_by)))
-        for f in futures:
-            f.result()
+def build_warehouse(spark: SparkSession, root: str, run_date: _dt.date | str | None = None,
+                    calendar: tuple[str, str] = dims.DEFAULT_CALENDAR, fact_partition_by: Sequence[str] = (),
+                    parallelism: int = 4) -> None:
+    """``write_warehouse``, published."""
+    after = publish.current(spark, root)
+    publish.publish_tables(spark, root, write_warehouse(spark, root, run_date, calendar, fact_partition_by, parallelism), after)
 
 
-def publish_marts(spark: SparkSession, root: str, parallelism: int = 3) -> None:
-    """The three marts from the written fact: its per-order rollup is written
-    once (the daily and city marts and the reports read it)."""
-    fact = read_table(spark, root, "fact_orders")
-    replace_table(facts.rollup_of(fact), rollup_path(root))
-    rollup = spark.read.parquet(rollup_path(root))
+def write_marts(spark: SparkSession, root: str, warehouse: Mapping[str, DataFrame], parallelism: int = 3) -> dict[str, str]:
+    """The three marts from a written warehouse, in folders that are not published yet. The fact's
+    per-order rollup is written once (the daily and city marts and the reports read it)."""
+    fact = warehouse["fact_orders"]
+    folder = _write_new(facts.rollup_of(fact), root, ROLLUP)
+    rollup = spark.read.parquet(f"{root.rstrip('/')}/{folder}")
     jobs = {
         "mart_sales_daily": lambda: marts.mart_sales_daily_from_rollup(rollup),
-        "mart_product_performance": lambda: marts.mart_product_performance_from_fact(
-            fact, read_table(spark, root, "dim_products")),
-        "mart_city_revenue": lambda: marts.mart_city_revenue_from_rollup(
-            rollup, read_table(spark, root, "dim_geolocation")),
+        "mart_product_performance": lambda: marts.mart_product_performance_from_fact(fact, warehouse["dim_products"]),
+        "mart_city_revenue": lambda: marts.mart_city_revenue_from_rollup(rollup, warehouse["dim_geolocation"]),
     }
     # rows clustered inside each file by the mart's key, so parquet min/max
     # statistics prune date / product / city lookups
     cluster = {"mart_sales_daily": ["order_date"], "mart_product_performance": ["product_id"],
                "mart_city_revenue": ["geolocation_state", "geolocation_city"]}
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for f in [pool.submit(lambda n=n: replace_table(jobs[n]().sortWithinPartitions(*cluster[n]),
-                                                        table_path(root, n))) for n in jobs]:
-            f.result()
+    sorted_ = {n: (lambda n=n: jobs[n]().sortWithinPartitions(*cluster[n])) for n in jobs}
+    return {ROLLUP: folder, **_all_written(root, sorted_, parallelism, {})}
+
+
+def publish_marts(spark: SparkSession, root: str, parallelism: int = 3) -> None:
+    """Marts and rollup of the warehouse as it is, published together."""
+    after = publish.current(spark, root)
+    warehouse = {t: read_table(spark, root, t) for t in ("fact_orders", "dim_products", "dim_geolocation")}
+    publish.publish_tables(spark, root, write_marts(spark, root, warehouse, parallelism), after)
 
 
 class DataQualityError(RuntimeError):
@@ -186,8 +215,8 @@ def gate_sources(spark: SparkSession, root: str) -> None:
             f"{r.child_table}.{r.child_column}: {r.dangling_rows}" for r in bad))
 
 
-def gate_marts(spark: SparkSession, root: str) -> None:
-    _gate(quality.primary_keys({m: read_table(spark, root, m) for m in MART_KEYS}, MART_KEYS), "mart")
+def gate_marts(written: Mapping[str, DataFrame]) -> None:
+    _gate(quality.primary_keys({m: written[m] for m in MART_KEYS}, MART_KEYS), "mart")
 
 
 def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date: _dt.date | str | None = None,
@@ -196,35 +225,42 @@ def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date:
     """Whole refresh in dependency order; returns ``root``.
 
     ``gates``: stop before building on staged sources whose primary keys are
-    NULL or duplicated or whose order and customer references dangle, and fail
-    after publishing marts whose keys are NULL or duplicated.
+    NULL or duplicated or whose order and customer references dangle, and publish
+    nothing where the marts' keys are NULL or duplicated. The previous
+    publication stays readable; older ones are dropped.
     """
+    after = publish.current(spark, root)
     with scratch_scope(spark):
         stage(src, root, buckets)
         if gates:
             gate_sources(spark, root)
-        build_warehouse(spark, root, run_date, calendar, fact_partition_by)
-        publish_marts(spark, root)
+        folders = write_warehouse(spark, root, run_date, calendar, fact_partition_by)
+
+        def written(names) -> dict[str, DataFrame]:
+            return {t: spark.read.parquet(f"{root.rstrip('/')}/{folders[t]}") for t in names}
+
+        folders |= write_marts(spark, root, written(folders))
         if gates:
-            gate_marts(spark, root)
+            gate_marts(written(MART_KEYS))
+        publish.publish_tables(spark, root, folders, after)
+    publish.vacuum(spark, root)
     return root
 
 
 def reports_from_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The BI reports over a built warehouse (from the fact, its rollup, the
     dimensions and the marts)."""
-    rollup = spark.read.parquet(rollup_path(root))
-    fact = read_table(spark, root, "fact_orders")
-    sales = read_table(spark, root, "mart_sales_daily")
+    one = publish.Snapshot(spark, root)                     # all reports read one publication
+    rollup, fact, sales = one[ROLLUP], one["fact_orders"], one["mart_sales_daily"]
     return {
-        "report_revenue_by_month": reports.revenue_by_month(rollup, read_table(spark, root, "dim_dates")),
+        "report_revenue_by_month": reports.revenue_by_month(rollup, one["dim_dates"]),
         "report_orders_by_status": reports.orders_by_status(rollup),
         "report_units_by_category": reports.units_by_category(fact.withColumn("fanout", F.lit(1).cast("long")),
-                                                              read_table(spark, root, "dim_products")),
-        "report_revenue_by_city": reports.revenue_by_city(rollup, read_table(spark, root, "dim_geolocation"), on_zip=False),
+                                                              one["dim_products"]),
+        "report_revenue_by_city": reports.revenue_by_city(rollup, one["dim_geolocation"], on_zip=False),
         "report_sales_daily": reports.report_sales_daily(sales),
-        "report_top20_products": reports.report_top20_products(read_table(spark, root, "mart_product_performance")),
-        "report_top20_cities": reports.report_top20_cities(read_table(spark, root, "mart_city_revenue")),
+        "report_top20_products": reports.report_top20_products(one["mart_product_performance"]),
+        "report_top20_cities": reports.report_top20_cities(one["mart_city_revenue"]),
         "report_total_revenue_all_days": reports.report_total_revenue_all_days(sales),
         "report_total_orders_all_days": reports.report_total_orders_all_days(sales),
     }
