@@ -1,4 +1,4 @@
-"""Incremental daily-sales refresh driven by Structured Streaming.
+"""Incremental daily-sales refresh by months (see ``order_state`` for the one by deltas).
 
 New and changed orders land as files in an inbox folder. A file-source stream
 picks them up and ``foreachBatch`` does, per micro-batch:
@@ -33,8 +33,9 @@ from ..operators.dml import (in_partitions, overwrite_partitions, replace_table,
                              upsert_partitions)
 from ..plans import marts
 from ..plans.pipeline import StagedSources, table_path
-from ..session import scratch_path
+from ..session import scratch_path, shuffle_width
 from ..sources.schemas import SOURCES
+from . import order_state
 
 MART = "mart_sales_daily"
 LOOKBACK_DAYS = 365  # orders after (last order day - LOOKBACK_DAYS) arrive late
@@ -71,7 +72,7 @@ def write_months(mart_rows: DataFrame, root: str, months: list[_dt.date] | None
 def refresh_months(spark: SparkSession, root: str, months: list[_dt.date]) -> None:
     """Recompute the mart for ``months``. The staged orders are read with
     partition pruning, their items and payments by semi-joins on the touched
-    order ids; nothing else is read."""
+    order ids, which scan the staged items and payments (``order_state`` does without)."""
     st = StagedSources(spark, root)
     touched = st["orders"].where(in_partitions(MONTH, months)).drop(MONTH)
     ids = touched.select("order_id")
@@ -152,24 +153,22 @@ def start_detail_stream(spark: SparkSession, root: str, name: str, inbox: str, c
 
 
 def incremental_sales_daily(spark: SparkSession, src) -> DataFrame:
-    """Initial load of older orders with their items and payments, then the
-    recent ones through the streams; the result must equal a full rebuild."""
+    """Older orders with their items and payments as the first load, the recent ones through one stream of
+    deltas (``order_state``); the result must equal a full rebuild."""
     root = scratch_path(spark, "incremental")
     orders = src["orders"]
     last_day: _dt.date = orders.agg(F.max("order_purchase_timestamp")).first()[0]
     cutoff = F.lit(str(last_day - _dt.timedelta(days=LOOKBACK_DAYS))).cast("date")
-    early = orders.where(orders["order_purchase_timestamp"] <= cutoff)
     late = orders.where(orders["order_purchase_timestamp"] > cutoff)
 
-    stage_orders(early, root)
+    state = order_state.OrderState.start(spark, root, buckets=shuffle_width(spark))
+    first = order_state.as_events("orders", orders.where(orders["order_purchase_timestamp"] <= cutoff))
     for name in MART_INPUTS:
-        stage_details(src[name].join(late.select("order_id"), "order_id", "left_anti"), root, name)
-    write_months(marts.mart_sales_daily(StagedSources(spark, root)), root)
+        first = first.unionByName(order_state.as_events(name, src[name].join(late.select("order_id"), "order_id", "left_anti")))
+    state.process(first, order_state.FOLDED)
 
     late.write.parquet(f"{root}/inbox/orders")
     for name in MART_INPUTS:
         src[name].join(late.select("order_id"), "order_id", "left_semi").write.parquet(f"{root}/inbox/{name}")
-    start_stream(spark, root, f"{root}/inbox/orders", f"{root}/_stream_checkpoint/orders").awaitTermination()
-    for name in MART_INPUTS:
-        start_detail_stream(spark, root, name, f"{root}/inbox/{name}", f"{root}/_stream_checkpoint/{name}").awaitTermination()
-    return read_mart(spark, root)
+    order_state.start_stream(spark, root, f"{root}/inbox", f"{root}/_stream_checkpoint").awaitTermination()
+    return order_state.OrderState(spark, root).mart_sales_daily()
