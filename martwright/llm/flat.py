@@ -10,6 +10,7 @@ finaliser, a shingle is a mix of its words' fingerprints in order.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,21 +56,39 @@ def pieces(col: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int, np.nda
         i = j
 
 
+def tidy() -> None:
+    """Give memory that earlier work of this Python process left free back to the system.
+
+    A worker serves task after task and stage after stage, and its allocators keep what the largest of them used.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                                                # another C library: it has no such call
+
+
 class _Powers:
-    """Powers of the base and of its inverse mod 2**64, grown on demand."""
+    """Powers of the base and of its inverse mod 2**64, grown on demand; those over ``keep`` are not held."""
+
+    keep = PIECE + PIECE // 4
 
     def __init__(self) -> None:
         self.up = np.ones(1, np.uint64)
         self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up), 1 << 16)
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up, self.down
+        if len(self.up) >= n:
+            return self.up, self.down
+        size = n if n > self.keep else min(max(n, 2 * len(self.up), 1 << 16), self.keep)
+        found = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            found.append(np.multiply.accumulate(steps, out=steps))
+        if size <= self.keep:
+            self.up, self.down = found
+        return found[0], found[1]
 
 
 _POWERS = _Powers()

@@ -42,14 +42,16 @@ from pyspark.sql import functions as F
 
 from martwright.session import scratch_path, shuffle_width
 
-from .flat import column, mix, pieces, shingles
+from .flat import column, mix, pieces, shingles, tidy
 from .graph import components, saved
 
 FRAGMENTS = 8
+#: Bytes of text whose shingles are made at once.
+SMALL = 1 << 20
 #: Documents and bytes of shingles of a cell; candidates compared as a whole (route only: any gives the same links).
 CELL, CELL_BYTES, WHOLE = 1024, 4 << 20, 1 << 14
-#: Documents looked at to find very frequent shingles.
-ROUTING_SAMPLE = 8192
+#: Documents looked at to find very frequent shingles, and tasks that look at them.
+ROUTING_SAMPLE, SAMPLE_TASKS = 8192, 8
 
 
 def _least(n: np.ndarray | int, percent: int):
@@ -69,16 +71,15 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _frequent(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> np.ndarray:
     """Prefix shingles in over a hundredth of the routing sample (sorted)."""
     total = docs.count()
-    sample = docs.sample(min(1.0, 1.2 * ROUTING_SAMPLE / max(total, 1)), seed=7).select("text")
+    # a few tasks, however many the input has: a shingle that occurs once in one of them is sent as well
+    sample = docs.sample(min(1.0, 1.2 * ROUTING_SAMPLE / max(total, 1)), seed=7).select("text").repartition(SAMPLE_TASKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b, data, off in pieces(column(batch, "text")):
                 value, n = np.unique(np.concatenate([s[:_parts(len(s), percent)[0]] for s in shingles(data, off, words)]),
                                      return_counts=True)
-                often = n > 1
-                yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(n[often], pa.int64())],
-                                                 ["shingle", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n, pa.int64())], ["shingle", "n"])
 
     found = (sample.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
              .where(F.col("n") * 100 > min(total, ROUTING_SAMPLE)))
@@ -94,9 +95,10 @@ def _prefixes(docs: DataFrame, words: int, percent: int, hot: np.ndarray, fragme
     kind = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, _, data, off in pieces(column(batch, "text")):
+            for a, _, data, off in pieces(column(batch, "text"), SMALL):
                 sets = list(shingles(data, off, words))
                 n = np.array([len(s) for s in sets], np.int32)
                 cut = np.array([_parts(int(x), percent)[0] for x in n], np.int64)
@@ -131,6 +133,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Hot shingles stay where they are: all count as most frequent.
     """
+    tidy()
     got = []
     for batch in batches:
         for part, value, owner, ids, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -159,9 +162,10 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     """Per document its size and, where flagged, a digest of its set and the set cut into fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             want = batch.column(2).to_pylist()
-            for a, b, data, off in pieces(column(batch, "text")):
+            for a, b, data, off in pieces(column(batch, "text"), SMALL):
                 size, key, seg = [], [], []
                 for flag, s in zip(want[a:b], shingles(data, off, words), strict=True):
                     size.append(len(s))
@@ -279,6 +283,7 @@ def _links(spark: SparkSession, keys: DataFrame, sets: DataFrame, percent: int,
                 yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in c[:3]), pa.array(c[3], pa.list_(pa.int64()))],
                                                  ["doc_id", "root", "linked", "partners"])
 
+        tidy()
         now, rows = None, []
         for batch in batches:
             for w, u, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):

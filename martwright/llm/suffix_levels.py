@@ -18,8 +18,9 @@ one suffix in about 64 bytes is enough to compare all windows.
 Hashes are 64 bits. Rows of one anchor hash meet in one task but are never gathered: the scan only looks at
 neighbours and spills.
 
-Defined results: null and empty texts have no bytes; repeated rows of one doc_id are one document; a null
-doc_id takes no part and keeps its text; a document's windows never reach into another.
+Defined results: null and empty texts have no bytes; rows that repeat both doc_id and text are one document, rows of one
+doc_id with different texts are documents of their own (a row is known by a hash of both); a null doc_id
+takes no part and keeps its text; a document's windows never reach into another.
 """
 
 from __future__ import annotations
@@ -214,8 +215,10 @@ def repeated(spark: SparkSession, docs: DataFrame, length: int = 200, batches: i
 def remove(spark: SparkSession, docs: DataFrame, length: int = 200, batches: int = 2,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans`` (removed byte runs) and ``kept`` (the remaining bytes) per document."""
-    docs = docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
-    gone = repeated(spark, docs, length, batches).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    docs = docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text").withColumn(
+        "row", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    gone = (repeated(spark, docs.select(F.col("row").alias("doc_id"), "text"), length, batches)
+            .groupBy(F.col("doc_id").alias("row")).agg(F.collect_list("place").alias("places")))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +250,7 @@ def remove(spark: SparkSession, docs: DataFrame, length: int = 200, batches: int
                                               pa.array(spans, span), pa.array(kept, pa.binary())],
                                              ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    return docs.join(gone, "doc_id", "left").select("doc_id", "text", "places").mapInArrow(
+    return docs.join(gone, "row", "left").select("doc_id", "text", "places").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
 
 

@@ -50,7 +50,7 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 KINDS = ("negated", "reported", "insult", "targeted", "threat")
 
 STEM_BYTES = (4, 5, 6, 7, 8)
-MIN_ODDS, MIN_SUPPORT, MAX_STEMS = 3.0, 3, 4096
+MIN_ODDS, MIN_SUPPORT = 3.0, 3
 TRAIN_ROWS = 16384
 #: Bytes of text handled at once: every word has a fingerprint per stem length.
 SMALL = 1 << 19
@@ -249,9 +249,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[np.nda
     return w[:-1], float(w[-1])
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
-        id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """``labels(doc_id, toxic)``: only the rows that may be learned from."""
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, min_odds: float = MIN_ODDS,
+        min_support: int = MIN_SUPPORT, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """``labels(doc_id, toxic)``: only the rows that may be learned from, of which ``train_rows`` are taken.
+
+    A stem is learned if ``min_support`` toxic documents of these hold it and its log odds are over ``min_odds``: all that
+    pass are, whatever their number, which the sample bounds.
+    """
     rows = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
     train = (docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text").join(F.broadcast(rows), "doc_id")
@@ -277,8 +281,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train_rows: int
     odds = F.log((F.col("bad") + 0.5) / (n1 + 1.0)) - F.log((F.col("good") + 0.5) / (n0 + 1.0))
     found = (train.mapInArrow(count, "stem long, bad long, good long").groupBy("stem")
              .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-             .where((F.col("bad") >= max(MIN_SUPPORT, n1 // 100)) & (odds > MIN_ODDS)).select("stem", odds.alias("odds"))
-             .orderBy(F.desc("odds"), "stem").limit(MAX_STEMS).collect())
+             .where((F.col("bad") >= min_support) & (odds > min_odds)).select("stem", odds.alias("odds"))
+             .orderBy(F.desc("odds"), "stem").collect())
     top = max([r[1] for r in found], default=1.0)
     lexicon = Lexicon.build({r[0] % (1 << 64): r[1] / top for r in found})
     machine = grammar()

@@ -115,6 +115,19 @@ def test_suffixes_equal_brute_force(session, frame, seed, length, batches):
     assert len(out) == len(rows) and sum(r.n_removed for r in out) > 2000
 
 
+def test_one_id_with_two_texts(session, frame):
+    """Rows of one id with different texts are documents of their own; a repeated row is not."""
+    rnd = random.Random(2)
+    words = vocabulary(rnd)
+    long, short = " ".join(rnd.choice(words) for _ in range(300)), " ".join(rnd.choice(words) for _ in range(30))
+    rows = [(1, long), (1, short), (1, long[100:700]), (2, short), (2, short), (3, None), (3, short)]
+    got = suffix_levels.remove(session, frame(rows)).collect()
+    want = suffix_brute([(i, t) for i, (_, t) in enumerate(dict.fromkeys(rows))], 200)
+    by_row = {row: want[i] for i, row in enumerate(dict.fromkeys(rows))}
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got) == sorted((d, *by_row[d, t]) for d, t in rows)
+    assert sum(r.n_removed for r in got) > 1000
+
+
 def test_suffixes_of_nothing_and_null_ids(session, frame):
     assert suffix_levels.remove(session, frame([])).count() == 0
     out = suffix_levels.remove(session, frame([(None, "x" * 500), (None, "x" * 500)])).collect()

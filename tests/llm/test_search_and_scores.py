@@ -200,3 +200,17 @@ def test_oracle(session, key):
     got, want = [tuple(r) for r in df.collect()], rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns) and len(got) == len(want) > 0
     assert table_hash(df.columns, got)[0] == table_hash(rel.columns, want)[0]
+
+
+def test_stems_are_learned_by_one_rule_at_every_size(session):
+    """A word of three toxic documents is learned from ten as from a thousand of them; there is no cap on stems."""
+    for n in (10, 1000):
+        rows = [(d, f"filler{d} plain " + ("zorgulate" if d < 3 else f"other{d}")) for d in range(n)]
+        rows += [(n + d, f"clean words number{d}") for d in range(3 * n)]
+        docs = session.createDataFrame(rows, "doc_id long, text string")
+        labels = session.createDataFrame([(d, int(d < n)) for d, _ in rows], "doc_id long, toxic int")
+        model = toxicity.fit(session, docs, labels, min_odds=1.0)
+        without = toxicity.fit(session, docs, labels, min_odds=1.0, min_support=4)
+        data = np.frombuffer(b"you zorgulate", np.uint8)
+        hit = [toxicity.features(m.lexicon, toxicity.grammar(), data, np.array([0, len(data)])).any() for m in (model, without)]
+        assert hit == [True, False], n
