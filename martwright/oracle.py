@@ -401,6 +401,10 @@ o_latest AS (
         f"SELECT *, row_number() OVER (ORDER BY {numeric_order('order_id')}, order_item_id NULLS LAST, "
         f"{numeric_order('product_id')}, {numeric_order('seller_id')}, shipping_limit_date NULLS LAST, "
         f"price NULLS LAST, freight_value NULLS LAST) AS item_key FROM s_order_items")
+    q["stable_key"] = (
+        "SELECT payment_type, COUNT(*) AS n_rows, MIN(position) AS first_position, MAX(position) AS last_position, "
+        "CAST(SUM(position) AS DECIMAL(38,0)) AS position_sum FROM (SELECT payment_type, "
+        "row_number() OVER (ORDER BY payment_type NULLS LAST) AS position FROM s_payments) GROUP BY payment_type")
     q["keep_first"] = (
         "SELECT order_id, payment_sequential, payment_type, payment_installments, payment_value FROM "
         "(SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY payment_sequential) AS rn FROM s_payments) "

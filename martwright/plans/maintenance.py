@@ -122,9 +122,10 @@ def reload_reviews(spark: SparkSession, src: Sources) -> DataFrame:
 
 def load_reviews_csv(spark: SparkSession, src: Sources) -> DataFrame:
     """Reviews (free text with commas, quotes and line breaks) written as a
-    CRLF delimited file with a header, then bulk-loaded with the schema."""
+    CRLF delimited file with a header, then bulk-loaded with the schema by tasks
+    that each read a byte range, wherever records begin."""
     path = dml.write_csv(src["order_reviews"], scratch_path(spark, "csv") + "/order_reviews", line_sep="\r\n")
-    return files.read_csv(spark, path, SOURCES["order_reviews"].schema, multi_line=True)
+    return files.read_csv(spark, path, SOURCES["order_reviews"].schema, split_records=True)
 
 
 def load_csv_tables(spark: SparkSession, src: Sources) -> DataFrame:

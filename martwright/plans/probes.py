@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import title_case
-from ..operators.keys import category_code, dense_key, keep_first, numeric_id_order
+from ..operators.keys import category_code, dense_key, keep_first, numeric_id_order, stable_key
 
 Src = Mapping[str, DataFrame]
 
@@ -31,6 +31,16 @@ def item_positions(src: Src) -> DataFrame:
     return dense_key(items, order, "item_key")
 
 
+def payment_positions(src: Src) -> DataFrame:
+    """Every payment numbered by its type alone (a handful of values hold all
+    rows): per type its rows, the positions they take and the sum of their
+    positions, which shows each position taken once."""
+    keyed = stable_key(src["payments"].select("payment_type", "payment_value"), [F.col("payment_type").asc_nulls_last()], "position")
+    return keyed.groupBy("payment_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("position").alias("first_position"), F.max("position").alias("last_position"),
+        F.sum(F.col("position").cast("decimal(38,0)")).alias("position_sum"))
+
+
 def first_payment_per_order(src: Src) -> DataFrame:
     return keep_first(src["payments"], ["order_id"], ["payment_sequential"])
 

@@ -142,6 +142,7 @@ REGISTRY: dict[str, Job] = {
     # operator probes
     "category_code": _job(probes.payment_type_codes),
     "dense_key": _job(probes.item_positions),
+    "stable_key": _job(probes.payment_positions),
     "keep_first": _job(probes.first_payment_per_order),
     "title_case_city": _job(probes.title_case_cities),
     # corrected variants

@@ -1,9 +1,10 @@
 """Delimited-file sources: bulk CSV load, tab-delimited dump reload, tables.
 
 Schemas are always given (no inference). Line ends: LF and CRLF are both
-accepted; quoted fields may hold the separator and doubled quotes. Only tables
-with free text need ``multi_line`` (quoted line breaks): such a file is read by
-one task, all others are split. An empty unquoted field is NULL.
+accepted; quoted fields may hold the separator and doubled quotes. Tables with
+free text (quoted line breaks) are read with ``split_records`` (``quoted.py``),
+which splits their files like all others; ``multi_line`` is Spark's own reader,
+one task per file. An empty unquoted field is NULL.
 
 Ingest order (``src_pos``) is file path (as text), then the split's place in
 the file, then the row in the split.
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quoted import read_quoted_csv
 from .schemas import SOURCES, SRC_POS
 
 DUMP_NULL = "\\N"
@@ -28,6 +30,10 @@ def _position(row: Column) -> Column:
                     row.alias("row"))
 
 
+def _record_position() -> Column:
+    return F.struct("file", "block", "row").alias(SRC_POS)
+
+
 def _csv(spark: SparkSession, path: str, schema: T.StructType, header: bool, sep: str, multi_line: bool, mode: str):
     return (spark.read.schema(schema)
             .option("header", header).option("sep", sep)
@@ -38,13 +44,17 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType, header: bool, sep
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, sep: str = ",",
-             with_position: bool = False, multi_line: bool = False) -> DataFrame:
+             with_position: bool = False, multi_line: bool = False, split_records: bool = False) -> DataFrame:
     """Bulk load of a delimited file or folder into a typed frame (separator
     ``,``, enclosure ``"``, one header line).
 
     ``with_position`` adds ``src_pos``, the row's ingest order, which
-    positional keys and keep-first de-duplication use.
+    positional keys and keep-first de-duplication use. ``split_records`` reads
+    files with quoted line breaks by many tasks.
     """
+    if split_records:
+        df = read_quoted_csv(spark, path, schema, header, sep)
+        return df.select(*[f.name for f in schema.fields], *([_record_position()] if with_position else []))
     df = _csv(spark, path, schema, header, sep, multi_line, "FAILFAST")
     if with_position:
         df = df.select(*[f.name for f in schema.fields], _position(F.monotonically_increasing_id()).alias(SRC_POS))
@@ -114,7 +124,7 @@ def get_records(df: DataFrame):
 
 def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
                              sep: str = ",", with_position: bool = False,
-                             multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+                             multi_line: bool = False, split_records: bool = False) -> tuple[DataFrame, DataFrame]:
     """Bulk load that keeps going past bad rows: (typed good rows, quarantine).
 
     A row whose fields do not parse as the declared types (or has the wrong
@@ -123,8 +133,12 @@ def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructTyp
     """
     names = [f.name for f in schema.fields]
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = _csv(spark, path, full, header, sep, multi_line, "PERMISSIVE")
-    position = [_position(F.monotonically_increasing_id()).alias(SRC_POS)] if with_position else []
+    if split_records:
+        parsed = read_quoted_csv(spark, path, full, header, sep, "PERMISSIVE", CORRUPT)
+        position = [_record_position()] if with_position else []
+    else:
+        parsed = _csv(spark, path, full, header, sep, multi_line, "PERMISSIVE")
+        position = [_position(F.monotonically_increasing_id()).alias(SRC_POS)] if with_position else []
     parsed = parsed.select(*names, CORRUPT, *position)
     good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, parsed.where(F.col(CORRUPT).isNotNull()).select(*names, CORRUPT)
@@ -149,13 +163,13 @@ class CsvSources(Mapping):
 
     def _split(self, name: str) -> tuple[DataFrame, DataFrame]:
         return read_csv_with_quarantine(self.spark, f"{self.folder}/{self.file_names[name]}", SOURCES[name].schema,
-                                        with_position=name in self.POSITIONED, multi_line=name in self.FREE_TEXT)
+                                        with_position=name in self.POSITIONED, split_records=name in self.FREE_TEXT)
 
     def __getitem__(self, name: str) -> DataFrame:
         if self.quarantine:
             return self._split(name)[0]
         return read_csv(self.spark, f"{self.folder}/{self.file_names[name]}", SOURCES[name].schema,
-                        with_position=name in self.POSITIONED, multi_line=name in self.FREE_TEXT)
+                        with_position=name in self.POSITIONED, split_records=name in self.FREE_TEXT)
 
     def rejected(self, name: str) -> DataFrame:
         """The rows of a source's file that do not parse, with their raw text."""

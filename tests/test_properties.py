@@ -5,8 +5,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martwright.functions.cleaning import title_case, zfill
-from martwright.operators import dml
-from martwright.operators.keys import dense_key, keep_first, keep_first_with_position, rank_values
+from martwright.operators import dml, keys
+from martwright.operators.keys import dense_key, keep_first, keep_first_with_position, rank_values, stable_key
+from martwright.session import scratch_path
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -23,6 +24,28 @@ def test_dense_key_is_position_in_order(spark, data):
     assert got == {i: pos + 1 for pos, i in enumerate(ranked)}
 
 
+@SETTINGS
+@given(rows)
+def test_stable_key_is_a_stable_sort(spark, data):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "i int, g int, v int")
+    got = {r.i: r.k for r in stable_key(df, [F.col("v").desc_nulls_first()], "k", num_partitions=3).collect()}
+    ranked = sorted(range(len(data)), key=lambda i: (data[i][1] is not None, -(data[i][1] or 0), i))
+    assert got == {i: pos + 1 for pos, i in enumerate(ranked)}
+
+
+def test_stable_key_spreads_one_value(spark, monkeypatch):
+    """Nine of ten rows are identical: no range holds over three times the median."""
+    df = spark.range(0, 200_000, numPartitions=8).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(7).alias("v"))
+    made = {}
+    monkeypatch.setattr(keys, "scratch_path", lambda s, label: made.setdefault(label, scratch_path(s, label)))
+    keyed = stable_key(df, [F.col("v").asc()], "k", num_partitions=20)
+    ranges = spark.read.parquet(made["ordered"]).groupBy("_metadata.file_path").count()      # a file per range
+    sizes = sorted(r["count"] for r in ranges.collect())
+    assert len(sizes) == 20 and sizes[-1] < 3 * sizes[10]
+    assert keyed.agg(F.count_distinct("k"), F.min("k"), F.max("k")).first()[:] == (200_000, 1, 200_000)
+    assert keyed.where("v = 7").agg(F.max("k") - F.min("k") + 1, F.count("*")).first()[:] == (180_000, 180_000)
+
+
 @SETTINGS
 @given(rows)
 def test_keep_first_with_position_matches_brute_force(spark, data):
