@@ -6,11 +6,15 @@ index as levels of runs, each a table sorted by key with the number of documents
 the largest doc_id among them:
 
 * ``fresh(batch)`` merge-anti-joins a new batch with the runs: the lines nobody has had before;
-* ``add(batch)`` writes the batch's own run to level 0 (counts are combined before the shuffle);
+* ``add(batch)`` writes the batch's fresh keys as its own run to level 0, so a key is in one run only; what the
+  batch has of older keys goes to a second, smaller family of runs with the counts to be added;
 * compaction: ``fanout`` runs of a level are merged into one run of the next level, so a key is
   rewritten a logarithmic number of times;
 * ``merged()`` reads all levels as one table of keys.
 
+A run is a table bucketed and sorted by key, all with one number of buckets: anti-joins, compaction and ``merged``
+are merge joins of bucket with bucket and shuffle nothing. The only shuffles are the batches' own aggregations.
+
 Batches part documents, not lines (by a hash of doc_id), so counts of batches add up. Runs are written
 to the shared folder and never change; a lost executor only repeats tasks that read them.
 
@@ -81,49 +85,78 @@ def keyed_lines(docs: DataFrame, least_chars: int = 40, id_col: str = "doc_id",
 
 
 class LineRuns:
-    """The index: ``levels[i]`` holds the paths of the runs of level i."""
+    """The index: ``levels[i]`` holds the tables of the runs of level i, ``more[i]`` those of further counts.
 
-    def __init__(self, spark: SparkSession, fanout: int = 2) -> None:
-        self.spark, self.fanout, self.levels = spark, fanout, [[]]
+    ``buckets`` is the number of buckets of every run (the shuffle width unless given). ``close`` takes the tables
+    out of the catalog; their files lie in the scratch folder.
+    """
 
-    def _write(self, run: DataFrame, level: int) -> None:
-        path = scratch_path(self.spark, f"lines-level{level}")
-        (run.repartition(shuffle_width(self.spark), *KEY).sortWithinPartitions(*KEY)
-         .write.option("compression", "zstd").parquet(path))
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
+    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int | None = None) -> None:
+        self.spark, self.fanout, self.buckets = spark, fanout, buckets or shuffle_width(spark)
+        self.levels, self.more = [[]], [[]]
+        self._tables: list[str] = []
+
+    def _write(self, run: DataFrame) -> str:
+        path = scratch_path(self.spark, "line-run")
+        name = "mw_" + path.rsplit("/", 1)[1].replace("-", "_")
+        (run.write.format("parquet").bucketBy(self.buckets, *KEY).sortBy(*KEY)
+         .option("path", path).option("compression", "zstd").saveAsTable(name))
+        self._tables.append(name)
+        return name
+
+    def _put(self, levels: list[list[str]], run: str) -> None:
+        levels[0].append(run)
+        level = 0
+        while len(levels[level]) >= self.fanout:
+            tables, levels[level] = levels[level], []
+            if len(levels) == level + 1:
+                levels.append([])
+            levels[level + 1].append(self._write(_combined([self.spark.table(t) for t in tables])))
+            level += 1
 
     def runs(self) -> list[DataFrame]:
-        return [self.spark.read.parquet(p) for level in self.levels for p in level]
+        return [self.spark.table(t) for level in self.levels for t in level]
 
     def fresh(self, batch: DataFrame) -> DataFrame:
-        """Rows of ``h1, h2, doc_id`` whose key no run holds."""
+        """Rows of ``h1, h2, ...`` whose key no run holds."""
         for run in self.runs():
             batch = batch.join(run.select(*KEY), KEY, "left_anti")
         return batch
 
     def add(self, batch: DataFrame) -> None:
         """``h1, h2, doc_id`` of documents that were not added before."""
-        self._write(batch.dropDuplicates([*KEY, "doc_id"]).groupBy(*KEY)
-                    .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")), 0)
-        level = 0
-        while len(self.levels[level]) >= self.fanout:
-            paths, self.levels[level] = self.levels[level], []
-            self._write(_combined([self.spark.read.parquet(p) for p in paths]), level + 1)
-            level += 1
+        own = self._write(batch.dropDuplicates([*KEY, "doc_id"]).groupBy(*KEY)
+                          .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")))
+        if self.runs():
+            every = self.spark.table(own)
+            own = self._write(self.fresh(every))
+            self._put(self.more, self._write(every.join(self.spark.table(own).select(*KEY), KEY, "left_anti")))
+        self._put(self.levels, own)
 
     def merged(self) -> DataFrame:
         """``h1, h2, n_docs, last_doc`` over all levels."""
-        runs = self.runs()
-        return runs[0] if len(runs) == 1 else _combined(runs)
+        more = [self.spark.table(t) for level in self.more for t in level]
+        out = [_combined([run, *more], "left") for run in self.runs()]      # a key is in one run only
+        every = out[0]
+        for run in out[1:]:
+            every = every.unionByName(run)
+        return every
+
+    def close(self) -> None:
+        for name in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: the files stay
+        self._tables = []
 
 
-def _combined(runs: list[DataFrame]) -> DataFrame:
+def _combined(runs: list[DataFrame], how: str = "full_outer") -> DataFrame:
+    """Runs merged by key, bucket by bucket: counts added, the largest document kept."""
     every = runs[0]
     for r in runs[1:]:
-        every = every.unionByName(r)
-    return every.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+        other = r.select(*KEY, F.col("n_docs").alias("_n"), F.col("last_doc").alias("_last"))
+        every = every.join(other, KEY, how).select(
+            *KEY, (F.coalesce("n_docs", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n_docs"),
+            F.greatest("last_doc", "_last").alias("last_doc"))
+    return every
 
 
 def clean(spark: SparkSession, docs: DataFrame, least_chars: int = 40, least_docs: int = 5, batches: int = 4,
@@ -140,7 +173,10 @@ def clean(spark: SparkSession, docs: DataFrame, least_chars: int = 40, least_doc
     index = LineRuns(spark)
     for b in range(batches):
         index.add(lines.where(F.col("batch") == b))
-    common = index.merged().where(F.col("n_docs") >= least_docs).select(*KEY, "last_doc")
+    found = scratch_path(spark, "lines-common")
+    index.merged().where(F.col("n_docs") >= least_docs).select(*KEY, "last_doc").write.parquet(found)
+    index.close()
+    common = spark.read.schema("h1 long, h2 long, last_doc long").parquet(found)
     drop = (lines.join(common, KEY).where("doc_id <> last_doc").groupBy("doc_id")
             .agg(F.collect_set(F.struct(*KEY)).alias("_drop")))
 

@@ -72,6 +72,30 @@ def test_levels_compact_and_find_fresh_lines(session):
     assert got == {k: (2 * sum(b <= k < b + 3 for b in range(5)), 10 * min(4, k) + 1) for k in range(7)}
 
 
+def test_runs_meet_without_a_shuffle(session):
+    make = lambda ks: session.createDataFrame([(k, -k, d) for k in ks for d in (1, 2)], "h1 long, h2 long, doc_id long")
+    limit = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        index = line_runs.LineRuns(session, fanout=2, buckets=4)
+        for b in range(3):
+            index.add(make(range(10 * b, 10 * b + 15)))
+        own = session.table(index._write(make(range(40)).groupBy("h1", "h2").count()))
+        plans = {"anti-join": index.fresh(own), "merged": index.merged(),
+                 "compaction": line_runs._combined([session.table(t) for t in (index.levels[0] + index.levels[1])])}
+        for name, df in plans.items():
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan, name
+        assert {r.h1 for r in index.fresh(own).collect()} == set(range(35, 40))
+        got = {r.h1: r.n_docs for r in index.merged().collect()}
+        assert got == {k: 4 if k in {*range(10, 15), *range(20, 25)} else 2 for k in range(35)}
+        held = [r.h1 for run in index.runs() for r in run.collect()]
+        assert sorted(held) == list(range(35))                       # a key is in one run only
+        index.close()
+    finally:
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 # ---- suffixes
 
 def suffix_brute(rows, length):
