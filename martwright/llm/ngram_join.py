@@ -25,9 +25,9 @@ not counted: all of them rank last in "rare first", so their rows never meet in
 chooses the route, any list gives the same links. Joins on a hot key are split by the adaptive skew join.
 
 Defined results: null and empty texts, or texts without words, have ``n_shingles`` 0 and are their own
-component; texts under five words are one shingle; repeated rows of a doc_id count as one document
-(the union of their shingles is not taken: the rows are equal); a null doc_id is kept as a row of its own
-and takes no part.
+component; texts under five words are one shingle; repeated rows of a doc_id count as one document; of rows of
+one doc_id with different texts, the text with the smallest ``xxhash64`` is the document, and every row of the id gets
+that document's result; a null doc_id is kept as a row of its own and takes no part.
 """
 
 from __future__ import annotations
@@ -68,6 +68,19 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
 
 
+def _one_text(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with one text per doc_id, and the rows (``doc_id``) left out: those with another text than their id's."""
+    digest = F.xxhash64("text")
+    held = docs.where("doc_id IS NOT NULL").select("doc_id", digest.alias("h")).groupBy("doc_id").agg(
+        F.min("h").alias("least"), F.max("h").alias("most")).where("least <> most").select("doc_id", "least")
+    several = _stored(spark, held, "join-ids")
+    if several.isEmpty():
+        return docs, docs.select("doc_id").limit(0)
+    told = docs.join(several, "doc_id", "left")
+    other = F.col("least").isNotNull() & (digest != F.col("least"))
+    return told.where(~other).select("doc_id", "text"), told.where(other).select("doc_id")
+
+
 def _frequent(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> np.ndarray:
     """Prefix shingles in over a hundredth of the routing sample (sorted)."""
     total = docs.count()
@@ -313,7 +326,7 @@ def linked(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int =
            text_col: str = "text", whole: int = WHOLE) -> tuple[DataFrame, DataFrame]:
     """The rows of :func:`near_copies`, and all links between different texts: ``doc_id, partners`` of classes'
     smallest documents, each pair in one of its two documents' rows (the classes' members are ``class_id``)."""
-    docs = _docs(docs, id_col, text_col)
+    docs, others = _one_text(spark, _docs(docs, id_col, text_col))
     known = docs.where("doc_id IS NOT NULL")
 
     hot = _frequent(spark, known, words, percent)
@@ -347,7 +360,9 @@ def linked(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int =
     out = (every.select("doc_id", F.col("n").alias("n_shingles")).join(rep, "doc_id", "left")
            .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
                    F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    return out, links.where(F.size("partners") > 0).select("doc_id", "partners")
+    # further rows of an id: the result of its document
+    again = others.join(out.dropDuplicates(["doc_id"]), "doc_id")
+    return out.unionByName(again), links.where(F.size("partners") > 0).select("doc_id", "partners")
 
 
 def _groups(spark: SparkSession, keys: DataFrame) -> DataFrame:

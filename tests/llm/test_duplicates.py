@@ -245,6 +245,23 @@ def test_join_without_hot_list_is_the_same(session, frame, monkeypatch):
     assert a == sorted(map(tuple, ngram_join.near_copies(session, frame(rows)).collect()))
 
 
+def test_join_of_one_id_with_two_texts(session, frame):
+    """One text stands for the id, whatever the order and partitions of the rows; every row has its result."""
+    rows = join_rows(4)
+    rows += [(3, "quite another text of this very id"), (3, "a third"), (900, "lonely words"), (900, None), (900, "lonely words")]
+    h = {t: x for t, x in frame(rows).selectExpr("text", "xxhash64(text)").collect()}
+    text = {}
+    for d, t in rows:
+        if d is not None and (d not in text or h[t] < h[text[d]]):
+            text[d] = t
+    want = join_brute(list(text.items()))
+    for seed, parts in ((1, 2), (2, 7)):
+        random.Random(seed).shuffle(rows)
+        got = ngram_join.near_copies(session, frame(rows).repartition(parts)).where("doc_id IS NOT NULL").collect()
+        assert sorted(r.doc_id for r in got) == sorted(d for d, _ in rows if d is not None)
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(d, n, c) for d, (n, c) in want.items()}
+
+
 def test_join_of_nothing_and_null_ids(session, frame):
     assert ngram_join.near_copies(session, frame([])).count() == 0
     out = ngram_join.near_copies(session, frame([(None, "a b c d e f"), (3, "a b c d e f")])).collect()
