@@ -283,6 +283,24 @@ def _counts(present: bool) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _order_counts() -> str:
+    day, product = "o_fact_orders", "o_fact_orders f JOIN o_dim_products p ON f.product_key = p.product_id"
+    place = "o_fact_orders f JOIN o_dim_geolocation g ON CAST(f.geolocation_key AS VARCHAR) = CAST(g.geolocation_zip_code_prefix AS VARCHAR)"
+    levels = [
+        ("date", "day", "CAST(order_date_key AS VARCHAR)", day, "order_date_key"),
+        ("date", "month", "strftime(order_date_key, '%Y-%m')", day, "strftime(order_date_key, '%Y-%m')"),
+        ("date", "all", "'all'", day, None),
+        ("product", "product", "f.product_key", product, "f.product_key"),
+        ("product", "category", "product_category_name_english", product, "product_category_name_english"),
+        ("product", "all", "'all'", product, None),
+        ("place", "city", "concat_ws(', ', geolocation_city, geolocation_state)", place, "geolocation_city, geolocation_state"),
+        ("place", "state", "geolocation_state", place, "geolocation_state"),
+        ("place", "all", "'all'", place, None)]
+    return "\nUNION ALL ".join(
+        f"SELECT '{d}' AS dimension, '{n}' AS level, {name} AS group_name, COUNT(DISTINCT order_id) AS order_count FROM {rows}"
+        + (f" GROUP BY {by}" if by else "") for d, n, name, rows, by in levels)
+
+
 def _foreign_keys() -> str:
     parts = []
     for ct, cc, pt, pc in FOREIGN_KEYS:
@@ -360,6 +378,7 @@ def _queries() -> dict[str, str]:
         "SELECT CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue_all_days FROM o_mart_sales_daily")
     q["report_total_orders_all_days"] = (
         "SELECT CAST(SUM(order_count) AS BIGINT) AS total_orders_all_days FROM o_mart_sales_daily")
+    q["report_order_counts"] = _order_counts()
     moved = ("FROM customer JOIN place ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'")
     q["upsert_by_key"] = (
         "SELECT * FROM s_customers c WHERE NOT EXISTS (SELECT 1 FROM o_latest l WHERE l.customer_id = c.customer_id) "

@@ -23,7 +23,7 @@ from ..operators import publish, quality
 from ..operators.dml import replace_bucketed_table, replace_table, table_exists
 from ..session import scratch_scope, shuffle_width
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
-from . import dims, facts, marts, reports
+from . import dims, facts, marts, order_sets, reports
 
 LAYER_OF = {t: layer for layer, ts in MANIFEST.items() for t in ts}
 
@@ -164,21 +164,29 @@ def build_warehouse(spark: SparkSession, root: str, run_date: _dt.date | str | N
 
 def write_marts(spark: SparkSession, root: str, warehouse: Mapping[str, DataFrame], parallelism: int = 3) -> dict[str, str]:
     """The three marts from a written warehouse, in folders that are not published yet. The fact's
-    per-order rollup is written once (the daily and city marts and the reports read it)."""
-    fact = warehouse["fact_orders"]
+    per-order rollup is written once (the daily and city marts and the reports read it), and so are the orders'
+    numbers, which the sets of orders stored with the marts (``order_sets``) read."""
+    fact, geo = warehouse["fact_orders"], warehouse["dim_geolocation"]
     folder = _write_new(facts.rollup_of(fact), root, ROLLUP)
     rollup = spark.read.parquet(f"{root.rstrip('/')}/{folder}")
+    numbered = _write_new(order_sets.order_numbers(rollup), root, order_sets.ORDER_NUMBERS)
+    numbers = spark.read.parquet(f"{root.rstrip('/')}/{numbered}")
     jobs = {
         "mart_sales_daily": lambda: marts.mart_sales_daily_from_rollup(rollup),
         "mart_product_performance": lambda: marts.mart_product_performance_from_fact(fact, warehouse["dim_products"]),
-        "mart_city_revenue": lambda: marts.mart_city_revenue_from_rollup(rollup, warehouse["dim_geolocation"]),
+        "mart_city_revenue": lambda: marts.mart_city_revenue_from_rollup(rollup, geo),
+        order_sets.ORDERS_OF_DAY: lambda: order_sets.orders_of_day(rollup, numbers),
+        order_sets.ORDERS_OF_PRODUCT: lambda: order_sets.orders_of_product(fact, numbers),
+        order_sets.ORDERS_OF_CITY: lambda: order_sets.orders_of_city(rollup, numbers, geo),
     }
     # rows clustered inside each file by the mart's key, so parquet min/max
     # statistics prune date / product / city lookups
     cluster = {"mart_sales_daily": ["order_date"], "mart_product_performance": ["product_id"],
-               "mart_city_revenue": ["geolocation_state", "geolocation_city"]}
+               "mart_city_revenue": ["geolocation_state", "geolocation_city"],
+               order_sets.ORDERS_OF_DAY: ["order_date_key", "word"], order_sets.ORDERS_OF_PRODUCT: ["product_key", "word"],
+               order_sets.ORDERS_OF_CITY: ["geolocation_state", "geolocation_city", "word"]}
     sorted_ = {n: (lambda n=n: jobs[n]().sortWithinPartitions(*cluster[n])) for n in jobs}
-    return {ROLLUP: folder, **_all_written(root, sorted_, parallelism, {})}
+    return {ROLLUP: folder, order_sets.ORDER_NUMBERS: numbered, **_all_written(root, sorted_, parallelism, {})}
 
 
 def publish_marts(spark: SparkSession, root: str, parallelism: int = 3) -> None:
@@ -266,6 +274,11 @@ def reports_from_warehouse(spark: SparkSession, root: str) -> dict[str, DataFram
     }
 
 
+def order_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct orders at every level of date, product and place, from the published sets of orders."""
+    return order_sets.order_counts(publish.Snapshot(spark, root))
+
+
 def present_tables(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFrame]:
     """{(layer, table): frame} for every manifest table found under ``root``."""
     out = {}

@@ -66,6 +66,10 @@ def _check(name: str) -> Job:
     return run
 
 
+def _order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.order_counts(spark, built_warehouse(spark, sf_dir))
+
+
 def _fk(s: Sources) -> DataFrame:
     specs = [(t, c, pt, pc) for t, spec in SOURCES.items() for c, pt, pc in spec.foreign_keys]
     return quality.foreign_keys(s.as_dict(), specs)
@@ -123,6 +127,7 @@ REGISTRY: dict[str, Job] = {
     "report_top20_cities": _job(lambda s: reports.report_top20_cities(marts.mart_city_revenue(s))),
     "report_total_revenue_all_days": _job(lambda s: reports.report_total_revenue_all_days(marts.mart_sales_daily(s))),
     "report_total_orders_all_days": _job(lambda s: reports.report_total_orders_all_days(marts.mart_sales_daily(s))),
+    "report_order_counts": _order_counts,
     # row maintenance and files
     "upsert_by_key": _spark_job(maintenance.upsert_customers),
     "delete_by_keys": _spark_job(maintenance.delete_orders),
