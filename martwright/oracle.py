@@ -301,6 +301,22 @@ def _order_counts() -> str:
         + (f" GROUP BY {by}" if by else "") for d, n, name, rows, by in levels)
 
 
+def _lookups() -> str:
+    def top(c: str) -> str:
+        return (f"(SELECT {c} FROM (SELECT {c}, COUNT(*) AS n FROM o_fact_orders WHERE {c} IS NOT NULL GROUP BY {c}) "
+                f"ORDER BY n DESC, {c} LIMIT 1)")
+
+    def measured(name: str, value: str, condition: str) -> str:
+        return (f"SELECT '{name}' AS lookup, {value} AS value, COUNT(*) AS n_rows, COUNT(DISTINCT order_id) AS n_orders, "
+                f"CAST(SUM({money('total_amount')}) AS DECIMAL(38,2)) AS revenue FROM o_fact_orders WHERE {condition}")
+
+    day, product = top("order_date_key"), top("product_key")
+    return "\nUNION ALL ".join(
+        [measured(c, f"CAST({top(c)} AS VARCHAR)", f"{c} = {top(c)}") for c in ("order_date_key", "product_key", "customer_key")]
+        + [measured("product_key, order_date_key", f"CAST({product} AS VARCHAR) || ', ' || CAST({day} AS VARCHAR)",
+                    f"product_key = {product} AND order_date_key BETWEEN {day} - 180 AND {day} + 180")])
+
+
 def _foreign_keys() -> str:
     parts = []
     for ct, cc, pt, pc in FOREIGN_KEYS:
@@ -355,6 +371,7 @@ def _queries() -> dict[str, str]:
     for d in ["dim_customers", "dim_products", "dim_sellers", "dim_geolocation", "dim_payments", "dim_dates"]:
         q[d] = f"SELECT * FROM o_{d}"
     q["fact_orders"] = f"SELECT {FACT_COLS} FROM o_fact_orders"
+    q["fact_lookups"] = _lookups()
     q["mart_sales_daily"] = "SELECT * FROM o_mart_sales_daily"
     q["mart_product_performance"] = "SELECT * FROM o_mart_product_performance"
     q["mart_city_revenue"] = "SELECT * FROM o_mart_city_revenue"
@@ -413,6 +430,20 @@ o_latest AS (
     q["dq_foreign_keys"] = _foreign_keys()
     q["dq_primary_keys"] = _primary_keys()
     q["dq_lengths"] = _lengths()
+    q["dq_loads"] = (
+        """SELECT load, 'orders.order_id' AS check_name, CAST(SUM(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_null_keys,
+       COUNT(*) FILTER (WHERE n > 1) AS n_duplicate_keys, COUNT(*) FILTER (WHERE first_load < load) AS n_known_keys, CAST(0 AS BIGINT) AS n_dangling
+FROM (SELECT load, order_id, COUNT(*) AS n, MIN(MIN(load)) OVER (PARTITION BY order_id) AS first_load FROM o_arrivals GROUP BY load, order_id)
+GROUP BY load
+UNION ALL
+SELECT i.load, 'order_items.order_id', COUNT(i.order_id), 0, 0, 0, COUNT(i.order_id) FILTER (WHERE a.first_load IS NULL OR a.first_load > i.load)
+FROM (SELECT order_id, CAST(year(shipping_limit_date) // 2 AS INTEGER) AS load FROM s_order_items) i
+LEFT JOIN (SELECT order_id, MIN(load) AS first_load FROM o_arrivals GROUP BY order_id) a ON i.order_id = a.order_id
+GROUP BY i.load""", """o_arrivals AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+         CAST(year(o_orderdate) // 2 + CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END AS INTEGER) AS load FROM orders
+  UNION ALL
+  SELECT CAST(o_orderkey AS VARCHAR), CAST(year(o_orderdate) // 2 + 1 AS INTEGER) FROM orders WHERE o_orderpriority = '1-URGENT')""")
     q["category_code"] = (
         "SELECT order_id, payment_sequential, payment_type, CAST(CASE WHEN payment_type IS NULL THEN 0 "
         "ELSE dense_rank() OVER (ORDER BY payment_type NULLS LAST) END AS INTEGER) AS payment_code FROM s_payments")

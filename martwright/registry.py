@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .oracle import RUN_DATE
 from .operators import quality
-from .plans import dims, facts, maintenance, marts, pipeline, probes, reports
+from .plans import dims, facts, loads, lookups, maintenance, marts, pipeline, probes, reports
 from .session import configure, scratch_path
 from .sources.fixtures import Sources
 from .sources.schemas import MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
@@ -113,6 +113,7 @@ REGISTRY: dict[str, Job] = {
     "dim_payments": _job(dims.dim_payments),
     # fact
     "fact_orders": _job(facts.fact_orders),
+    "fact_lookups": _spark_job(lookups.busiest_lookups),
     # marts
     "mart_sales_daily": _job(marts.mart_sales_daily),
     "mart_product_performance": _job(marts.mart_product_performance),
@@ -144,6 +145,7 @@ REGISTRY: dict[str, Job] = {
     "dq_foreign_keys": _job(_fk),
     "dq_primary_keys": _job(_pk),
     "dq_lengths": _job(_lengths),
+    "dq_loads": _spark_job(loads.load_checks),
     # operator probes
     "category_code": _job(probes.payment_type_codes),
     "dense_key": _job(probes.item_positions),
