@@ -11,8 +11,10 @@ similarity, so the search works on containment:
   it; of a document only the hashes up to the threshold (its MinHash sketch at that level) are looked up;
 * candidates are verified on the words themselves: the exact shingles of item and document, no hashes.
 
-Documents are never shuffled or joined: items go to the tasks in blocks of at most ``block_shingles`` shingles (a
-proven size), one scan of the documents per block, so any number of items works.
+Documents are never shuffled or joined: items go to the tasks in blocks of about ``block_shingles`` shingles, one scan
+of the documents per block. The items are written once with their block number (by hash, as many blocks as their counted words
+ask for); then block after block is read, indexed, searched and its finds written, so the driver holds one block
+and the plan one scan, however many items there are.
 
 Defined results: null or empty texts and items contain nothing and are contained nowhere; repeated rows of a
 document or item count once (one row per doc_id and item_id); null ids take no part.
@@ -21,13 +23,14 @@ document or item count once (one row per doc_id and item_id); null ids take no p
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .blocks import dealt
 from .flat import column, lowered, ngrams, pieces, words
 
 BLOCK_SHINGLES = 1 << 21
@@ -121,17 +124,16 @@ def contained(spark: SparkSession, docs: DataFrame, items: DataFrame, words_: in
 
         return docs.mapInArrow(run, schema)
 
-    found, block, size = [], [], 0
-    for item_id, text in (items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-                          .distinct().toLocalIterator()):
-        block.append((item_id, text))
-        size += text.count(" ") + text.count("\n") + 1
-        if size >= block_shingles:
-            found.append(scan(ItemIndex(block, words_, percent)))
-            block, size = [], 0
-    if block or not found:
-        found.append(scan(ItemIndex(block, words_, percent)))
-    return reduce(DataFrame.unionByName, found).dropDuplicates(["doc_id", "item_id"])
+    some = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    of_block, blocks = dealt(some, "item_id", F.sum(F.size(F.split("text", r"[\x20\n]"))), block_shingles, "items")
+    out = scratch_path(spark, "contained")
+    for b in blocks:
+        # one block: bounded by block_shingles, released before the next
+        index = ItemIndex([(r.item_id, r.text) for r in of_block(b).collect()], words_, percent)
+        scan(index).write.mode("append").parquet(out)
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out).dropDuplicates(["doc_id", "item_id"])
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ vectors not met yet. It stops when that bound is below the query's k-th score so
 blocks of the task count, so later blocks stop sooner. A bound equal to the k-th score goes on, as ties
 go to the smaller id.
 
-Queries are a stated set met with all rows in blocks of at most ``query_block`` vectors (a proven broadcast
-size); every block is one scan of the candidates. Each task returns k rows per query, the final ranking
-sees those only.
+Queries are a stated set met with all rows in blocks of about ``query_block`` vectors; every block is one scan of the
+candidates. Candidates and queries are written once, the queries with a block number; then block after block is read,
+searched and its answers written, so the driver holds one block and the plan one scan, however many queries there are. Each
+task returns k rows per query, the ranking sees those only.
 
 Defined results: a null vector, or one that holds a null or non-finite component, takes no part; vectors
 meet vectors of the same length only; equal (id, vector) rows count once; a query's own id is no candidate;
@@ -20,13 +21,15 @@ null ids take no part; fewer than k candidates: all of them; a score beyond 64 b
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .blocks import dealt
+
 BLOCK = 4096
 QUERY_BLOCK = 4096
 FIRST_DEPTH = 8
@@ -115,8 +118,9 @@ def _matrix(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def top_k(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
           query_block: int = QUERY_BLOCK, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` for the queries: rows whose id is divisible by ``every``."""
-    rows = quantised(vectors, scale, id_col, vec_col).distinct()
-    queries = rows.where(F.col("id") % every == 0)
+    path, plain = scratch_path(spark, "quantised"), quantised(vectors, scale, id_col, vec_col).distinct()
+    plain.write.parquet(path)                              # every block of queries scans them
+    rows = spark.read.schema(plain.schema).parquet(path)
 
     def block(q_ids: list[int], q_rows: list[list[int]]) -> DataFrame:
         asked: dict[int, list[tuple[int, np.ndarray]]] = {}
@@ -144,18 +148,17 @@ def top_k(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 100
 
         return rows.mapInArrow(run, "query_id long, vec_id long, score long")
 
-    found, q_ids, q_rows = [], [], []
-    for r in queries.toLocalIterator():
-        q_ids.append(r[0])
-        q_rows.append(list(r[1]))
-        if len(q_ids) == query_block:
-            found.append(block(q_ids, q_rows))
-            q_ids, q_rows = [], []
-    if q_ids or not found:
-        found.append(block(q_ids, q_rows))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    of_block, blocks = dealt(rows.where(F.col("id") % every == 0), "id", F.count(F.lit(1)), query_block, "queries")
+    schema = "query_id long, rank int, vec_id long, score long"
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    order, out = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"), scratch_path(spark, "nearest")
+    for b in blocks:
+        # one block: bounded by query_block, released before the next
+        asked = of_block(b).collect()
+        found = block([r[0] for r in asked], [r[1] for r in asked]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        found.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(out)
+    return spark.read.schema(schema).parquet(out)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

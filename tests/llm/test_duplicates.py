@@ -5,8 +5,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from martwright.llm import containment, graph, line_runs, ngram_join, suffix_levels
+import corpus_pipeline
+from martwright.llm import blocks, containment, graph, line_runs, ngram_join, suffix_levels
 
 
 def vocabulary(rnd, n=400):
@@ -322,6 +324,27 @@ def test_containment_equals_brute_force(session, frame):
     assert containment.contained(session, frame(docs), frame_items.limit(0)).count() == 0
 
 
+def test_rows_are_dealt_into_blocks(session):
+    rows = session.range(1000).selectExpr("id AS k", "id % 7 AS v").unionByName(session.createDataFrame([(5, 99)], "k long, v long"))
+    of_block, found = blocks.dealt(rows, "k", F.count(F.lit(1)), 100, "t-blocks")
+    parts = [sorted(map(tuple, of_block(b).collect())) for b in found]
+    assert len(parts) == 11 and max(map(len, parts)) < 200 and sorted(sum(parts, [])) == sorted(map(tuple, rows.collect()))
+    assert [sum(k == 5 for k, _ in p) for p in parts if any(k == 5 for k, _ in p)] == [2]      # a key stays together
+    assert blocks.dealt(rows.limit(0), "k", F.count(F.lit(1)), 100, "t-blocks")[1] == []
+
+
+def test_contaminated_rows_without_an_id_go(session, tmp_path):
+    item, clean = " ".join(f"w{i}" for i in range(30)), " ".join(f"c{i}" for i in range(50))
+    session.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, clean + " " + item), (None, clean), (None, None), (None, ""), (None, clean), (1, item), (2, clean), (3, clean), (3, item), (4, None)]
+    docs = session.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, item_id string")
+    out = corpus_pipeline.drop_contaminated(session, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    # both rows of document 3 go together
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [(None, clean), (None, None), (None, ""), (None, clean), (2, clean), (4, None)]))
+    assert corpus_pipeline.drop_contaminated(session, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def test_queries(session, tmp_path):
     rows = suffix_rows(8)
     session.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
