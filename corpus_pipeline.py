@@ -2,8 +2,8 @@
 
 Every stage works on all rows its predecessor kept, written as Parquet and read again. Toxicity, line dedup,
 n-gram join and decontamination return the columns of ``documents`` (others pass through); the last stage
-returns token ids and the text they decode to. Null texts stay null until then; a null doc_id is kept by the
-stages that compare documents. Rows that repeat a doc_id are one document and stay or go together.
+returns token ids and the text they decode to. Null texts stay null until then; rows without a doc_id are
+kept by line dedup and the n-gram join, which compare documents, and judged on their own text by the other stages. Rows that repeat a doc_id are one document and stay or go together.
 """
 
 from __future__ import annotations
@@ -37,9 +37,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
-    found = containment.contained(ship(spark), docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents that contain a benchmark item go; those without a doc_id are told by their text."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = containment.contained(ship(spark), docs, items).select("doc_id").distinct()
+    by_text = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    nameless = docs.where("doc_id IS NULL").select(by_text.alias("doc_id"), "text")
+    texts = containment.contained(spark, nameless, items).select(F.col("doc_id").alias("_mw_text")).distinct()
+    left = docs.join(found, "doc_id", "left_anti").withColumn("_mw_text", by_text)
+    return left.join(texts, "_mw_text", "left_anti").select(docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
