@@ -71,14 +71,14 @@ class PieceCodec:
         self.cut = self._cut()
 
     def _hash(self, pairs: dict[int, tuple[int, int]]) -> None:
-        """Open-addressing table of the pairs: key, rank, result; ``probes`` is its longest search."""
+        """Open-addressing table of the pairs: key, rank, result."""
         self.shift = np.uint64(64 - max(4, (8 * len(pairs)).bit_length()))
         size = 1 << int(np.uint64(64) - self.shift)
         self.slot_key = np.full(size, -1, np.int64)
         self.slot_rank = np.full(size, self.none, np.int64)
         self.slot_to = np.full(size, -1, np.int64)
         keys = np.array(list(pairs), np.int64).reshape(-1)
-        at, left, self.probes = self._slot(keys), np.arange(len(keys)), 0
+        at, left = self._slot(keys), np.arange(len(keys))
         while len(left):
             free = self.slot_key[at[left]] < 0
             spot, who = np.unique(at[left[free]], return_index=True)
@@ -86,7 +86,6 @@ class PieceCodec:
             self.slot_key[spot] = keys[put]
             left = np.setdiff1d(left, put)
             at[left] = (at[left] + 1) & (size - 1)
-            self.probes += 1
         for key, (rank, to) in pairs.items():
             at1 = int(self._find(np.array([key], np.int64))[0])
             self.slot_rank[at1], self.slot_to[at1] = rank, to
@@ -98,9 +97,7 @@ class PieceCodec:
         """Slot of each key; of an unknown key a slot without a pair."""
         at = self._slot(key)
         open_ = np.flatnonzero((self.slot_key[at] != key) & (self.slot_key[at] >= 0))
-        for _ in range(self.probes):
-            if len(open_) == 0:
-                break
+        while len(open_):                                          # an unknown key goes on to a free slot: one is always left
             at[open_] = (at[open_] + 1) & (len(self.slot_key) - 1)
             k = self.slot_key[at[open_]]
             open_ = open_[(k != key[open_]) & (k >= 0)]

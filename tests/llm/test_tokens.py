@@ -33,6 +33,19 @@ def test_pieces_equal_library(library):
     assert [codec.decode(x) for x in ids] == [library.decode(w) for w in want]
 
 
+def test_pairs_of_pieces_that_are_no_piece(library):
+    """Their search in the pair table must end at a free slot, however long the run of taken ones."""
+    codec = piece_codec.PieceCodec.load(piece_codec.default_model())
+    ids = np.array(sorted(codec.id_of.values()), np.int64)
+    rnd = np.random.default_rng(7)
+    keys = rnd.choice(ids, 500_000) << 32 | rnd.choice(ids, 500_000)
+    slots = codec._find(keys)
+    assert ((codec.slot_key[slots] == keys) | (codec.slot_key[slots] < 0)).all()
+    docs = ["satisfiedottiNODE", "▁Boysprojects", "photographuela Boysprojects Nov"]
+    want = library.encode(docs, add_bos=True, add_eos=True, num_threads=1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(docs, {})] == want
+
+
 def test_pieces_memory_is_dropped(monkeypatch):
     monkeypatch.setattr(piece_codec, "REMEMBER", 3)
     codec, memory = piece_codec.PieceCodec.load(piece_codec.default_model()), {}
