@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .blocks import dealt
-from .flat import column, lowered, ngrams, pieces, words
+from .flat import column, lowered, ngrams, pieces, tidy, words
 
 BLOCK_SHINGLES = 1 << 21
+#: Bytes of text searched at once; a pass takes some 20 times as much memory.
+SMALL = 1 << 18
 
 
 def _tokens(text: str) -> list[bytes]:
@@ -104,6 +106,19 @@ class ItemIndex:
                 yield self.ids[i], shared, len(self.exact[i])
 
 
+def _search(index: ItemIndex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tidy()
+    for batch in batches:
+        ids, rows = batch.column(0).to_pylist(), []
+        for a, _, data, off in pieces(column(batch, "text"), SMALL):
+            pairs = index.candidates(*words(data, off))
+            for d in np.unique(pairs[:, 0]).tolist():
+                items_ = pairs[pairs[:, 0] == d, 1].tolist()
+                rows += [(ids[a + d], *x) for x in index.verify(data[off[d]:off[d + 1]].tobytes(), items_)]
+        cols = list(zip(*rows, strict=True)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "shared", "size"])
+
+
 def contained(spark: SparkSession, docs: DataFrame, items: DataFrame, words_: int = 5, percent: int = 75,
               block_shingles: int = BLOCK_SHINGLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, shared, size``: the items that a document contains."""
@@ -111,18 +126,7 @@ def contained(spark: SparkSession, docs: DataFrame, items: DataFrame, words_: in
     schema = "doc_id long, item_id long, shared long, size long"
 
     def scan(index: ItemIndex) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, rows = batch.column(0).to_pylist(), []
-                for a, _, data, off in pieces(column(batch, "text")):
-                    pairs = index.candidates(*words(data, off))
-                    for d in np.unique(pairs[:, 0]).tolist():
-                        items_ = pairs[pairs[:, 0] == d, 1].tolist()
-                        rows += [(ids[a + d], *x) for x in index.verify(data[off[d]:off[d + 1]].tobytes(), items_)]
-                cols = list(zip(*rows, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "shared", "size"])
-
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(lambda batches: _search(index, batches), schema)
 
     some = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     of_block, blocks = dealt(some, "item_id", F.sum(F.size(F.split("text", r"[\x20\n]"))), block_shingles, "items")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from martwright.session import scratch_path, shuffle_width
 
-from .flat import _IS_SPACE, column, lowered, pieces
+from .flat import _IS_SPACE, column, lowered, pieces, tidy
 
 KEY = ["h1", "h2"]
 
@@ -70,6 +70,7 @@ def keyed_lines(docs: DataFrame, least_chars: int = 40, id_col: str = "doc_id",
     """``h1, h2, doc_id``: the distinct keys of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, _, data, off in pieces(column(batch, "text")):
@@ -188,6 +189,7 @@ def clean(spark: SparkSession, docs: DataFrame, least_chars: int = 40, least_doc
     place, spot = schema.fieldNames().index(text_col), len(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             text = batch.column(place)
             text = text.fill_null("") if text.null_count else text

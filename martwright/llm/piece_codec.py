@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .flat import column
+from .flat import column, tidy
 
 MARK = "▁"
 #: Distinct words whose ids a task remembers before it starts afresh.
@@ -225,6 +225,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """``doc_id, ids`` (binary, little-endian unsigned 32-bit, with begin and end ids) of whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         codec, memory = PieceCodec.load(model), {}
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -239,6 +240,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``doc_id, n_tokens, ids, text``: the texts that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         codec = PieceCodec.load(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -353,3 +353,21 @@ def test_queries(session, tmp_path):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, gone, runs, hashlib.sha256(kept).hexdigest())
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.op9(session, str(tmp_path)).collect()}
     assert got == join_brute(rows)
+
+
+def test_containment_searches_small_pieces():
+    """What a search holds follows a piece, not the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+    item = "alpha beta gamma delta epsilon zeta eta"
+    texts = [" ".join(f"w{i * 700 + k}" for k in range(700)) + (f" {item}" if i % 7 == 0 else "") for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    index = containment.ItemIndex([(5, item)], 5, 75)
+    list(containment._search(index, iter([batch.slice(0, 10)])))           # tables that stay
+    tracemalloc.start()
+    found = [r["doc_id"] for b in containment._search(index, iter([batch])) for r in b.to_pylist()]
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == list(range(0, 1000, 7))
+    assert batch.nbytes > 4 << 20 and most < 24 << 20, most
