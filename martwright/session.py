@@ -11,10 +11,10 @@ import os
 import tempfile
 import uuid
 import warnings
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on for correct answers (not tuning knobs).
 REQUIRED_CONF = {
@@ -117,5 +117,24 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+#: Bytes of a source's files that one shuffle partition stands for (some ten times as much once decoded).
+SHUFFLE_BYTES = 16 * 1024 * 1024
+MAX_SHUFFLE_WIDTH = 10_000
+
+
+@contextmanager
+def width_for(spark: SparkSession, tables: Iterable[DataFrame]) -> Iterator[int]:
+    """At least the session's shuffle width, and more where ``tables`` are larger, so that what a task sorts or
+    hashes does not grow with the input. Adaptive execution merges partitions that turn out small."""
+    sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
+    before = shuffle_width(spark)
+    width = max(before, min(MAX_SHUFFLE_WIDTH, -(-sum(sizes) // SHUFFLE_BYTES)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        yield width
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
 def default_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"

@@ -33,7 +33,7 @@ from ..operators.dml import (in_partitions, overwrite_partitions, replace_table,
                              upsert_partitions)
 from ..plans import marts
 from ..plans.pipeline import StagedSources, table_path
-from ..session import scratch_path, shuffle_width
+from ..session import scratch_path, shuffle_width, width_for
 from ..sources.schemas import SOURCES
 from . import order_state
 
@@ -155,6 +155,11 @@ def start_detail_stream(spark: SparkSession, root: str, name: str, inbox: str, c
 def incremental_sales_daily(spark: SparkSession, src) -> DataFrame:
     """Older orders with their items and payments as the first load, the recent ones through one stream of
     deltas (``order_state``); the result must equal a full rebuild."""
+    with width_for(spark, [src[name] for name in ("orders", *MART_INPUTS)]):
+        return _by_deltas(spark, src)
+
+
+def _by_deltas(spark: SparkSession, src) -> DataFrame:
     root = scratch_path(spark, "incremental")
     orders = src["orders"]
     last_day: _dt.date = orders.agg(F.max("order_purchase_timestamp")).first()[0]

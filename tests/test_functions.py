@@ -4,6 +4,7 @@ import datetime as dt
 import math
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from martwright.functions import cleaning as C
@@ -159,3 +160,16 @@ def test_rank_values_many(spark):
     vals = spark.range(3000).selectExpr("concat('v', id) AS v")
     got = {r.v: r.k for r in rank_values(vals, "v", "k").collect()}
     assert got == {v: i + 1 for i, v in enumerate(sorted(got))} and len(got) == 3000
+
+
+def test_shuffle_width_follows_the_input(spark, monkeypatch):
+    from martwright import session
+
+    table, before = spark.range(10_000), session.shuffle_width(spark)
+    with session.width_for(spark, [table]) as small:
+        assert small == before == session.shuffle_width(spark)
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+    with pytest.raises(KeyError), session.width_for(spark, [table, table]) as wide:
+        assert wide == session.shuffle_width(spark) == 160
+        raise KeyError
+    assert session.shuffle_width(spark) == before
