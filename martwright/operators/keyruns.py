@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import publish
 
-#: Filter bits per key and bits set per key (about one key in 200 passes wrongly).
-BLOOM_BITS, BLOOM_HASHES = 12, 6
+#: Filter bits per key and bits set per key, all of a key in one 64-bit word (about one key in 60 passes wrongly).
+BLOOM_BITS, BLOOM_HASHES = 12, 5
 FAN = 4
 BUCKET, RUN, COUNT = "_mw_bucket", "_mw_run", "_mw_n"
 
@@ -62,9 +62,12 @@ class KeyRuns:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.state["buckets"])).cast("int").alias(BUCKET)
 
-    def _places(self, bits: Column) -> Column:
-        """Bit numbers of a key in a filter of ``bits`` bits."""
-        return F.array(*[F.pmod(F.xxhash64(F.lit(salt), *[F.col(k) for k in self.keys]), bits) for salt in range(BLOOM_HASHES)])
+    def _place(self, bits: Column) -> tuple[Column, Column]:
+        """Word of a key in a filter of ``bits`` bits, and its bits there: all in one word, so a key asks a filter with one row."""
+        word = F.pmod(F.xxhash64(F.lit(0), *[F.col(k) for k in self.keys]), F.greatest(F.floor(bits / 64), F.lit(1)).cast("long"))
+        mask = "xxhash64(1, " + ", ".join(f"`{k}`" for k in self.keys) + ")"
+        each = " | ".join(f"shiftleft(1L, CAST(shiftright({mask}, {6 * i}) & 63 AS INT))" for i in range(BLOOM_HASHES))
+        return word.alias("word"), F.expr(each).alias("_mw_mask")
 
     def _filter_bits(self, n: int) -> int:
         return max(64, BLOOM_BITS * -(-n // self.state["buckets"]))
@@ -82,11 +85,10 @@ class KeyRuns:
             return asked.select(*keys, COUNT, F.lit(False).alias("known"))
         listed = F.array(*[F.struct(F.lit(r["run"]).alias(RUN), F.lit(r["bits"]).cast("long").alias("_mw_bits")) for r in runs])
         ask = asked.select(*keys, BUCKET, F.explode(listed).alias("_mw_r")).select(*keys, BUCKET, "_mw_r.*")
-        ask = ask.select(*keys, BUCKET, RUN, F.explode(self._places(F.col("_mw_bits"))).alias("_mw_b")).withColumn("word", F.floor(F.col("_mw_b") / 64))
+        ask = ask.select(*keys, BUCKET, RUN, *self._place(F.col("_mw_bits")))
         filters = (spark.read.option("basePath", f"{self.root}/_data").schema(f"word long, bits long, {BUCKET} int, bloom string")
                    .parquet(*[f"{self.root}/{r['bloom']}" for r in runs]).withColumnRenamed("bloom", RUN))
-        passed = (ask.join(filters, [RUN, BUCKET, "word"]).where(F.expr("getbit(bits, CAST(_mw_b % 64 AS INT)) = 1"))
-                  .groupBy(RUN, BUCKET, *keys).agg(F.count(F.lit(1)).alias("_mw_c")).where(F.col("_mw_c") == BLOOM_HASHES).drop("_mw_c"))
+        passed = ask.join(filters, [RUN, BUCKET, "word"]).where("bits & _mw_mask = _mw_mask").select(RUN, BUCKET, *keys)
         path = scratch_path(spark, "passed-keys")
         passed.write.parquet(path)
         passed = spark.read.schema(passed.schema).parquet(path)
@@ -131,8 +133,7 @@ class KeyRuns:
         written = self._run_keys([f"{self.root}/{run}"])
         n = written.count()
         bits = self._filter_bits(n)
-        (written.select(BUCKET, F.explode(self._places(F.lit(bits).cast("long"))).alias("b"))
-         .groupBy(BUCKET, F.floor(F.col("b") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(b % 64 AS INT))")).alias("bits"))
+        (written.select(BUCKET, *self._place(F.lit(bits).cast("long"))).groupBy(BUCKET, "word").agg(F.bit_or("_mw_mask").alias("bits"))
          .repartition(BUCKET).sortWithinPartitions(BUCKET, "word").write.partitionBy(BUCKET).parquet(f"{self.root}/{bloom}"))
         return {"run": name, "folder": run, "bloom": bloom, "n": n, "bits": bits, "level": level}
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyruns import KeyRuns
-from ..session import scratch_path, shuffle_width
+from ..session import scratch_path, width_for
 from ..sources.fixtures import Sources
 
 LATE_PRIORITY, RESENT_PRIORITY = "5-LOW", "1-URGENT"
@@ -37,7 +37,12 @@ def load_checks(spark: SparkSession, src: Sources) -> DataFrame:
     arrivals = order_arrivals(src)
     items = src["order_items"].select("order_id", _span("shipping_limit_date").alias("load"))
     loads = sorted({r[0] for df in (arrivals, items) for r in df.select("load").distinct().collect() if r[0] is not None})   # one per span
-    runs = KeyRuns.create(spark, scratch_path(spark, "order-keys"), "order_id string", buckets=shuffle_width(spark))
+    with width_for(spark, [arrivals, items]) as width:
+        return _checked(spark, arrivals, items, loads, width)
+
+
+def _checked(spark: SparkSession, arrivals: DataFrame, items: DataFrame, loads: list[int], buckets: int) -> DataFrame:
+    runs = KeyRuns.create(spark, scratch_path(spark, "order-keys"), "order_id string", buckets=buckets)
     parts = []
     for load in loads:
         orders, sent = arrivals.where(F.col("load") == load).select("order_id"), items.where(F.col("load") == load)

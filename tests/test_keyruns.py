@@ -72,3 +72,14 @@ def test_empty_and_races(spark, runs):
     assert _one(one.key_check(_load(spark, [("", 0), (None, 0)]))) == {"n_rows": 2, "n_null_keys": 1, "n_duplicate_keys": 0, "n_known_keys": 1}
     with pytest.raises(publish.PublicationConflict):
         after.add(_load(spark, [("z", 1)]))                 # another load was added meanwhile
+
+
+def test_a_key_asks_a_filter_with_one_word(spark):
+    runs = KeyRuns.create(spark, scratch_path(spark, "t-runs"), "a string, b long", buckets=1)
+    runs = runs.add(spark.range(500).select(F.format_string("k%d", "id").alias("a"), F.col("id").alias("b")))
+    runs = runs.add(_load(spark, [("alone", 1)]))
+    many, one = (spark.read.parquet(f"{runs.root}/{r['bloom']}") for r in runs.state["runs"])
+    assert many.count() > 50
+    assert [bin(r.bits & (1 << 64) - 1).count("1") <= keyruns.BLOOM_HASHES for r in one.collect()] == [True]
+    got = runs.lookup(_load(spark, [("alone", 1), ("k7", 7), ("k7", 8)]))
+    assert {(r.a, r.b): r.known for r in got.collect()} == {("alone", 1): True, ("k7", 7): True, ("k7", 8): False}
