@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import publish, quality
 from ..operators.dml import replace_bucketed_table, replace_table, table_exists
 from ..operators.zorder import z_ordered
-from ..session import scratch_scope, shuffle_width
+from ..session import scratch_scope, shuffle_width, width_for
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
 from . import dims, facts, marts, order_sets, reports
 
@@ -244,7 +244,7 @@ def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date:
     if fact_partition_by and fact_cluster_by:
         raise ValueError("partition the fact or cluster it, not both")
     after = publish.current(spark, root)
-    with scratch_scope(spark):
+    with scratch_scope(spark), width_for(spark, [src[name] for name in ORDER_KEYED]):
         stage(src, root, buckets)
         if gates:
             gate_sources(spark, root)
