@@ -1,7 +1,8 @@
 """Spark session and shared scratch locations.
 
 The library never picks its own shuffle width or checkpoint location when the
-cluster already names one: those come from the session. Local defaults are only
+cluster already names one: those come from the session. ``width_for`` only
+raises the width, for as long as a job over large tables runs. Local defaults are only
 filled in where a setting is absent (tests, bench, laptops).
 """
 
