@@ -110,8 +110,33 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPES.remove(made)
         for path in made:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+#: Spark's own switch (4.1): a query's shuffle files go when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, each query removes its shuffle files as it ends. Otherwise they stay until the driver happens to collect its
+    garbage, so that a job of many written steps holds the shuffles of all of them. Every query here plans its own shuffles,
+    so nothing asks for removed files again (Spark would run the lost stage once more)."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -121,6 +146,8 @@ def shuffle_width(spark: SparkSession) -> int:
 #: Bytes of a source's files that one shuffle partition stands for (some ten times as much once decoded).
 SHUFFLE_BYTES = 16 * 1024 * 1024
 MAX_SHUFFLE_WIDTH = 10_000
+#: From here on a size is the planner's word for "not known" (rows that come from no file), which says nothing of a width.
+UNKNOWN_BYTES = 1 << 50
 
 
 @contextmanager
@@ -129,7 +156,7 @@ def width_for(spark: SparkSession, tables: Iterable[DataFrame]) -> Iterator[int]
     hashes does not grow with the input. Adaptive execution merges partitions that turn out small."""
     sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
     before = shuffle_width(spark)
-    width = max(before, min(MAX_SHUFFLE_WIDTH, -(-sum(sizes) // SHUFFLE_BYTES)))
+    width = max(before, min(MAX_SHUFFLE_WIDTH, -(-sum(n for n in sizes if n < UNKNOWN_BYTES) // SHUFFLE_BYTES)))
     spark.conf.set("spark.sql.shuffle.partitions", str(width))
     try:
         yield width

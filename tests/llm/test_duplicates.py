@@ -239,6 +239,47 @@ def test_join_has_every_link(session, frame, monkeypatch, whole, cell):
     assert len(pairs) > 300
 
 
+@pytest.mark.parametrize(("pair", "sent"), [(0, 1 << 14), (-10**9, 1 << 17)])      # each connected set as a whole, group by group
+def test_join_sends_blocks_in_rounds_and_keeps_no_step(session, frame, monkeypatch, pair, sent):
+    """Many blocks and some rounds find the same links, and what the steps wrote is gone: only results are left."""
+    rows, split = join_rows(6), []
+    for name, value in (("CELL", 2), ("BLOCK", 2), ("ROUND_BYTES", sent), ("PAIR_BYTES", pair)):
+        monkeypatch.setattr(ngram_join, name, value)
+    stored = ngram_join._stored
+
+    def watched(spark, df, name):
+        out = stored(spark, df, name)
+        if name == "join-split":
+            split.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_stored", watched)
+    root = session.sparkContext._jvm.org.apache.hadoop.fs.Path(ngram_join.scratch_path(session, "x")).getParent()
+    listed = lambda: {f.getPath().getName() for f in fs.listStatus(root)}
+    fs = root.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+    before = listed() if fs.exists(root) else set()
+    out = ngram_join.near_copies(session, frame(rows), whole=1)
+    kept = {n.rsplit("-", 1)[0] for n in listed() - before}
+    assert kept <= {"join-ids", "join-classes", "join-reps", "join-links", "component-links"}
+    assert bool(split[0]) == (pair < 0)
+    got = out.collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == join_brute(rows)
+    sets = {d: shingle_set(t) for d, t in rows}
+    want = {a: sum(a != b and bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) for b in sets) for a in sets}
+    assert {r.doc_id: r.n_links for r in got} == want
+
+
+def test_join_compares_texts_of_like_size(session):
+    """A long text shares lines with many short ones: sizes tell that they cannot link, so they are no candidates."""
+    keys = session.createDataFrame([(s, d, 10 + d % 3) for s in (1, 2) for d in range(20)] + [(1, 100, 900), (2, 100, 900), (3, 100, 900), (3, 101, 1199)],
+                                   "shingle long, doc_id long, n long")
+    of = {}
+    for r in ngram_join._groups(keys, 75).collect():
+        of.setdefault(r.shingle, set()).add(r.doc_id)
+    pairs = {(a, b) for g in of.values() for a in g for b in g if a < b}
+    assert pairs == {(a, b) for a in range(20) for b in range(20) if a < b} | {(100, 101)} and len(of) == 4
+
+
 def test_join_without_hot_list_is_the_same(session, frame, monkeypatch):
     rows = join_rows(4)
     monkeypatch.setattr(ngram_join, "ROUTING_SAMPLE", 10**9)
