@@ -19,6 +19,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import COMPRESSION
 from ..sources.files import DUMP_NULL, escaped_text
 
 
@@ -42,6 +43,8 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("errorifexists").format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(staging)
@@ -60,7 +63,7 @@ def replace_bucketed_table(df: DataFrame, path: str, table: str, key: str, bucke
     spark = df.sparkSession
     tag = uuid.uuid4().hex
     staging, staging_table = f"{path.rstrip('/')}.__new__{tag}", f"{table}__new_{tag}"
-    (df.repartition(buckets, key).write.format("parquet")
+    (df.repartition(buckets, key).write.format("parquet").option("compression", COMPRESSION)
      .bucketBy(buckets, key).sortBy(key).option("path", staging).saveAsTable(staging_table))
     spark.sql(f"DROP TABLE IF EXISTS {staging_table}")  # external table: the files stay
     _swap_in(spark, staging, path)

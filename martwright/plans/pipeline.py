@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import publish, quality
 from ..operators.dml import replace_bucketed_table, replace_table, table_exists
 from ..operators.zorder import z_ordered
-from ..session import scratch_scope, shuffle_width, width_for
+from ..session import COMPRESSION, scratch_scope, shuffle_width, shuffles_dropped, width_for
 from ..sources.schemas import MANIFEST, MART_KEYS, MART_LENGTHS, SOURCES, STAGING_ORDER
 from . import dims, facts, marts, order_sets, reports
 
@@ -125,16 +125,22 @@ def _write_new(df: DataFrame, root: str, table: str, partition_by: Sequence[str]
     folder = publish.new_folder(table)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").option("compression", COMPRESSION)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root.rstrip('/')}/{folder}")
     return folder
 
 
 def _all_written(root: str, jobs: Mapping[str, Callable[[], DataFrame]], parallelism: int, partition_by: Mapping[str, Sequence[str]]
                  ) -> dict[str, str]:
-    """Concurrent writes; table -> folder."""
+    """Concurrent writes; table -> folder. A job's scratch tables go when its table is written."""
+    spark = SparkSession.active()
+
+    def write(name: str) -> str:
+        with scratch_scope(spark):
+            return _write_new(jobs[name](), root, name, partition_by.get(name, ()))
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        found = {n: pool.submit(lambda n=n: _write_new(jobs[n](), root, n, partition_by.get(n, ()))) for n in jobs}
+        found = {n: pool.submit(write, n) for n in jobs}
         return {n: f.result() for n, f in found.items()}
 
 
@@ -170,7 +176,8 @@ def write_marts(spark: SparkSession, root: str, warehouse: Mapping[str, DataFram
     fact, geo = warehouse["fact_orders"], warehouse["dim_geolocation"]
     folder = _write_new(facts.rollup_of(fact), root, ROLLUP)
     rollup = spark.read.parquet(f"{root.rstrip('/')}/{folder}")
-    numbered = _write_new(order_sets.order_numbers(rollup), root, order_sets.ORDER_NUMBERS)
+    with scratch_scope(spark):
+        numbered = _write_new(order_sets.order_numbers(rollup), root, order_sets.ORDER_NUMBERS)
     numbers = spark.read.parquet(f"{root.rstrip('/')}/{numbered}")
     jobs = {
         "mart_sales_daily": lambda: marts.mart_sales_daily_from_rollup(rollup),
@@ -187,7 +194,11 @@ def write_marts(spark: SparkSession, root: str, warehouse: Mapping[str, DataFram
                order_sets.ORDERS_OF_DAY: ["order_date_key", "word"], order_sets.ORDERS_OF_PRODUCT: ["product_key", "word"],
                order_sets.ORDERS_OF_CITY: ["geolocation_state", "geolocation_city", "word"]}
     sorted_ = {n: (lambda n=n: jobs[n]().sortWithinPartitions(*cluster[n])) for n in jobs}
-    return {ROLLUP: folder, order_sets.ORDER_NUMBERS: numbered, **_all_written(root, sorted_, parallelism, {})}
+    # the jobs that shuffle a row per product and order follow the others one by one: the disk holds one such shuffle
+    wide = ("mart_product_performance", order_sets.ORDERS_OF_PRODUCT)
+    made = _all_written(root, {n: j for n, j in sorted_.items() if n not in wide}, parallelism, {})
+    made |= _all_written(root, {n: sorted_[n] for n in wide}, 1, {})
+    return {ROLLUP: folder, order_sets.ORDER_NUMBERS: numbered, **made}
 
 
 def publish_marts(spark: SparkSession, root: str, parallelism: int = 3) -> None:
@@ -244,7 +255,7 @@ def run(spark: SparkSession, src: Mapping[str, DataFrame], root: str, run_date:
     if fact_partition_by and fact_cluster_by:
         raise ValueError("partition the fact or cluster it, not both")
     after = publish.current(spark, root)
-    with scratch_scope(spark), width_for(spark, [src[name] for name in ORDER_KEYED]):
+    with scratch_scope(spark), shuffles_dropped(spark), width_for(spark, [src[name] for name in ORDER_KEYED]):
         stage(src, root, buckets)
         if gates:
             gate_sources(spark, root)

@@ -384,3 +384,21 @@ def test_a_hot_orders_rows_are_numbered_by_many_tasks(spark, src_small, side):
     held = sorted(r[1] for r in rows.withColumn("p", F.shiftright(at, 4)).repartition(8, "order_id", "p")
                   .groupBy(F.spark_partition_id()).count().collect())
     assert len(held) == 8 and held[-1] < 3 * held[len(held) // 2]
+
+
+def test_refresh_drops_the_shuffles_of_its_steps(spark, src_small, monkeypatch):
+    """While it writes, each query's shuffle files go as it ends; jobs with a row per product and order come last, one by one."""
+    from martwright.session import SHUFFLE_CLEANUP, scratch_path
+
+    before, seen, write = spark.conf.get(SHUFFLE_CLEANUP, None), [], pipeline._write_new
+
+    def watched(df, root, table, partition_by=()):
+        seen.append((table, spark.conf.get(SHUFFLE_CLEANUP, None)))
+        return write(df, root, table, partition_by)
+
+    monkeypatch.setattr(pipeline, "_write_new", watched)
+    root = scratch_path(spark, "t-dropped")
+    pipeline.run(spark, src_small, root, run_date="2024-01-01")
+    assert {on for _, on in seen} == {"true"} and spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert [t for t, _ in seen[-2:]] == ["mart_product_performance", "orders_of_product"]
+    assert all(".zstd." in f for f in pipeline.read_table(spark, root, "fact_orders").inputFiles())
